@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # The lexeme contract.  `\p{Z}` and the control ranges spell out
 # the Unicode notion of white space, since `\s` is ASCII-only in Java.
 WHITESPACE = r"\t-\r\x1C-\x20\x85\p{Z}"
+WHITESPACE_CHARACTERS = "".join(
+    chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B))
+) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_BREAKS = r"\n-\r\x1C-\x1E\x85\x{2028}\x{2029}"
 INLINE_SPACE = r"\t\x1F\p{Zs}"
 
@@ -47,14 +50,17 @@ LEXEME = "|".join(
 LEXEME_OR_SPACE = f"[{WHITESPACE}]+|{LEXEME}"
 
 
+def unify_line_ends(code: Column) -> Column:
+    return F.replace(F.replace(code, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
 def lexer_input(code: Column) -> Column:
     """Unify line ends and end the text with exactly one line feed.
 
     The closing line feed becomes part of a string literal left open at the
     end of the text, which is what the lexer contract asks for.
     """
-    unified = F.replace(F.replace(code, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    return F.concat(F.btrim(unified, F.lit("\n")), F.lit("\n"))
+    return F.concat(F.btrim(unify_line_ends(code), F.lit("\n")), F.lit("\n"))
 
 
 def is_comment(lexeme: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.functions.lexer import WHITESPACE
+from gramloom.functions.lexer import WHITESPACE_CHARACTERS
 from gramloom.operators.corpus import tokenize_methods
 from gramloom.plans.scratch import write_table
 
@@ -73,8 +73,8 @@ def read_processed(spark: SparkSession, path: str, code: str = PROCESSED_COLUMN)
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """`method_id, code` from a text file with one method per line; blank lines dropped."""
-    edges = f"^[{WHITESPACE}]+|[{WHITESPACE}]+$"
-    numbered = _numbered(spark.read.text(path).select(F.regexp_replace("value", edges, "").alias("code")))
+    trimmed = F.btrim("value", F.lit(WHITESPACE_CHARACTERS))
+    numbered = _numbered(spark.read.text(path).select(trimmed.alias("code")))
     return ingest(numbered.filter(F.length("code") > 0))
 
 
