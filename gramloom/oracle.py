@@ -117,23 +117,31 @@ UNION ALL SELECT 5, 'boilerplate', trimmed, kept, trimmed - kept, NULL, NULL FRO
 
 
 def _positions(n: int, source: str, where: str) -> str:
-    """Every window position of the padded methods."""
+    """One row per window of the padded methods: `method_id, pos, t_0 .. t_<n-1>`."""
     padded = f"list_concat(list_concat(list_transform(range({n - 1}), lambda i: '<START>'), tokens), ['<END>'])"
-    return f"""SELECT method_id, unnest(range(0, len(tokens) + 1)) AS pos, {padded} AS padded
-      FROM {source} WHERE {where}"""
+    following = ", ".join(f"lead(t_0, {i}) OVER w AS t_{i}" for i in range(1, n))
+    windows = f"""SELECT *{", " + following if following else ""} FROM (
+        SELECT method_id, unnest(padded) AS t_0, generate_subscripts(padded, 1) - 1 AS pos
+        FROM (SELECT method_id, {padded} AS padded FROM {source} WHERE {where}) l) u
+      WINDOW w AS (PARTITION BY method_id ORDER BY pos)"""
+    return f"SELECT * FROM ({windows}) x WHERE t_{n - 1} IS NOT NULL"
 
 
-def _key(first: str, last: str) -> str:
-    return f"coalesce(array_to_string(padded[{first}:{last}], chr(31)), '')"
+def _key(first: int, last: int) -> str:
+    """Key of the tokens first .. last of a window; the empty string when there are none."""
+    tokens = [f"t_{i}" for i in range(first, last + 1)]
+    return f"concat_ws(chr(31), {', '.join(tokens)})" if tokens else "''"
 
 
 def _model_tables(n: int, source: str, where: str, tag: str = "") -> str:
     """CTEs `ngrams`, `contexts`, `size` for one n, with a suffix to tell several models apart."""
+    grams = " UNION ALL ".join(
+        f"SELECT {m} AS m, {_key(0, m - 1)} AS ctx, t_{m} AS target, method_id, pos FROM windows{tag}" for m in range(n)
+    )
     return f"""
+windows{tag} AS MATERIALIZED ({_positions(n, source, where)}),
 ngrams{tag} AS MATERIALIZED (
-  SELECT ord - 1 AS m, {_key('pos + 1', 'pos + ord - 1')} AS ctx, padded[pos + ord] AS target,
-    count(*) AS c, min(method_id * 2147483648 + pos) AS first_seen
-  FROM (SELECT *, unnest(range(1, {n + 1})) AS ord FROM ({_positions(n, source, where)}) p) o GROUP BY ALL),
+  SELECT m, ctx, target, count(*) AS c, min(method_id * 2147483648 + pos) AS first_seen FROM ({grams}) g GROUP BY ALL),
 contexts{tag} AS MATERIALIZED (
   SELECT m, ctx, sum(c)::BIGINT AS cc, first(target ORDER BY c DESC, first_seen) AS pred FROM ngrams{tag} GROUP BY m, ctx),
 size{tag} AS MATERIALIZED (
@@ -161,19 +169,26 @@ def _with_probability(n: int, asked: str, tag: str = "") -> str:
 
 
 def _asked(n: int, source: str, where: str) -> str:
-    contexts = ", ".join(f"{_key(f'pos + {n - m}', f'pos + {n - 1}')} AS ctx_{m}" for m in range(n))
-    return f"SELECT method_id, pos, padded[pos + {n}] AS target, {contexts} FROM ({_positions(n, source, where)}) e"
+    contexts = ", ".join(f"{_key(n - 1 - m, n - 2)} AS ctx_{m}" for m in range(n))
+    return f"SELECT method_id, pos, t_{n - 1} AS target, {contexts} FROM ({_positions(n, source, where)}) e"
 
 
 def _metrics(n: int, scored: str, tag: str = "") -> str:
     plain = f"target NOT IN ({_texts(PUNCTUATION)})"
     return f"""SELECT {n}::INTEGER AS n,
-      round(avg(CASE WHEN pred IS NOT DISTINCT FROM target THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
-      round(pow(2, -avg(log2(p))), 4) AS perplexity,
-      round(pow(2, -avg(log2(p)) FILTER (WHERE {plain})), 4) AS perplexity_no_punctuation,
+      avg(CASE WHEN pred IS NOT DISTINCT FROM target THEN 1.0 ELSE 0.0 END) AS accuracy,
+      pow(2, -avg(log2(p))) AS perplexity,
+      pow(2, -avg(log2(p)) FILTER (WHERE {plain})) AS perplexity_no_punctuation,
       (SELECT v FROM size{tag}) AS vocabulary_size FROM ({scored}) e"""
 
 
+def _shown_metrics(decimals: tuple[int, int] = (6, 4)) -> str:
+    """The metric columns rounded: accuracy, perplexities."""
+    accuracy, perplexity = decimals
+    return f"""n, round(accuracy, {accuracy}) AS accuracy, round(perplexity, {perplexity}) AS perplexity,
+      round(perplexity_no_punctuation, {perplexity}) AS perplexity_no_punctuation, vocabulary_size"""
+
+
 def _evaluated(n: int, source: str, train: str, test: str) -> str:
     tag = f"_{n}"
     return f"""{_model_tables(n, source, train, tag)},
@@ -184,7 +199,7 @@ _TRAIN, _VAL, _TEST = "split = 'train'", "split = 'val'", "split = 'test'"
 _DOCS = f"WITH docs AS MATERIALIZED ({_tokenised(_DOCUMENTS)})"
 _TRIGRAM = f"{_DOCS}, {_model_tables(3, 'docs', _TRAIN)}"
 _SCORED = _with_probability(3, _asked(3, "docs", _TEST))
-_TRIGRAM_METRICS = f"{_TRIGRAM} {_metrics(3, _SCORED)}"
+_TRIGRAM_METRICS = f"{_TRIGRAM} SELECT {_shown_metrics()} FROM ({_metrics(3, _SCORED)}) m"
 
 _ORDERS = range(2, 8)
 _COMPARISON = f"""WITH java AS MATERIALIZED ({_tokenised(JAVA_METHODS)}),
@@ -202,12 +217,12 @@ def _final() -> str:
         models.append(f"{_model_tables(n, 'java', train_and_val, tag)}, metrics{tag} AS ({_metrics(n, scored, tag)})")
     union = " UNION ALL ".join(f"SELECT * FROM metrics_f{n}" for n in _ORDERS)
     return f"""{_COMPARISON}, {", ".join(models)}
-      SELECT * FROM ({union}) f WHERE n = (SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1)"""
+      SELECT {_shown_metrics()} FROM ({union}) f WHERE n = (SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1)"""
 
 
 _PREDICT = f"""{_TRIGRAM},
-asked AS (SELECT method_id * 1000000 + pos AS context_id, {_key('pos + 2', 'pos + 3')} AS ctx_2,
-    {_key('pos + 3', 'pos + 3')} AS ctx_1, '' AS ctx_0 FROM ({_positions(4, 'docs', _TEST)}) p),
+asked AS (SELECT method_id * 1000000 + pos AS context_id, {_key(1, 2)} AS ctx_2,
+    {_key(2, 2)} AS ctx_1, '' AS ctx_0 FROM ({_positions(4, 'docs', _TEST)}) p),
 found AS (SELECT a.*, k2.pred IS NOT NULL AS has_2, k1.pred IS NOT NULL AS has_1,
     coalesce(k2.pred, k1.pred, k0.pred) AS target
   FROM asked a LEFT JOIN contexts k2 ON k2.m = 2 AND k2.ctx = ctx_2
@@ -321,9 +336,8 @@ ORACLE: dict[str, str] = {
       round(p, 10) AS p, pred IS NOT DISTINCT FROM target AS correct, target IN ({_texts(PUNCTUATION)}) AS is_punct
       FROM ({_SCORED}) s""",
     "eval_metrics": _TRIGRAM_METRICS,
-    "metrics_report": f"""SELECT n, round(accuracy, 3) AS accuracy, round(perplexity, 3) AS perplexity,
-      round(perplexity_no_punctuation, 3) AS perplexity_no_punctuation, vocabulary_size FROM ({_TRIGRAM_METRICS}) m""",
-    "compare_n": f"{_COMPARISON} SELECT * FROM comparison",
+    "metrics_report": f"{_TRIGRAM} SELECT {_shown_metrics((3, 3))} FROM ({_metrics(3, _SCORED)}) m",
+    "compare_n": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",
     "select_n": f"{_COMPARISON} SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1",
     "final_model": _final(),
     "csv_roundtrip": f"SELECT code FROM ({JAVA_METHODS}) m",
@@ -332,7 +346,7 @@ ORACLE: dict[str, str] = {
     "text_lines": f"SELECT tokens, n_tokens FROM ({_shown(_LINES)}) t",
     "model_roundtrip": _TRIGRAM_METRICS,
     "metrics_json": _TRIGRAM_METRICS,
-    "comparison_json": f"{_COMPARISON} SELECT * FROM comparison",
+    "comparison_json": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",
     "java_repos": _JAVA_REPOS,
     "repo_files": _REPO_FILES,
     "java_files": _JAVA_FILES,
