@@ -60,14 +60,18 @@ def key_suffix(key: Column, length: Column) -> Column:
     return _substring_index(key, -length)
 
 
-def first_seen_key(method_id: Column, pos: Column) -> Column:
+def first_seen_base(method_id: Column) -> Column:
+    """The first-seen key of a method's first position."""
+    return (method_id.cast("decimal(20,0)") * F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast("decimal(31,0)")
+
+
+def first_seen_key(base: Column, pos: Column) -> Column:
     """(method_id, pos) as one ordered number.
 
     A decimal keeps `min` inside hash aggregation, where a struct would force
     a sort of every exploded n-gram, and holds any bigint id.
     """
-    scaled = method_id.cast("decimal(20,0)") * F.lit(POSITION_RANGE).cast("decimal(10,0)")
-    return (scaled + pos.cast("decimal(10,0)")).cast("decimal(31,0)")
+    return (base + pos.cast("decimal(10,0)")).cast("decimal(31,0)")
 
 
 def first_seen_method(first_seen: Column) -> Column:

@@ -6,7 +6,7 @@ A methods table has `method_id bigint` and a code column; a tokenised one has
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramloom.functions.lexer import tokenize_code
@@ -55,17 +55,14 @@ def quick_sample(
     """Seeded sample of at most `size` methods, split anew 80 / 10 / 10.
 
     Drawn without the test split unless `include_test`, so that selection
-    never sees test methods.
+    never sees test methods.  The sample is what sorts below the sampling key
+    of rank `size`, so drawing it filters and never gathers rows in one task.
     """
     eligible = split_methods(methods, seed) if "split" not in methods.columns else methods
     if not include_test:
         eligible = eligible.filter(F.col("split") != TEST)
-    sample = (
-        eligible.withColumn("_key", sample_key(F.col("method_id"), seed))
-        .orderBy("_key", "method_id")
-        .limit(size)
-        .drop("_key", "split")
-    )
+    keyed = eligible.withColumn("_key", sample_key(F.col("method_id"), seed))
+    sample = keyed.filter(_place() < F.lit(_key_at_rank(keyed, size))).drop("_key", "split")
     return split_methods(sample, seed + 1)
 
 
@@ -92,17 +89,25 @@ def exact_split_methods(
     train, validation, _ = exact_split_sizes(rows, held_out)
     first_val = _key_at_rank(keyed, train)
     first_test = _key_at_rank(keyed, train + validation)
-    place = F.concat("_key", F.format_string(":%020d", F.col("method_id")))
     split = (
-        F.when(place < F.lit(first_val), TRAIN)
-        .when(place < F.lit(first_test), VALIDATION)
+        F.when(_place() < F.lit(first_val), TRAIN)
+        .when(_place() < F.lit(first_test), VALIDATION)
         .otherwise(TEST)
     )
     return keyed.withColumn("split", split).drop("_key")
 
 
+def _place() -> Column:
+    """`key:id` as text, in the order of (key, id)."""
+    return F.concat("_key", F.format_string(":%020d", F.col("method_id")))
+
+
 def _key_at_rank(keyed: DataFrame, rank: int) -> str:
-    """`key:id` of the row with this zero-based rank; past the end, a key above all others."""
+    """`key:id` of the row with this zero-based rank; past the end, a key above all others.
+
+    Each round counts the next four digits of the keys within the prefix that
+    holds the rank: at most 65,536 small rows reach the driver.
+    """
     prefix, before = "", 0
     candidates = keyed.select("_key", "method_id")
     remaining = None
@@ -127,6 +132,6 @@ def _key_at_rank(keyed: DataFrame, rank: int) -> str:
         .orderBy("_key", "method_id")
         .offset(rank - before)
         .limit(1)
-        .select(F.concat("_key", F.format_string(":%020d", F.col("method_id"))))
+        .select(_place())
     )
     return boundary.head()[0]

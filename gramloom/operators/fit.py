@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramloom.functions.grams import (
-    END,
     START,
+    first_seen_base,
     first_seen_key,
     gram_key,
     joinable,
@@ -28,6 +28,7 @@ from gramloom.functions.grams import (
     key_suffix,
     pad_tokens,
 )
+from gramloom.plans.lookup import KEY_HASH, with_key_hash
 from gramloom.plans.scratch import write_table
 
 DEFAULT_SMOOTHING = 0.01
@@ -65,21 +66,26 @@ def check_parameters(n_values: Sequence[int], smoothing_k: float) -> None:
 
 
 def windows(methods: DataFrame, n: int) -> DataFrame:
-    """Every window of n tokens: `method_id, pos, gram`, T + 1 of them per method."""
-    padded = methods.select("method_id", pad_tokens(joinable(F.col("tokens")), n).alias("padded"))
+    """Every window of n tokens: `method_id, pos, gram`, T + 1 of them per method.
+
+    Other columns of `methods` than `tokens` and `split` stay beside them.
+    """
+    kept = [c for c in methods.columns if c not in ("tokens", "split")]
+    padded = methods.select(*kept, pad_tokens(joinable(F.col("tokens")), n).alias("padded"))
     return padded.select(
-        "method_id", "padded", F.explode(F.sequence(F.lit(0), F.size("padded") - n)).alias("pos")
-    ).select("method_id", "pos", gram_key(F.slice("padded", F.col("pos") + 1, n)).alias("gram"))
+        *kept, "padded", F.explode(F.sequence(F.lit(0), F.size("padded") - n)).alias("pos")
+    ).select(*kept, "pos", gram_key(F.slice("padded", F.col("pos") + 1, n)).alias("gram"))
 
 
 def window_counts(methods: DataFrame, n: int) -> DataFrame:
     """Distinct windows: `gram, c, first_seen`."""
+    numbered = methods.select("method_id", "tokens", first_seen_base(F.col("method_id")).alias("base"))
     return (
-        windows(methods, n)
+        windows(numbered, n)
         .groupBy("gram")
         .agg(
             F.count(F.lit(1)).alias("c"),
-            F.min(first_seen_key(F.col("method_id"), F.col("pos"))).alias("first_seen"),
+            F.min(first_seen_key(F.col("base"), F.col("pos"))).alias("first_seen"),
         )
     )
 
@@ -126,8 +132,12 @@ def context_counts(ngrams: DataFrame) -> DataFrame:
     The best target has the highest count; of equals, the one seen first.
     """
     rank = F.struct(-F.col("c"), F.col("first_seen"))
-    return ngrams.groupBy("n", "m", "ctx").agg(
-        F.sum("c").alias("cc"), F.min_by("target", rank).alias("pred")
+    keys = ["n", "m", "ctx"]
+    return (
+        with_key_hash(ngrams, keys)
+        .groupBy(KEY_HASH, *keys)
+        .agg(F.sum("c").alias("cc"), F.min_by("target", rank).alias("pred"))
+        .drop(KEY_HASH)
     )
 
 

@@ -21,6 +21,7 @@ from gramloom.functions.lexer import (
     WHITESPACE,
     unify_line_ends,
 )
+from gramloom.plans.scratch import write_table
 
 # Fixed values.
 MAX_METHODS = 25_000
@@ -224,5 +225,26 @@ def with_provenance(methods: DataFrame, host: str = HOST) -> DataFrame:
 
 
 def cap_methods(methods: DataFrame, limit: int = MAX_METHODS) -> DataFrame:
-    """The first `limit` methods in order of repository, commit, file and place in the file."""
-    return methods.orderBy("repo", "commit_seq", "file_name", "ordinal").limit(limit)
+    """The first `limit` methods in order of repository, commit, file and place in the file.
+
+    A top-k over the rows would send `limit` texts per partition to one task.
+    Instead the cut is located by counting, one level of the order after the
+    other, with at most `limit` counts each; the rows are then only filtered.
+    """
+    table = write_table(methods, "methods")
+    at_cut, kept = F.lit(True), F.lit(False)
+    for level in ("repo", "commit_seq", "file_name", "ordinal"):
+        counts = table.filter(at_cut).groupBy(level).count().orderBy(level).limit(limit).collect()
+        cut = None
+        for row in counts:
+            if row["count"] > limit:
+                cut = row[level]
+                break
+            limit -= row["count"]
+        if cut is None:
+            last = counts[-1][level] if counts else None
+            return table.filter(kept | (at_cut & (F.col(level) <= F.lit(last)))) if counts else table.filter(kept)
+        kept = kept | (at_cut & (F.col(level) < F.lit(cut)))
+        at_cut = at_cut & (F.col(level) == F.lit(cut))
+    copies = table.filter(at_cut).limit(limit)
+    return table.filter(kept).unionByName(copies)

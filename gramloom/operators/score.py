@@ -18,6 +18,7 @@ from gramloom.functions.grams import (
     joinable,
     key_prefix,
     key_suffix,
+    readable,
 )
 from gramloom.operators.fit import NGramModel, windows
 from gramloom.plans.lookup import lookup_join
@@ -35,65 +36,48 @@ FULL_TRUST = 10.0
 METRICS = ("accuracy", "perplexity", "perplexity_no_punctuation", "vocabulary_size")
 
 
+def _for_every_n(model: NGramModel) -> Column:
+    return F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n")
+
+
 def evaluation_pairs(methods: DataFrame, model: NGramModel) -> DataFrame:
-    """Distinct (context, target) pairs of held-out methods: `n, ctx, target, cnt`."""
-    longest = model.max_n
-    grams = windows(methods, longest).groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
-    pairs = grams.select(
-        F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n"),
-        F.col("gram"),
-        "cnt",
-    ).select(
+    """Distinct (context, target) pairs of held-out methods: `n, length, ctx, target, cnt`."""
+    grams = windows(methods.select("method_id", "tokens"), model.max_n)
+    counted = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = counted.select(_for_every_n(model), "gram", "cnt").select(
         "n",
+        (F.col("n") - 1).alias("length"),
         key_prefix(key_suffix(F.col("gram"), F.col("n")), F.col("n") - 1).alias("ctx"),
         key_suffix(F.col("gram"), F.lit(1)).alias("target"),
         "cnt",
     )
     if len(model.n_values) == 1:
         return pairs
-    return pairs.groupBy("n", "ctx", "target").agg(F.sum("cnt").alias("cnt"))
+    return pairs.groupBy("n", "length", "ctx", "target").agg(F.sum("cnt").alias("cnt"))
 
 
-def query_pairs(queries: DataFrame, model: NGramModel) -> DataFrame:
-    """Pairs to score from `context array<string>, token string`, for every n of the model.
+def _numbered(frame: DataFrame, name: str) -> DataFrame:
+    """The frame on shared storage with a unique `gid`, so that every reader sees the same numbers."""
+    return write_table(frame.withColumn("gid", F.monotonically_increasing_id()), name)
 
-    A context longer than n - 1 was never counted, so its longest suffix of
-    that length stands for it.
-    """
-    context = joinable(F.col("context"))
-    return queries.select(
-        "*",
-        gram_key(context).alias("_ctx"),
-        F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n"),
-        joinable(F.array("token"))[0].alias("target"),
-    ).withColumn("ctx", key_suffix(F.col("_ctx"), F.col("n") - 1)).drop("_ctx")
 
+def _context_suffixes(asked: DataFrame, carried: list[str]) -> DataFrame:
+    """One row per suffix of `ctx`, the empty one included: `gid, n, length, m, ctx, <carried>`."""
+    return asked.select(
+        "gid", "n", "length", "ctx", *carried, F.explode(F.sequence(F.lit(0), F.col("length"))).alias("m")
+    ).withColumn("ctx", key_suffix(F.col("ctx"), F.col("m")))
 
-def _numbered(pairs: DataFrame, name: str) -> DataFrame:
-    """Pairs on shared storage with a unique `gid`, so that every reader sees the same numbers."""
-    return write_table(pairs.withColumn("gid", F.monotonically_increasing_id()), name)
 
+def _with_context(model: NGramModel, asked: DataFrame, values: list[str]) -> DataFrame:
+    return lookup_join(
+        asked, model.contexts, ["n", "m", "ctx"], values, F.col("cc"), model.positions, "gid"
+    )
 
-def _suffix_answers(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
-    """One row per pair and context suffix: `gid, n, m, <carried>, cc, pred, c`.
 
-    `cc` is null for a suffix never seen as a context, `c` for a target never
-    seen after it.
-    """
-    asked = pairs.select(
-        "gid", "n", "ctx", "target", *carried, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("m")
-    ).select("gid", "n", "m", key_suffix(F.col("ctx"), F.col("m")).alias("ctx"), "target", *carried)
-    with_context = lookup_join(
-        asked, model.contexts, ["n", "m", "ctx"], ["cc", "pred"], F.col("cc"), model.positions, "gid"
-    )
+def _with_count(model: NGramModel, asked: DataFrame) -> DataFrame:
+    keys = ["n", "m", "ctx", "target"]
     return lookup_join(
-        with_context,
-        model.ngrams.select("n", "m", "ctx", "target", "c"),
-        ["n", "m", "ctx", "target"],
-        ["c"],
-        F.col("c"),
-        model.positions,
-        "gid",
+        asked, model.ngrams.select(*keys, "c"), keys, ["c"], F.col("c"), model.positions, "gid"
     )
 
 
@@ -117,102 +101,114 @@ def _interpolated(model: NGramModel) -> Column:
         own = F.when(cc.isNull(), F.lit(0.0)).otherwise(weight * raw_estimate(model, c, cc))
         return own + F.when(cc.isNull(), F.lit(1.0)).otherwise(1 - weight) * shorter
 
-    empty = F.when(F.col("cc_0").isNull(), F.lit(1.0 / model.vocab_size if model.vocab_size else 0.0)).otherwise(
+    uniform = 1.0 / model.vocab_size if model.vocab_size else 0.0
+    empty = F.when(F.col("cc_0").isNull(), F.lit(uniform)).otherwise(
         raw_estimate(model, F.col("c_0"), F.col("cc_0"))
     )
     return reduce(step, range(1, model.max_n), empty)
 
 
 def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
-    """One row per pair: `gid, n, <carried>, p, correct`; `carried` must be fixed-width columns."""
-    answers = _suffix_answers(model, pairs, carried)
+    """One row per numbered pair: `gid, n, <carried>, raw, p, correct`.
+
+    `raw` is the estimate of the full context alone, 0 for an unknown one; `p`
+    the interpolated one; `correct` says whether the full context's best
+    target is the pair's.  `carried` columns must be of fixed width, which
+    keeps the regrouping in hash aggregation.
+    """
+    known = _with_context(model, _context_suffixes(pairs, ["target", *carried]), ["cc", "pred"])
+    # An unknown context has no counts to look up.  The empty one stays, so
+    # that every pair keeps a row.
+    answers = _with_count(model, known.filter(F.col("cc").isNotNull() | (F.col("m") == 0)))
+    full = F.col("m") == F.col("length")
     per_suffix = [
         F.max(F.when(F.col("m") == m, F.col(name))).alias(f"{name}_{m}")
         for m in range(model.max_n)
         for name in ("c", "cc")
     ]
-    exact_hit = (F.col("m") == F.col("n") - 1) & F.col("pred").eqNullSafe(F.col("target"))
+    raw = F.when(F.col("cc_full").isNull(), F.lit(0.0)).otherwise(
+        raw_estimate(model, F.col("c_full"), F.col("cc_full"))
+    )
     return (
         answers.groupBy("gid", "n", *carried)
-        .agg(*per_suffix, F.max(exact_hit).alias("correct"))
-        .select("gid", "n", *carried, _interpolated(model).alias("p"), "correct")
+        .agg(
+            *per_suffix,
+            F.max(F.when(full, F.col("c"))).alias("c_full"),
+            F.max(F.when(full, F.col("cc"))).alias("cc_full"),
+            F.max(full & F.col("pred").eqNullSafe(F.col("target"))).alias("correct"),
+        )
+        .select("gid", "n", *carried, raw.alias("raw"), _interpolated(model).alias("p"), "correct")
     )
 
 
-def raw_probability(model: NGramModel, pairs: DataFrame) -> DataFrame:
-    """Add `p`: the estimate of the full context alone, 0 when it was never seen."""
-    keyed = _numbered(pairs, "raw-pairs").withColumn("m", F.col("n") - 1)
-    with_context = lookup_join(
-        keyed, model.contexts, ["n", "m", "ctx"], ["cc"], F.col("cc"), model.positions, "gid"
-    )
-    with_count = lookup_join(
-        with_context,
-        model.ngrams.select("n", "m", "ctx", "target", "c"),
-        ["n", "m", "ctx", "target"],
-        ["c"],
-        F.col("c"),
-        model.positions,
-        "gid",
-    )
-    estimate = F.when(F.col("cc").isNull(), F.lit(0.0)).otherwise(
-        raw_estimate(model, F.col("c"), F.col("cc"))
+def pair_probabilities(model: NGramModel, pairs: DataFrame) -> DataFrame:
+    """Add `raw` and `p` to distinct pairs `n, length, ctx, target, ...`."""
+    numbered = _numbered(pairs, "pairs")
+    return numbered.join(_scored(model, numbered, []).select("gid", "raw", "p"), "gid").drop("gid")
+
+
+def _answer_each(asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Give numbered questions the answers to their distinct keys, of which `asks` counts the questions."""
+    total = asked.count()
+    return lookup_join(asked, answers, keys, values, F.col("asks"), total, "gid")
+
+
+def _keyed_contexts(model: NGramModel, queries: DataFrame) -> DataFrame:
+    """Add `n, length, ctx, too_long` for every n of the model.
+
+    A context longer than n - 1 was never counted; its last n - 1 tokens stand
+    for it.
+    """
+    size = F.size("context")
+    return queries.select("*", gram_key(joinable(F.col("context"))).alias("_key"), _for_every_n(model)).select(
+        *queries.columns,
+        "n",
+        F.least(size, F.col("n") - 1).alias("length"),
+        key_suffix(F.col("_key"), F.col("n") - 1).alias("ctx"),
+        (size > F.col("n") - 1).alias("too_long"),
     )
-    return with_count.select(*pairs.columns, estimate.alias("p"))
 
 
-def interpolated_probability(model: NGramModel, pairs: DataFrame) -> DataFrame:
-    """Add `p`: the estimate interpolated over all suffixes of the context."""
-    numbered = _numbered(pairs, "pairs")
-    scored = _scored(model, numbered, []).select("gid", "p")
-    return numbered.join(scored, "gid").select(*pairs.columns, "p")
+def probabilities(model: NGramModel, queries: DataFrame) -> DataFrame:
+    """Add `n, raw, p` to `context array<string>, token string`, for every n of the model."""
+    keys = ["n", "length", "ctx", "target"]
+    asked = _numbered(
+        _keyed_contexts(model, queries).withColumn("target", joinable(F.array("token"))[0]), "asked-pairs"
+    )
+    distinct = asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks"))
+    answers = write_table(pair_probabilities(model, distinct), "answered-pairs")
+    raw = F.when(F.col("too_long"), F.lit(0.0)).otherwise(F.col("raw"))
+    return _answer_each(asked, answers, keys, ["raw", "p"]).select(
+        *queries.columns, "n", raw.alias("raw"), "p"
+    )
 
 
 def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
-    """Add `matched, pred, p` to `context_id, context array<string>`, for every n of the model.
+    """Add `n, matched, pred, p` to `context array<string>`, for every n of the model.
 
     The prediction is the best target of the longest suffix known as a
     context.  All longer suffixes are unknown, so the interpolated probability
     there is that of the whole context.  A model without counts falls back to
-    any one word of its vocabulary, without vocabulary to no prediction.
+    one word of its vocabulary, without vocabulary to no prediction.
     """
-    asked = _numbered(
-        contexts.select(
-            "context_id",
-            gram_key(joinable(F.col("context"))).alias("_ctx"),
-            F.size("context").alias("_size"),
-            F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n"),
-        ).select(
-            "context_id",
-            "n",
-            F.least(F.col("_size"), F.col("n") - 1).alias("length"),
-            key_suffix(F.col("_ctx"), F.col("n") - 1).alias("ctx"),
-        ),
-        "asked-contexts",
-    )
-    suffixes = asked.select(
-        "gid", "n", "ctx", F.explode(F.sequence(F.lit(0), F.col("length"))).alias("m")
-    ).withColumn("ctx", key_suffix(F.col("ctx"), F.col("m")))
-    known = lookup_join(
-        suffixes, model.contexts, ["n", "m", "ctx"], ["cc", "pred"], F.col("cc"), model.positions, "gid"
-    ).filter(F.col("pred").isNotNull())
-    longest = known.groupBy("gid").agg(
-        F.max(F.struct("m", "pred")).alias("best"),
-    )
-    fallback = model.vocabulary.agg(F.min("token")).head()[0]
-    predicted = asked.join(longest, "gid", "left").select(
-        "context_id",
-        "n",
-        "ctx",
+    keys = ["n", "length", "ctx"]
+    asked = _numbered(_keyed_contexts(model, contexts).drop("too_long"), "asked-contexts")
+    distinct = _numbered(asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks")), "distinct-contexts")
+    known = _with_context(model, _context_suffixes(distinct, []), ["pred"]).filter(F.col("pred").isNotNull())
+    longest = known.groupBy("gid").agg(F.max(F.struct("m", "pred")).alias("best"))
+    fallback = None if model.positions else model.vocabulary.agg(F.min("token")).head()[0]
+    predicted = distinct.join(longest, "gid", "left").select(
+        *keys,
+        "asks",
         F.col("best.m").alias("matched"),
         F.coalesce(F.col("best.pred"), F.lit(fallback).cast("string")).alias("target"),
     )
-    scored = interpolated_probability(model, predicted)
-    return scored.select(
-        "context_id",
-        "n",
-        "matched",
-        F.col("target").alias("pred"),
-        F.when(F.col("target").isNotNull(), F.col("p")).alias("p"),
+    scored = pair_probabilities(model, predicted)
+    answers = write_table(
+        scored.withColumn("p", F.when(F.col("target").isNotNull(), F.col("p"))), "answered-contexts"
+    )
+    return _answer_each(asked, answers, keys, ["matched", "target", "p"]).select(
+        *contexts.columns, "n", "matched", readable(F.col("target")).alias("pred"), "p"
     )
 
 
@@ -230,29 +226,15 @@ def is_punctuation(target: Column) -> Column:
 
 def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
     """One row per held-out position: `n, method_id, pos, ctx, target, pred, p, is_punct, correct`."""
-    longest = model.max_n
-    pairs = _numbered(evaluation_pairs(methods, model), "position-pairs")
+    keys = ["n", "ctx", "target"]
+    pairs = _numbered(evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks"), "position-pairs")
     scored = _scored(model, pairs, []).select("gid", "p", "correct")
-    predictions = lookup_join(
-        pairs.withColumn("m", F.col("n") - 1),
-        model.contexts,
-        ["n", "m", "ctx"],
-        ["pred"],
-        F.col("cc"),
-        model.positions,
-        "gid",
-    )
-    table = write_table(
-        predictions.join(scored, "gid").select("n", "ctx", "target", "cnt", "pred", "p", "correct"),
-        "scored-pairs",
+    predicted = _with_context(model, pairs.withColumn("m", F.col("length")), ["pred"])
+    answers = write_table(
+        predicted.join(scored, "gid").select(*keys, "asks", "pred", "p", "correct"), "scored-pairs"
     )
-    total = table.groupBy("n").agg(F.sum("cnt").alias("t")).agg(F.max("t")).head()[0] or 0
-    positions = windows(methods, longest).select(
-        "method_id",
-        "pos",
-        "gram",
-        F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n"),
-    ).select(
+    grams = windows(methods.select("method_id", "tokens"), model.max_n)
+    positions = grams.select("method_id", "pos", "gram", _for_every_n(model)).select(
         "n",
         "method_id",
         "pos",
@@ -260,10 +242,9 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
         key_suffix(F.col("gram"), F.lit(1)).alias("target"),
         F.xxhash64("method_id", "pos").alias("_place"),
     )
+    total = answers.agg(F.sum("asks")).head()[0] or 0
     return (
-        lookup_join(
-            positions, table, ["n", "ctx", "target"], ["pred", "p", "correct"], F.col("cnt"), total, "_place"
-        )
+        lookup_join(positions, answers, keys, ["pred", "p", "correct"], F.col("asks"), total, "_place")
         .drop("_place")
         .withColumn("p", floored(model, F.col("p")))
         .withColumn("is_punct", is_punctuation(F.col("target")))
@@ -287,9 +268,7 @@ def evaluate(model: NGramModel, methods: DataFrame) -> DataFrame:
         F.sum(F.when(wordy, bits)).alias("wordy_bits"),
         F.sum(F.when(F.col("correct"), cnt).otherwise(0)).alias("hits"),
     )
-    every_n = methods.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n")
-    )
+    every_n = methods.sparkSession.range(1).select(_for_every_n(model))
 
     def perplexity(bits: str, total: str) -> Column:
         return F.coalesce(F.pow(F.lit(2.0), -F.col(bits) / F.col(total)), F.lit(float("inf")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,9 +11,17 @@ from pyspark.sql import functions as F
 # so a group has fewer than 1 / HOT_FRACTION hot keys.
 HOT_FRACTION = 1e-3
 
-_SPREAD = "_spread"
 _HOT = "_hot"
-_COLD = -1
+KEY_HASH = "_hash"
+
+
+def with_key_hash(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """Put a 64-bit hash of the keys beside them.
+
+    Sorts compare eight bytes of their first column before anything else, so
+    grouping and joining on the hash first, the keys after it, sorts on numbers.
+    """
+    return frame.withColumn(KEY_HASH, F.xxhash64(*keys))
 
 
 def lookup_join(
@@ -20,7 +30,7 @@ def lookup_join(
     keys: list[str],
     values: list[str],
     weight: Column,
-    total: Column | int | float,
+    total: int,
     spread_by: str,
 ) -> DataFrame:
     """`probe` left join `table` on `keys`, adding `values`.
@@ -28,23 +38,24 @@ def lookup_join(
     `table` holds each key once, with a non-negative `weight` that sums to at
     most `total` within each group.  Hot keys, of which the weights allow fewer
     than 1,000 per group, are looked up by broadcast; their probe rows take no
-    part in the shuffled join that serves the rest, where they are dealt out
-    over the partitions by `spread_by` and match nothing.
+    hash of their key into the shuffled join that serves the rest but one of
+    `spread_by`, so they are dealt out over the partitions.
     """
-    is_hot = weight > F.lit(HOT_FRACTION) * total
+    is_hot = weight > int(HOT_FRACTION * total)
     hot = table.filter(is_hot).select(
         *keys, *[F.col(v).alias(f"{_HOT}_{v}") for v in values], F.lit(True).alias(_HOT)
     )
-    cold = table.filter(~is_hot).select(
-        *keys,
-        *[F.col(v).alias(f"{_SPREAD}_{v}") for v in values],
-        F.lit(_COLD).cast("bigint").alias(_SPREAD),
+    cold = with_key_hash(table.filter(~is_hot), keys).select(
+        KEY_HASH, *[F.col(k).alias(f"_cold_{k}") for k in keys], *[F.col(v).alias(f"_cold_{v}") for v in values]
     )
     tagged = probe.join(F.broadcast(hot), keys, "left").withColumn(
-        _SPREAD,
-        F.when(F.col(_HOT), F.abs(F.col(spread_by).cast("bigint"))).otherwise(F.lit(_COLD).cast("bigint")),
+        KEY_HASH, F.when(F.col(_HOT), F.xxhash64(spread_by)).otherwise(F.xxhash64(*keys))
     )
-    return tagged.join(cold, [*keys, _SPREAD], "left").select(
+    # The keys decide the match, the hash only where a row goes; a hot key is
+    # not in `cold`, so a hot row finds nothing wherever it lands.
+    same_key = [F.col(k) == F.col(f"_cold_{k}") for k in keys]
+    matches = reduce(Column.__and__, same_key, tagged[KEY_HASH] == cold[KEY_HASH])
+    return tagged.join(cold, matches, "left").select(
         *probe.columns,
-        *[F.coalesce(F.col(f"{_HOT}_{v}"), F.col(f"{_SPREAD}_{v}")).alias(v) for v in values],
+        *[F.coalesce(F.col(f"{_HOT}_{v}"), F.col(f"_cold_{v}")).alias(v) for v in values],
     )

@@ -185,18 +185,18 @@ def best_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- probabilities, predictions, metrics -----------------------------------
 
 
-def _show_probability(pairs: DataFrame) -> DataFrame:
-    return pairs.select("n", "ctx", "target", F.round("p", _P_DECIMALS).alias("p"))
+def _pair_probabilities(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    model, test = _trigram(spark, sf_dir)
+    pairs = score.pair_probabilities(model, score.evaluation_pairs(test, model))
+    return pairs.select("n", "ctx", "target", F.round(kind, _P_DECIMALS).alias("p"))
 
 
 def raw_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, test = _trigram(spark, sf_dir)
-    return _show_probability(score.raw_probability(model, score.evaluation_pairs(test, model)))
+    return _pair_probabilities(spark, sf_dir, "raw")
 
 
 def interpolated_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, test = _trigram(spark, sf_dir)
-    return _show_probability(score.interpolated_probability(model, score.evaluation_pairs(test, model)))
+    return _pair_probabilities(spark, sf_dir, "p")
 
 
 def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,9 @@ def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("method_id") * 1_000_000 + F.col("pos")).alias("context_id"),
         F.slice("padded", F.col("pos") + 1, ORDER).alias("context"),
     )
-    return score.predict_next(model, contexts).withColumn("p", F.round("p", _P_DECIMALS))
+    return score.predict_next(model, contexts).select(
+        "context_id", "n", "matched", "pred", F.round("p", _P_DECIMALS).alias("p")
+    )
 
 
 def score_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
