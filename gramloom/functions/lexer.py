@@ -23,7 +23,8 @@ LINE_COMMENT = r"//[^\n]*"
 BLOCK_COMMENT = r"/\*[\s\S]*?\*/"
 # `*+` is possessive: the JVM matches it in a loop instead of recursing, so a
 # literal of any length cannot overflow the stack.
-STRING = r'"(?:[^"\\]|\\[\s\S])*+"?'
+TEXT_BLOCK = r'"""\n(?:[^"\\]|\\[\s\S]|""?[^"\\]|""?\\[\s\S])*+(?:""")?'
+STRING = TEXT_BLOCK + "|" + r'"(?:[^"\\]|\\[\s\S])*+"?'
 CHARACTER = r"'\\[\s\S]'|'[^\\]'|'\\u[0-9a-fA-F]{4}'"
 ANNOTATION = r"@[\p{L}\p{Nl}\p{No}_][\p{L}\p{N}_.]*"
 IDENTIFIER = r"[\p{L}\p{Nl}\p{No}_$][\p{L}\p{N}_$]*"
@@ -39,7 +40,7 @@ INTEGER = (
     r"|0|[1-9][0-9_]*[lL]?"
 )
 ANY_OTHER = f"[^{WHITESPACE}]"
-STRING_PIECE = r'[^\\"]+|\\\\|\\"|\\|"'
+STRING_PIECE = r'"""\n|"""|[^\\"]+|\\\\|\\"|\\|"'
 OPERATORS = ("~", "^", "*", "!", "%", "&", "[", "]", "<", ">", "|", "+", "=", "/", "?", "-")
 
 # Identifiers come first because they are the commonest lexeme and no other

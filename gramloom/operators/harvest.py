@@ -242,8 +242,9 @@ def cap_methods(methods: DataFrame, limit: int = MAX_METHODS) -> DataFrame:
                 break
             limit -= row["count"]
         if cut is None:
-            last = counts[-1][level] if counts else None
-            return table.filter(kept | (at_cut & (F.col(level) <= F.lit(last)))) if counts else table.filter(kept)
+            if counts:
+                kept = kept | (at_cut & (F.col(level) <= F.lit(counts[-1][level])))
+            return table.filter(kept)
         kept = kept | (at_cut & (F.col(level) < F.lit(cut)))
         at_cut = at_cut & (F.col(level) == F.lit(cut))
     copies = table.filter(at_cut).limit(limit)
