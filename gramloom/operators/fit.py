@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramloom.functions.grams import (
+    END,
     START,
     first_seen_base,
     first_seen_key,

@@ -248,6 +248,7 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
         .drop("_place")
         .withColumn("p", floored(model, F.col("p")))
         .withColumn("is_punct", is_punctuation(F.col("target")))
+        .withColumns({"target": readable(F.col("target")), "pred": readable(F.col("pred"))})
     )
 
 
