@@ -37,6 +37,7 @@ def session(cpus: str) -> SparkSession:
         .appName("bench")
         .config("spark.driver.memory", "20g")
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus)) if cpus.isdigit() else "16")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

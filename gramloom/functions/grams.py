@@ -17,6 +17,7 @@ ESCAPE = "\x1e"
 
 # A position within a method takes the low 31 bits of a first-seen key.
 POSITION_RANGE = 2**31
+FIRST_SEEN_TYPE = "decimal(31,0)"
 
 
 def pad_tokens(tokens: Column, n: int) -> Column:
@@ -62,7 +63,7 @@ def key_suffix(key: Column, length: Column) -> Column:
 
 def first_seen_base(method_id: Column) -> Column:
     """The first-seen key of a method's first position."""
-    return (method_id.cast("decimal(20,0)") * F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast("decimal(31,0)")
+    return (method_id.cast("decimal(20,0)") * F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast(FIRST_SEEN_TYPE)
 
 
 def first_seen_key(base: Column, pos: Column) -> Column:
@@ -71,7 +72,7 @@ def first_seen_key(base: Column, pos: Column) -> Column:
     A decimal keeps `min` inside hash aggregation, where a struct would force
     a sort of every exploded n-gram, and holds any bigint id.
     """
-    return (base + pos.cast("decimal(10,0)")).cast("decimal(31,0)")
+    return (base + pos.cast("decimal(10,0)")).cast(FIRST_SEEN_TYPE)
 
 
 def first_seen_method(first_seen: Column) -> Column:

@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramloom.functions.grams import (
     END,
+    FIRST_SEEN_TYPE,
     START,
     first_seen_base,
     first_seen_key,
@@ -29,20 +30,23 @@ from gramloom.functions.grams import (
     key_suffix,
     pad_tokens,
 )
-from gramloom.plans.lookup import KEY_HASH, with_key_hash
 from gramloom.plans.scratch import write_table
 
 DEFAULT_SMOOTHING = 0.01
 DEFAULT_LAMBDA = 0.4
 
+RANK_DIGITS = 38
+
 
 @dataclass(frozen=True)
 class NGramModel:
     """One trained model per n, as long tables keyed by n.
 
-    `ngrams(n, m, ctx, target, c, first_seen)`, `contexts(n, m, ctx, cc, pred)`
-    and `vocabulary(token)` are tables; `vocab_size` and `positions`, the total
-    count of each order, are the same for every n.
+    `ngrams(n, m, ctx, target, c, first_seen)`, `contexts(n, m, ctx, cc, best)`
+    and `vocabulary(token)` are tables.  `best` is the first-seen key of a
+    context's best target, which identifies the target within the context.
+    `vocab_size` and `positions`, the total count of each order, are the same
+    for every n.
     """
 
     ngrams: DataFrame
@@ -128,18 +132,43 @@ def ngram_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
 
 
 def context_counts(ngrams: DataFrame) -> DataFrame:
-    """Occurrences and best target per context: `n, m, ctx, cc, pred`.
+    """Occurrences and best target per context: `n, m, ctx, cc, best`.
 
     The best target has the highest count; of equals, the one seen first.
+    Count and first-seen key are ranked as one number where 38 digits hold it,
+    which keeps this in hash aggregation; only for huge ids it sorts.
     """
-    rank = F.struct(-F.col("c"), F.col("first_seen"))
-    keys = ["n", "m", "ctx"]
-    return (
-        with_key_hash(ngrams, keys)
-        .groupBy(KEY_HASH, *keys)
-        .agg(F.sum("c").alias("cc"), F.min_by("target", rank).alias("pred"))
-        .drop(KEY_HASH)
+    c, first_seen = F.col("c"), F.col("first_seen")
+    last, most = (int(value or 0) for value in ngrams.agg(F.max("first_seen"), F.max("c")).head())
+    span = last + 1
+    if span * (most + 1) < 10**RANK_DIGITS:
+        earliness = (_number(last) - first_seen).cast(_digits(span))
+        rank = (c.cast(_digits(most)) * _number(span)).cast(f"decimal({RANK_DIGITS},0)") + earliness
+        best = _number(last) - F.pmod(F.max(rank.cast(f"decimal({RANK_DIGITS},0)")), _number(span))
+    else:
+        best = F.min_by(first_seen, F.struct(-c, first_seen))
+    return ngrams.groupBy("n", "m", "ctx").agg(F.sum("c").alias("cc"), best.cast(FIRST_SEEN_TYPE).alias("best"))
+
+
+def _digits(value: int) -> str:
+    """The narrowest decimal type of a number, so that products stay within 38 digits."""
+    return f"decimal({len(str(value))},0)"
+
+
+def _number(value: int) -> Column:
+    return F.lit(str(value)).cast(_digits(value))
+
+
+def best_targets(model: NGramModel, contexts: DataFrame) -> DataFrame:
+    """Add `pred` to distinct contexts `n, m, ctx, ...`; unknown ones are dropped.
+
+    Every join key is unique on both sides, however frequent a context is.
+    """
+    known = contexts.join(model.contexts.select("n", "m", "ctx", "best"), ["n", "m", "ctx"])
+    targets = model.ngrams.select(
+        "n", "m", "ctx", F.col("first_seen").alias("best"), F.col("target").alias("pred")
     )
+    return known.join(targets, ["n", "m", "ctx", "best"]).select(*contexts.columns, "pred")
 
 
 def vocabulary(methods: DataFrame) -> DataFrame:

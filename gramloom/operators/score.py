@@ -20,7 +20,7 @@ from gramloom.functions.grams import (
     key_suffix,
     readable,
 )
-from gramloom.operators.fit import NGramModel, windows
+from gramloom.operators.fit import NGramModel, best_targets, windows
 from gramloom.plans.lookup import lookup_join
 from gramloom.plans.scratch import write_table
 
@@ -76,8 +76,9 @@ def _with_context(model: NGramModel, asked: DataFrame, values: list[str]) -> Dat
 
 def _with_count(model: NGramModel, asked: DataFrame) -> DataFrame:
     keys = ["n", "m", "ctx", "target"]
+    values = ["c", "first_seen"]
     return lookup_join(
-        asked, model.ngrams.select(*keys, "c"), keys, ["c"], F.col("c"), model.positions, "gid"
+        asked, model.ngrams.select(*keys, *values), keys, values, F.col("c"), model.positions, "gid"
     )
 
 
@@ -116,7 +117,7 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
     target is the pair's.  `carried` columns must be of fixed width, which
     keeps the regrouping in hash aggregation.
     """
-    known = _with_context(model, _context_suffixes(pairs, ["target", *carried]), ["cc", "pred"])
+    known = _with_context(model, _context_suffixes(pairs, ["target", *carried]), ["cc", "best"])
     # An unknown context has no counts to look up.  The empty one stays, so
     # that every pair keeps a row.
     answers = _with_count(model, known.filter(F.col("cc").isNotNull() | (F.col("m") == 0)))
@@ -135,7 +136,7 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
             *per_suffix,
             F.max(F.when(full, F.col("c"))).alias("c_full"),
             F.max(F.when(full, F.col("cc"))).alias("cc_full"),
-            F.max(full & F.col("pred").eqNullSafe(F.col("target"))).alias("correct"),
+            F.max(full & F.col("best").eqNullSafe(F.col("first_seen")) & F.col("best").isNotNull()).alias("correct"),
         )
         .select("gid", "n", *carried, raw.alias("raw"), _interpolated(model).alias("p"), "correct")
     )
@@ -147,10 +148,11 @@ def pair_probabilities(model: NGramModel, pairs: DataFrame) -> DataFrame:
     return numbered.join(_scored(model, numbered, []).select("gid", "raw", "p"), "gid").drop("gid")
 
 
-def _answer_each(asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Give numbered questions the answers to their distinct keys, of which `asks` counts the questions."""
-    total = asked.count()
-    return lookup_join(asked, answers, keys, values, F.col("asks"), total, "gid")
+def _answer_each(
+    asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str], times: str = "asks"
+) -> DataFrame:
+    """Give numbered questions the answers to their distinct keys, of which `times` counts the questions."""
+    return lookup_join(asked, answers, keys, values, F.col(times), asked.count(), "gid")
 
 
 def _keyed_contexts(model: NGramModel, queries: DataFrame) -> DataFrame:
@@ -194,14 +196,20 @@ def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     keys = ["n", "length", "ctx"]
     asked = _numbered(_keyed_contexts(model, contexts).drop("too_long"), "asked-contexts")
     distinct = _numbered(asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks")), "distinct-contexts")
-    known = _with_context(model, _context_suffixes(distinct, []), ["pred"]).filter(F.col("pred").isNotNull())
-    longest = known.groupBy("gid").agg(F.max(F.struct("m", "pred")).alias("best"))
+    known = _with_context(model, _context_suffixes(distinct, []), ["cc"]).filter(F.col("cc").isNotNull())
+    longest = known.groupBy("gid").agg(F.max("m").alias("m"))
+    matched = write_table(
+        distinct.join(longest, "gid", "left").withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))),
+        "matched-contexts",
+    )
+    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx")).agg(F.count(F.lit(1)).alias("times"))
+    best = best_targets(model, suffixes).withColumnRenamed("ctx", "suffix")
     fallback = None if model.positions else model.vocabulary.agg(F.min("token")).head()[0]
-    predicted = distinct.join(longest, "gid", "left").select(
+    predicted = _answer_each(matched, best, ["n", "m", "suffix"], ["pred"], "times").select(
         *keys,
         "asks",
-        F.col("best.m").alias("matched"),
-        F.coalesce(F.col("best.pred"), F.lit(fallback).cast("string")).alias("target"),
+        F.col("m").alias("matched"),
+        F.coalesce("pred", F.lit(fallback).cast("string")).alias("target"),
     )
     scored = pair_probabilities(model, predicted)
     answers = write_table(
@@ -229,7 +237,8 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
     keys = ["n", "ctx", "target"]
     pairs = _numbered(evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks"), "position-pairs")
     scored = _scored(model, pairs, []).select("gid", "p", "correct")
-    predicted = _with_context(model, pairs.withColumn("m", F.col("length")), ["pred"])
+    contexts = pairs.groupBy("n", F.col("length").alias("m"), "ctx").agg(F.count(F.lit(1)).alias("times"))
+    predicted = _answer_each(pairs, best_targets(model, contexts), ["n", "ctx"], ["pred"], "times")
     answers = write_table(
         predicted.join(scored, "gid").select(*keys, "asks", "pred", "p", "correct"), "scored-pairs"
     )

@@ -12,16 +12,7 @@ from pyspark.sql import functions as F
 HOT_FRACTION = 1e-3
 
 _HOT = "_hot"
-KEY_HASH = "_hash"
-
-
-def with_key_hash(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Put a 64-bit hash of the keys beside them.
-
-    Sorts compare eight bytes of their first column before anything else, so
-    grouping and joining on the hash first, the keys after it, sorts on numbers.
-    """
-    return frame.withColumn(KEY_HASH, F.xxhash64(*keys))
+_HASH = "_hash"
 
 
 def lookup_join(
@@ -45,16 +36,18 @@ def lookup_join(
     hot = table.filter(is_hot).select(
         *keys, *[F.col(v).alias(f"{_HOT}_{v}") for v in values], F.lit(True).alias(_HOT)
     )
-    cold = with_key_hash(table.filter(~is_hot), keys).select(
-        KEY_HASH, *[F.col(k).alias(f"_cold_{k}") for k in keys], *[F.col(v).alias(f"_cold_{v}") for v in values]
+    # Sorts compare eight bytes of their first column before anything else, so
+    # joining on the hash first, the keys after it, sorts on numbers.
+    cold = table.filter(~is_hot).select(
+        F.xxhash64(*keys).alias(_HASH), *[F.col(k).alias(f"_cold_{k}") for k in keys], *[F.col(v).alias(f"_cold_{v}") for v in values]
     )
     tagged = probe.join(F.broadcast(hot), keys, "left").withColumn(
-        KEY_HASH, F.when(F.col(_HOT), F.xxhash64(spread_by)).otherwise(F.xxhash64(*keys))
+        _HASH, F.when(F.col(_HOT), F.xxhash64(spread_by)).otherwise(F.xxhash64(*keys))
     )
     # The keys decide the match, the hash only where a row goes; a hot key is
     # not in `cold`, so a hot row finds nothing wherever it lands.
     same_key = [F.col(k) == F.col(f"_cold_{k}") for k in keys]
-    matches = reduce(Column.__and__, same_key, tagged[KEY_HASH] == cold[KEY_HASH])
+    matches = reduce(Column.__and__, same_key, tagged[_HASH] == cold[_HASH])
     return tagged.join(cold, matches, "left").select(
         *probe.columns,
         *[F.coalesce(F.col(f"{_HOT}_{v}"), F.col(f"_cold_{v}")).alias(v) for v in values],

@@ -169,17 +169,14 @@ def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER])
-    return fit.context_counts(counts)
-
-
 def context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _contexts(spark, sf_dir).select("n", "m", "ctx", "cc")
+    counts = write_table(fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER]), "ngrams")
+    return fit.context_counts(counts).select("n", "m", "ctx", "cc")
 
 
 def best_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _contexts(spark, sf_dir).select("n", "m", "ctx", "pred")
+    model = fit.fit(_training_documents(spark, sf_dir), ORDER)
+    return fit.best_targets(model, model.contexts.select("n", "m", "ctx"))
 
 
 # -- probabilities, predictions, metrics -----------------------------------

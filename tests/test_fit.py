@@ -27,7 +27,7 @@ def test_worked_example(methods):
     }
     assert counts(model) == {(3, len(ctx), ctx, t): c for (ctx, t), c in expected.items()}
     assert (model.vocab_size, model.positions) == (5, 7)
-    contexts = {(r.m, r.ctx): (r.cc, r.pred) for r in model.contexts.collect()}
+    contexts = {(r.m, r.ctx): (r.cc, r.pred) for r in fit.best_targets(model, model.contexts.drop("best")).collect()}
     assert contexts[(2, f"{S}\x1fa")] == (2, "b")
     assert contexts[(0, "")] == (7, S)
 
@@ -52,7 +52,7 @@ def test_counts_equal_brute_force(methods, n):
     assert got == {
         (len(c), key(c)): {t.replace("\x1f", "\x1es"): v for t, v in after.items()} for c, after in expected.after.items()
     }
-    best = {(r.m, r.ctx): r.pred for r in model.contexts.collect()}
+    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model, model.contexts.select("n", "m", "ctx")).collect()}
     assert best == {(len(c), key(c)): expected.best(c).replace("\x1f", "\x1es") for c in expected.after}
     assert model.vocab_size == len(expected.words)
 
@@ -86,7 +86,8 @@ def test_results_do_not_depend_on_partitions(spark, methods, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         model = fit.fit(methods(data).repartition(5), 3)
-        best = {r.ctx: r.pred for r in model.contexts.filter("m = 1").collect()}
+        asked = model.contexts.filter("m = 1").select("n", "m", "ctx")
+        best = {r.ctx: r.pred for r in fit.best_targets(model, asked).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert best == {
@@ -102,6 +103,31 @@ def test_first_seen_holds_any_id(methods):
     assert {r.gram: (r.m, r.p) for r in rows.collect()} == {"a": (big, 0), "b": (big, 1), E: (big, 2)}
 
 
+@pytest.mark.parametrize("offset", [0, 2**40, 2**62])
+def test_best_target_for_any_id(methods, offset):
+    """Small ids rank in one number, huge ones by sorting; both give the same."""
+    data = corpus(13)
+    model = fit.fit(methods([(offset + 3 * i, tokens) for i, tokens in enumerate(data)]), 3)
+    expected = Model(data, 3)
+    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model, model.contexts.select("n", "m", "ctx")).collect()}
+    assert len(best) == len(expected.after)
+    assert best[(0, "")] == expected.best(()) and best[(1, ";")] == expected.best((";",))
+
+
+def test_huge_counts_and_ids_fall_back_to_sorting(frame):
+    schema = "n int, m int, ctx string, target string, c bigint, first_seen decimal(31,0)"
+    from decimal import Decimal
+
+    late = Decimal(2**94 - 1)
+    rows = [(1, 0, "", "a", 10**12, late), (1, 0, "", "b", 10**12, late - 1), (1, 0, "", "c", 5, Decimal(0))]
+    contexts = fit.context_counts(frame(rows, schema))
+    assert tuple(contexts.select("cc", "best").head()) == (2 * 10**12 + 5, late - 1)
+    assert "SortAggregate" in contexts._jdf.queryExecution().executedPlan().toString()
+    small = fit.context_counts(frame([(1, 0, "", "a", 10**12, Decimal(2**70)), (1, 0, "", "b", 10**12, Decimal(7))], schema))
+    assert tuple(small.select("cc", "best").head()) == (2 * 10**12, Decimal(7))
+    assert "SortAggregate" not in small._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parameters_are_checked(methods):
     data = methods(GOLDEN)
     for bad in ({"n_values": 0}, {"n_values": []}, {"n_values": 2, "smoothing_k": -1.0}):
