@@ -159,16 +159,13 @@ def _number(value: int) -> Column:
     return F.lit(str(value)).cast(_digits(value))
 
 
-def best_targets(model: NGramModel, contexts: DataFrame) -> DataFrame:
-    """Add `pred` to distinct contexts `n, m, ctx, ...`; unknown ones are dropped.
+def best_targets(ngrams: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Add `pred`, the token behind `best`, to distinct contexts `n, m, ctx, best, ...`.
 
-    Every join key is unique on both sides, however frequent a context is.
+    The join keys are unique on both sides, however frequent a context is.
     """
-    known = contexts.join(model.contexts.select("n", "m", "ctx", "best"), ["n", "m", "ctx"])
-    targets = model.ngrams.select(
-        "n", "m", "ctx", F.col("first_seen").alias("best"), F.col("target").alias("pred")
-    )
-    return known.join(targets, ["n", "m", "ctx", "best"]).select(*contexts.columns, "pred")
+    targets = ngrams.select("n", "m", "ctx", F.col("first_seen").alias("best"), F.col("target").alias("pred"))
+    return contexts.join(targets, ["n", "m", "ctx", "best"]).select(*contexts.columns, "pred")
 
 
 def vocabulary(methods: DataFrame) -> DataFrame:

@@ -110,11 +110,11 @@ def _interpolated(model: NGramModel) -> Column:
 
 
 def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
-    """One row per numbered pair: `gid, n, <carried>, raw, p, correct`.
+    """One row per numbered pair: `gid, n, <carried>, raw, p, best, correct`.
 
     `raw` is the estimate of the full context alone, 0 for an unknown one; `p`
-    the interpolated one; `correct` says whether the full context's best
-    target is the pair's.  `carried` columns must be of fixed width, which
+    the interpolated one; `best` names the full context's best target and
+    `correct` says whether it is the pair's.  `carried` columns must be of fixed width, which
     keeps the regrouping in hash aggregation.
     """
     known = _with_context(model, _context_suffixes(pairs, ["target", *carried]), ["cc", "best"])
@@ -136,9 +136,18 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
             *per_suffix,
             F.max(F.when(full, F.col("c"))).alias("c_full"),
             F.max(F.when(full, F.col("cc"))).alias("cc_full"),
-            F.max(full & F.col("best").eqNullSafe(F.col("first_seen")) & F.col("best").isNotNull()).alias("correct"),
+            F.max(F.when(full, F.col("best"))).alias("best"),
+            F.max(F.when(full, F.col("first_seen"))).alias("first_seen"),
+        )
+        .select(
+            "gid",
+            "n",
+            *carried,
+            raw.alias("raw"),
+            _interpolated(model).alias("p"),
+            "best",
+            F.coalesce(F.col("best") == F.col("first_seen"), F.lit(False)).alias("correct"),
         )
-        .select("gid", "n", *carried, raw.alias("raw"), _interpolated(model).alias("p"), "correct")
     )
 
 
@@ -196,14 +205,19 @@ def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     keys = ["n", "length", "ctx"]
     asked = _numbered(_keyed_contexts(model, contexts).drop("too_long"), "asked-contexts")
     distinct = _numbered(asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks")), "distinct-contexts")
-    known = _with_context(model, _context_suffixes(distinct, []), ["cc"]).filter(F.col("cc").isNotNull())
-    longest = known.groupBy("gid").agg(F.max("m").alias("m"))
+    known = _with_context(model, _context_suffixes(distinct, []), ["best"])
+    per_length = [F.max(F.when(F.col("m") == m, F.col("best"))) for m in reversed(range(model.max_n))]
+    longest = known.groupBy("gid").agg(
+        F.max(F.when(F.col("best").isNotNull(), F.col("m"))).alias("m"), F.coalesce(*per_length).alias("best")
+    )
     matched = write_table(
-        distinct.join(longest, "gid", "left").withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))),
+        distinct.join(longest, "gid").withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))),
         "matched-contexts",
     )
-    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx")).agg(F.count(F.lit(1)).alias("times"))
-    best = best_targets(model, suffixes).withColumnRenamed("ctx", "suffix")
+    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx"), "best").agg(
+        F.count(F.lit(1)).alias("times")
+    )
+    best = best_targets(model.ngrams, suffixes).withColumnRenamed("ctx", "suffix")
     fallback = None if model.positions else model.vocabulary.agg(F.min("token")).head()[0]
     predicted = _answer_each(matched, best, ["n", "m", "suffix"], ["pred"], "times").select(
         *keys,
@@ -236,12 +250,12 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
     """One row per held-out position: `n, method_id, pos, ctx, target, pred, p, is_punct, correct`."""
     keys = ["n", "ctx", "target"]
     pairs = _numbered(evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks"), "position-pairs")
-    scored = _scored(model, pairs, []).select("gid", "p", "correct")
-    contexts = pairs.groupBy("n", F.col("length").alias("m"), "ctx").agg(F.count(F.lit(1)).alias("times"))
-    predicted = _answer_each(pairs, best_targets(model, contexts), ["n", "ctx"], ["pred"], "times")
-    answers = write_table(
-        predicted.join(scored, "gid").select(*keys, "asks", "pred", "p", "correct"), "scored-pairs"
+    scored = write_table(
+        pairs.join(_scored(model, pairs, []).select("gid", "p", "best", "correct"), "gid"), "scored-pairs"
     )
+    contexts = scored.groupBy("n", F.col("length").alias("m"), "ctx", "best").agg(F.count(F.lit(1)).alias("times"))
+    best = best_targets(model.ngrams, contexts)
+    answers = write_table(_answer_each(scored, best, ["n", "ctx"], ["pred"], "times"), "answered-pairs")
     grams = windows(methods.select("method_id", "tokens"), model.max_n)
     positions = grams.select("method_id", "pos", "gram", _for_every_n(model)).select(
         "n",

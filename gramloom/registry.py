@@ -169,14 +169,17 @@ def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_table(fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER]), "ngrams")
+
+
 def context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = write_table(fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER]), "ngrams")
-    return fit.context_counts(counts).select("n", "m", "ctx", "cc")
+    return fit.context_counts(_counted(spark, sf_dir)).select("n", "m", "ctx", "cc")
 
 
 def best_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = fit.fit(_training_documents(spark, sf_dir), ORDER)
-    return fit.best_targets(model, model.contexts.select("n", "m", "ctx"))
+    counts = _counted(spark, sf_dir)
+    return fit.best_targets(counts, fit.context_counts(counts)).select("n", "m", "ctx", "pred")
 
 
 # -- probabilities, predictions, metrics -----------------------------------

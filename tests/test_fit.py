@@ -27,7 +27,7 @@ def test_worked_example(methods):
     }
     assert counts(model) == {(3, len(ctx), ctx, t): c for (ctx, t), c in expected.items()}
     assert (model.vocab_size, model.positions) == (5, 7)
-    contexts = {(r.m, r.ctx): (r.cc, r.pred) for r in fit.best_targets(model, model.contexts.drop("best")).collect()}
+    contexts = {(r.m, r.ctx): (r.cc, r.pred) for r in fit.best_targets(model.ngrams, model.contexts).collect()}
     assert contexts[(2, f"{S}\x1fa")] == (2, "b")
     assert contexts[(0, "")] == (7, S)
 
@@ -52,7 +52,7 @@ def test_counts_equal_brute_force(methods, n):
     assert got == {
         (len(c), key(c)): {t.replace("\x1f", "\x1es"): v for t, v in after.items()} for c, after in expected.after.items()
     }
-    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model, model.contexts.select("n", "m", "ctx")).collect()}
+    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model.ngrams, model.contexts).collect()}
     assert best == {(len(c), key(c)): expected.best(c).replace("\x1f", "\x1es") for c in expected.after}
     assert model.vocab_size == len(expected.words)
 
@@ -86,8 +86,7 @@ def test_results_do_not_depend_on_partitions(spark, methods, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         model = fit.fit(methods(data).repartition(5), 3)
-        asked = model.contexts.filter("m = 1").select("n", "m", "ctx")
-        best = {r.ctx: r.pred for r in fit.best_targets(model, asked).collect()}
+        best = {r.ctx: r.pred for r in fit.best_targets(model.ngrams, model.contexts.filter("m = 1")).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert best == {
@@ -109,7 +108,7 @@ def test_best_target_for_any_id(methods, offset):
     data = corpus(13)
     model = fit.fit(methods([(offset + 3 * i, tokens) for i, tokens in enumerate(data)]), 3)
     expected = Model(data, 3)
-    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model, model.contexts.select("n", "m", "ctx")).collect()}
+    best = {(r.m, r.ctx): r.pred for r in fit.best_targets(model.ngrams, model.contexts).collect()}
     assert len(best) == len(expected.after)
     assert best[(0, "")] == expected.best(()) and best[(1, ";")] == expected.best((";",))
 
