@@ -22,7 +22,7 @@ HEADLINE = (
     "eval_metrics",
     "predict_next",
     "score_positions",
-    "clean_pipeline",
+    "clean_chain",
     "clean_funnel",
     "compare_n",
     "final_model",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramloom.operators.corpus import (
@@ -27,7 +27,7 @@ DEFAULT_MAX_N = 8
 
 
 @dataclass(frozen=True)
-class PipelineResult:
+class RunResult:
     best_n: int
     comparison: DataFrame
     model: NGramModel
@@ -76,8 +76,7 @@ def final_model(
     return model, evaluate(model, methods.filter(F.col("split") == TEST))
 
 
-def run_pipeline(
-    spark: SparkSession,
+def train_and_test(
     tokenised: DataFrame,
     output_dir: str | None = None,
     min_n: int = DEFAULT_MIN_N,
@@ -86,7 +85,7 @@ def run_pipeline(
     quick: bool = False,
     include_test: bool = False,
     seed: int = DEFAULT_SEED,
-) -> PipelineResult:
+) -> RunResult:
     """Split, select n, retrain, test and, given a folder, save metrics and model.
 
     `quick` selects on a sample of 1,000 methods; the final model still uses
@@ -94,19 +93,11 @@ def run_pipeline(
     """
     orders(min_n, max_n)
     methods = write_table(split_methods(tokenised, seed), "methods")
-    pool = quick_sample(methods, seed=seed, include_test=include_test) if quick else methods
+    pool = methods
     if quick:
-        pool = write_table(pool, "quick-sample")
-    comparison = write_table(
-        compare_orders(
-            pool.filter(F.col("split") == TRAIN),
-            pool.filter(F.col("split") == VALIDATION),
-            min_n,
-            max_n,
-            smoothing_k,
-        ),
-        "comparison",
-    )
+        pool = write_table(quick_sample(methods, seed=seed, include_test=include_test), "quick-sample")
+    train, validation = (pool.filter(F.col("split") == split) for split in (TRAIN, VALIDATION))
+    comparison = write_table(compare_orders(train, validation, min_n, max_n, smoothing_k), "comparison")
     best = best_order(comparison).head()
     if best is None:
         raise ValueError("no order could be evaluated: the validation set is empty")
@@ -116,4 +107,4 @@ def run_pipeline(
         write_comparison(comparison, f"{output_dir}/metrics_compare.json")
         write_metrics(metrics, f"{output_dir}/metrics.json")
         save_model(model, output_dir)
-    return PipelineResult(best["n"], comparison, model, metrics)
+    return RunResult(best["n"], comparison, model, metrics)

@@ -59,6 +59,7 @@ def _normalised(code: str) -> str:
 
 _DOCUMENTS = "SELECT doc_id AS method_id, text AS code FROM documents"
 _CONVERSATIONS = "SELECT conv_id * 1000 + turn AS method_id, text AS code FROM conversations"
+_PAGES = "SELECT page_id AS method_id, html AS code FROM pages"
 _BUCKET = "(('0x' || substr(md5('42:' || method_id), 1, 8))::BIGINT % 10)"
 _SPLIT = f"CASE WHEN {_BUCKET} < 8 THEN 'train' WHEN {_BUCKET} = 8 THEN 'val' ELSE 'test' END"
 
@@ -75,14 +76,23 @@ def _shown(methods: str) -> str:
 
 # -- cleaning ----------------------------------------------------------------
 
-_CLEAN = f"""SELECT method_id, code FROM (SELECT method_id, {_normalised('code')} AS code
-  FROM (SELECT method_id, {_stripped('code')} AS code FROM ({JAVA_METHODS}) m) s) n"""
-_NON_EMPTY = f"SELECT * FROM ({_CLEAN}) c WHERE code <> ''"
-_DISTINCT = f"SELECT min(method_id) AS method_id, code FROM ({_NON_EMPTY}) c GROUP BY code"
 _IS_ASCII = r"NOT regexp_matches(code, '[^\x00-\x7F]')"
 _IS_BOILERPLATE = f"regexp_matches(code, {_text('|'.join(BOILERPLATE_PATTERNS))})"
 
 
+def _cleaned(methods: str) -> str:
+    return f"""SELECT method_id, code FROM (SELECT method_id, {_normalised('code')} AS code
+      FROM (SELECT method_id, {_stripped('code')} AS code FROM ({methods}) m) s) n"""
+
+
+def _non_empty(methods: str) -> str:
+    return f"SELECT * FROM ({_cleaned(methods)}) c WHERE code <> ''"
+
+
+def _distinct(methods: str) -> str:
+    return f"SELECT min(method_id) AS method_id, code FROM ({_non_empty(methods)}) c GROUP BY code"
+
+
 def _bounds(methods: str) -> str:
     return f"""SELECT round(quantile_cont(length(code), 0.05), 6) AS lower_bound,
       round(quantile_cont(length(code), 0.95), 6) AS upper_bound FROM ({methods}) b"""
@@ -93,17 +103,27 @@ def _trimmed(methods: str) -> str:
       WHERE length(code) BETWEEN lower_bound AND upper_bound"""
 
 
-_ASCII_DISTINCT = f"SELECT * FROM ({_DISTINCT}) d WHERE {_IS_ASCII}"
-_CLEANED = f"SELECT method_id, code FROM ({_trimmed(_ASCII_DISTINCT)}) t WHERE NOT {_IS_BOILERPLATE}"
+def _ascii_distinct(methods: str) -> str:
+    return f"SELECT * FROM ({_distinct(methods)}) d WHERE {_IS_ASCII}"
+
+
+def _chain(methods: str) -> str:
+    return f"SELECT method_id, code FROM ({_trimmed(_ascii_distinct(methods))}) t WHERE NOT {_IS_BOILERPLATE}"
+
+
+_NON_EMPTY = _non_empty(JAVA_METHODS)
+_DISTINCT = _distinct(JAVA_METHODS)
+_ASCII_DISTINCT = _ascii_distinct(JAVA_METHODS)
+_CHAIN = _chain(JAVA_METHODS)
 
 _FUNNEL = f"""
 WITH counts AS (SELECT
-  (SELECT count(*) FROM ({_CLEAN}) c) AS raw,
+  (SELECT count(*) FROM ({_cleaned(JAVA_METHODS)}) c) AS raw,
   (SELECT count(*) FROM ({_NON_EMPTY}) c) AS non_empty,
   (SELECT count(*) FROM ({_DISTINCT}) c) AS distinct_texts,
   (SELECT count(*) FROM ({_ASCII_DISTINCT}) c) AS plain,
   (SELECT count(*) FROM ({_trimmed(_ASCII_DISTINCT)}) c) AS trimmed,
-  (SELECT count(*) FROM ({_CLEANED}) c) AS kept)
+  (SELECT count(*) FROM ({_CHAIN}) c) AS kept)
 SELECT 1::INTEGER AS step, 'comment_only' AS stage, raw AS rows_in, non_empty AS rows_out, raw - non_empty AS removed,
   NULL::DOUBLE AS lower_bound, NULL::DOUBLE AS upper_bound FROM counts
 UNION ALL SELECT 2, 'duplicates', non_empty, distinct_texts, non_empty - distinct_texts, NULL, NULL FROM counts
@@ -202,9 +222,17 @@ _SCORED = _with_probability(3, _asked(3, "docs", _TEST))
 _TRIGRAM_METRICS = f"{_TRIGRAM} SELECT {_shown_metrics()} FROM ({_metrics(3, _SCORED)}) m"
 
 _ORDERS = range(2, 8)
-_COMPARISON = f"""WITH java AS MATERIALIZED ({_tokenised(JAVA_METHODS)}),
-{", ".join(_evaluated(n, 'java', _TRAIN, _VAL) for n in _ORDERS)},
-comparison AS MATERIALIZED ({" UNION ALL ".join(f"SELECT * FROM metrics_{n}" for n in _ORDERS)})"""
+
+
+def _compared(methods: str) -> str:
+    """CTEs up to `comparison`, one row of validation metrics per order."""
+    models = ", ".join(_evaluated(n, "corpus", _TRAIN, _VAL) for n in _ORDERS)
+    union = " UNION ALL ".join(f"SELECT * FROM metrics_{n}" for n in _ORDERS)
+    return f"""WITH corpus AS MATERIALIZED ({_tokenised(methods)}),
+{models}, comparison AS MATERIALIZED ({union})"""
+
+
+_COMPARISON = _compared(JAVA_METHODS)
 
 
 def _final() -> str:
@@ -213,8 +241,8 @@ def _final() -> str:
     models = []
     for n in _ORDERS:
         tag = f"_f{n}"
-        scored = _with_probability(n, _asked(n, "java", _TEST), tag)
-        models.append(f"{_model_tables(n, 'java', train_and_val, tag)}, metrics{tag} AS ({_metrics(n, scored, tag)})")
+        scored = _with_probability(n, _asked(n, "corpus", _TEST), tag)
+        models.append(f"{_model_tables(n, 'corpus', train_and_val, tag)}, metrics{tag} AS ({_metrics(n, scored, tag)})")
     union = " UNION ALL ".join(f"SELECT * FROM metrics_f{n}" for n in _ORDERS)
     return f"""{_COMPARISON}, {", ".join(models)}
       SELECT {_shown_metrics()} FROM ({union}) f WHERE n = (SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1)"""
@@ -305,6 +333,7 @@ _LINES = r"""SELECT 0 AS method_id, unnest(regexp_split_to_array(text, '\r\n|\r|
 ORACLE: dict[str, str] = {
     "tokenize_docs": _shown(_DOCUMENTS),
     "tokenize_conversations": _shown(_CONVERSATIONS),
+    "tokenize_pages": _shown(_PAGES),
     "tokenize_java": _shown(JAVA_METHODS),
     "pad_tokens": _PADDED,
     "split_docs": f"SELECT method_id, {_SPLIT} AS split FROM ({_DOCUMENTS}) d",
@@ -318,7 +347,8 @@ ORACLE: dict[str, str] = {
     "length_bounds": _bounds(_DOCUMENTS),
     "length_trim": f"SELECT method_id FROM ({_trimmed(_DOCUMENTS)}) t",
     "boilerplate_filter": f"SELECT * FROM ({_NON_EMPTY}) c WHERE NOT {_IS_BOILERPLATE}",
-    "clean_pipeline": _CLEANED,
+    "clean_chain": _CHAIN,
+    "clean_documents": _chain(_DOCUMENTS),
     "clean_funnel": _FUNNEL,
     "vocabulary": f"""{_DOCS} SELECT unnest(tokens) AS token FROM docs WHERE {_TRAIN}
       UNION SELECT '<START>' UNION SELECT '<END>'""",
@@ -338,11 +368,12 @@ ORACLE: dict[str, str] = {
     "eval_metrics": _TRIGRAM_METRICS,
     "metrics_report": f"{_TRIGRAM} SELECT {_shown_metrics((3, 3))} FROM ({_metrics(3, _SCORED)}) m",
     "compare_n": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",
+    "compare_n_conversations": f"{_compared(_CONVERSATIONS)} SELECT {_shown_metrics()} FROM comparison",
     "select_n": f"{_COMPARISON} SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1",
     "final_model": _final(),
     "csv_roundtrip": f"SELECT code FROM ({JAVA_METHODS}) m",
     "column_resolution": f"SELECT method_code AS code FROM ({_EXTRACTED}) e",
-    "processed_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CLEANED)}) t",
+    "processed_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CHAIN)}) t",
     "text_lines": f"SELECT tokens, n_tokens FROM ({_shown(_LINES)}) t",
     "model_roundtrip": _TRIGRAM_METRICS,
     "metrics_json": _TRIGRAM_METRICS,

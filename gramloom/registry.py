@@ -79,6 +79,10 @@ def tokenize_java(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_tokens(corpus.tokenize_methods(tables.java_methods(spark, sf_dir)))
 
 
+def tokenize_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show_tokens(corpus.tokenize_methods(tables.page_texts(spark, sf_dir)))
+
+
 def pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
     padded = tokens.select("method_id", pad_tokens(F.col("tokens"), ORDER).alias("tokens"))
@@ -138,10 +142,14 @@ def boilerplate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.drop_boilerplate(_cleaned(spark, sf_dir))
 
 
-def clean_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_methods(tables.java_methods(spark, sf_dir))
 
 
+def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_methods(tables.document_texts(spark, sf_dir))
+
+
 def clean_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.cleaning_funnel(tables.java_methods(spark, sf_dir))
 
@@ -241,6 +249,14 @@ def compare_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_metrics(_comparison(spark, sf_dir))
 
 
+def compare_n_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = corpus.tokenize_methods(tables.conversation_texts(spark, sf_dir))
+    methods = write_table(corpus.split_methods(tokens), "conversations")
+    return _show_metrics(
+        choose.compare_orders(_part_of(methods, corpus.TRAIN), _part_of(methods, corpus.VALIDATION))
+    )
+
+
 def select_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return choose.best_order(_comparison(spark, sf_dir)).select("n")
 
@@ -248,7 +264,7 @@ def select_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run: select n on validation, retrain on train and validation, test."""
     tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
-    return _show_metrics(choose.run_pipeline(spark, tokens).metrics)
+    return _show_metrics(choose.train_and_test(tokens).metrics)
 
 
 # -- sources and sinks -----------------------------------------------------
@@ -348,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "tokenize_docs": tokenize_docs,
     "tokenize_conversations": tokenize_conversations,
     "tokenize_java": tokenize_java,
+    "tokenize_pages": tokenize_pages,
     "pad_tokens": pad,
     "split_docs": split_docs,
     "exact_split_docs": exact_split_docs,
@@ -360,7 +377,8 @@ QUERIES: dict[str, Query] = {
     "length_bounds": length_bounds,
     "length_trim": length_trim,
     "boilerplate_filter": boilerplate_filter,
-    "clean_pipeline": clean_pipeline,
+    "clean_chain": clean_chain,
+    "clean_documents": clean_documents,
     "clean_funnel": clean_funnel,
     "vocabulary": vocabulary,
     "ngram_counts": ngram_counts,
@@ -373,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "eval_metrics": eval_metrics,
     "metrics_report": metrics_report,
     "compare_n": compare_n,
+    "compare_n_conversations": compare_n_conversations,
     "select_n": select_n,
     "final_model": final_model,
     "csv_roundtrip": csv_roundtrip,

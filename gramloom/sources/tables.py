@@ -74,6 +74,12 @@ def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(turns, "method_id")
 
 
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`method_id, code` from the pages."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("method_id"), F.col("html").alias("code"))
+    return spread(pages, "method_id")
+
+
 def _over_files(query: str, sf_dir: str, name: str) -> str:
     """The query with one table read from its parquet file."""
     return query.replace(f"FROM {name}", f"FROM parquet.`{sf_dir}/{name}.parquet`")

@@ -31,8 +31,8 @@ def tokenised(methods):
 
 
 @pytest.mark.parametrize("quick", [False, True])
-def test_pipeline(spark, tokenised, tmp_path, quick):
-    result = choose.run_pipeline(spark, tokenised, str(tmp_path), min_n=1, max_n=4, quick=quick)
+def test_run(spark, tokenised, tmp_path, quick):
+    result = choose.train_and_test(tokenised, str(tmp_path), min_n=1, max_n=4, quick=quick)
     rows = {r.method_id: (r.split, r.tokens) for r in corpus.split_methods(tokenised).collect()}
     train_val = [t for _, (s, t) in sorted(rows.items()) if s != "test"]
     test = [t for _, (s, t) in rows.items() if s == "test"]
