@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gramloom.operators.compare import evaluate_orders, fit_orders
 from gramloom.operators.corpus import (
     DEFAULT_SEED,
     TEST,
@@ -49,9 +50,9 @@ def compare_orders(
     smoothing_k: float = DEFAULT_SMOOTHING,
     lambda_factor: float = DEFAULT_LAMBDA,
 ) -> DataFrame:
-    """Validation metrics of every order: all are trained and scored together, with n as a key."""
-    model = fit(train, list(orders(min_n, max_n)), smoothing_k, lambda_factor)
-    return filter_comparison_metrics(evaluate(model, validation))
+    """Validation metrics of every order, all trained and scored together."""
+    models = fit_orders(train, orders(min_n, max_n), smoothing_k, lambda_factor)
+    return filter_comparison_metrics(evaluate_orders(models, validation))
 
 
 def filter_comparison_metrics(metrics: DataFrame) -> DataFrame:

@@ -138,16 +138,24 @@ def context_counts(ngrams: DataFrame) -> DataFrame:
     Count and first-seen key are ranked as one number where 38 digits hold it,
     which keeps this in hash aggregation; only for huge ids it sorts.
     """
-    c, first_seen = F.col("c"), F.col("first_seen")
-    last, most = (int(value or 0) for value in ngrams.agg(F.max("first_seen"), F.max("c")).head())
+    last, most = ngrams.agg(F.max("first_seen"), F.max("c")).head()
+    best = best_first_seen(F.col("c"), F.col("first_seen"), int(last or 0), int(most or 0))
+    return ngrams.groupBy("n", "m", "ctx").agg(F.sum("c").alias("cc"), best.alias("best"))
+
+
+def best_first_seen(c: Column, first_seen: Column, last: int, most: int) -> Column:
+    """Aggregate: the first-seen key of the highest count, given the largest values of both.
+
+    Nulls are ignored.
+    """
     span = last + 1
     if span * (most + 1) < 10**RANK_DIGITS:
         earliness = (_number(last) - first_seen).cast(_digits(span))
         rank = (c.cast(_digits(most)) * _number(span)).cast(f"decimal({RANK_DIGITS},0)") + earliness
         best = _number(last) - F.pmod(F.max(rank.cast(f"decimal({RANK_DIGITS},0)")), _number(span))
     else:
-        best = F.min_by(first_seen, F.struct(-c, first_seen))
-    return ngrams.groupBy("n", "m", "ctx").agg(F.sum("c").alias("cc"), best.cast(FIRST_SEEN_TYPE).alias("best"))
+        best = F.min_by(first_seen, F.when(c.isNotNull(), F.struct(-c, first_seen)))
+    return best.cast(FIRST_SEEN_TYPE)
 
 
 def _digits(value: int) -> str:

@@ -8,7 +8,9 @@ answers are folded into one probability per pair by plain arithmetic.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,31 +84,38 @@ def _with_count(model: NGramModel, asked: DataFrame) -> DataFrame:
     )
 
 
-def raw_estimate(model: NGramModel, c: Column, cc: Column) -> Column:
+class Smoothing(Protocol):
+    """What an estimate needs to know about its model."""
+
+    smoothing_k: float
+    lambda_factor: float
+    vocab_size: int
+
+
+def raw_estimate(model: Smoothing, c: Column, cc: Column) -> Column:
     """Smoothed relative frequency within one context."""
     k = model.smoothing_k
     return (F.coalesce(c, F.lit(0)) + k) / (cc + k * model.vocab_size)
 
 
-def _interpolated(model: NGramModel) -> Column:
-    """Fold `c_<m>, cc_<m>` from the empty context to the longest one.
+def interpolate(model: Smoothing, counts: Sequence[tuple[Column, Column]]) -> Column:
+    """Fold the (c, cc) of all suffixes from the empty context to the longest one.
 
     A suffix that is no known context has weight zero, so each step uses the
     shorter estimate exactly once and the expression stays linear in n.
     """
 
-    def step(shorter: Column, m: int) -> Column:
-        c, cc = F.col(f"c_{m}"), F.col(f"cc_{m}")
+    def step(shorter: Column, suffix: tuple[Column, Column]) -> Column:
+        c, cc = suffix
         trust = F.least(F.lit(1.0), cc / FULL_TRUST)
         weight = model.lambda_factor + (1 - model.lambda_factor) * trust
         own = F.when(cc.isNull(), F.lit(0.0)).otherwise(weight * raw_estimate(model, c, cc))
         return own + F.when(cc.isNull(), F.lit(1.0)).otherwise(1 - weight) * shorter
 
     uniform = 1.0 / model.vocab_size if model.vocab_size else 0.0
-    empty = F.when(F.col("cc_0").isNull(), F.lit(uniform)).otherwise(
-        raw_estimate(model, F.col("c_0"), F.col("cc_0"))
-    )
-    return reduce(step, range(1, model.max_n), empty)
+    c, cc = counts[0]
+    empty = F.when(cc.isNull(), F.lit(uniform)).otherwise(raw_estimate(model, c, cc))
+    return reduce(step, counts[1:], empty)
 
 
 def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
@@ -144,7 +153,7 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
             "n",
             *carried,
             raw.alias("raw"),
-            _interpolated(model).alias("p"),
+            interpolate(model, [(F.col(f"c_{m}"), F.col(f"cc_{m}")) for m in range(model.max_n)]).alias("p"),
             "best",
             F.coalesce(F.col("best") == F.col("first_seen"), F.lit(False)).alias("correct"),
         )
@@ -234,7 +243,7 @@ def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     )
 
 
-def floored(model: NGramModel, p: Column) -> Column:
+def floored(model: Smoothing, p: Column) -> Column:
     """A probability fit for a logarithm: k instead of 0, an error when that is 0 too."""
     impossible = F.raise_error(F.lit("impossible token and smoothing_k = 0")).cast("double")
     return F.when(p > 0, p).otherwise(
@@ -282,28 +291,35 @@ def evaluate(model: NGramModel, methods: DataFrame) -> DataFrame:
     """
     pairs = evaluation_pairs(methods, model).withColumn("is_punct", is_punctuation(F.col("target")))
     scored = _scored(model, _numbered(pairs, "evaluation-pairs"), ["cnt", "is_punct"])
-    cnt = F.col("cnt")
-    bits = cnt * F.log2(floored(model, F.col("p")))
-    wordy = ~F.col("is_punct")
-    sums = scored.groupBy("n").agg(
-        F.sum(cnt).alias("total"),
-        F.sum(bits).alias("bits"),
-        F.sum(F.when(wordy, cnt)).alias("wordy_total"),
-        F.sum(F.when(wordy, bits)).alias("wordy_bits"),
-        F.sum(F.when(F.col("correct"), cnt).otherwise(0)).alias("hits"),
-    )
+    sums = scored.groupBy("n").agg(*metric_sums(model, F.col("p"), F.col("correct")))
     every_n = methods.sparkSession.range(1).select(_for_every_n(model))
+    return every_n.join(F.broadcast(sums), "n", "left").select("n", *metric_columns(model, F.col))
+
+
+# Sums behind the metrics, in the order of `metric_sums`.
+METRIC_SUMS = ("total", "bits", "wordy_total", "wordy_bits", "hits")
+
+
+def metric_sums(model: Smoothing, p: Column, correct: Column, suffix: str = "") -> list[Column]:
+    """Aggregates over scored pairs with `cnt` and `is_punct`."""
+    cnt, wordy = F.col("cnt"), ~F.col("is_punct")
+    bits = cnt * F.log2(floored(model, p))
+    sums = (cnt, bits, F.when(wordy, cnt), F.when(wordy, bits), F.when(correct, cnt).otherwise(0))
+    return [F.sum(value).alias(name + suffix) for name, value in zip(METRIC_SUMS, sums, strict=True)]
+
+
+def metric_columns(model: Smoothing, of: Callable[[str], Column]) -> list[Column]:
+    """The four metrics from the sums that `of` finds by name; without positions infinite or 0."""
 
     def perplexity(bits: str, total: str) -> Column:
-        return F.coalesce(F.pow(F.lit(2.0), -F.col(bits) / F.col(total)), F.lit(float("inf")))
+        return F.coalesce(F.pow(F.lit(2.0), -of(bits) / of(total)), F.lit(float("inf")))
 
-    return every_n.join(F.broadcast(sums), "n", "left").select(
-        "n",
-        F.coalesce(F.col("hits") / F.col("total"), F.lit(0.0)).alias("accuracy"),
+    return [
+        F.coalesce(of("hits") / of("total"), F.lit(0.0)).alias("accuracy"),
         perplexity("bits", "total").alias("perplexity"),
         perplexity("wordy_bits", "wordy_total").alias("perplexity_no_punctuation"),
         F.lit(model.vocab_size).cast("bigint").alias("vocabulary_size"),
-    )
+    ]
 
 
 def metrics_report(metrics: DataFrame) -> DataFrame:
