@@ -28,13 +28,7 @@ from gramloom.functions.grams import (
     pad_tokens,
 )
 from gramloom.operators.fit import DEFAULT_LAMBDA, DEFAULT_SMOOTHING, best_first_seen, check_parameters, windows
-from gramloom.operators.score import (
-    METRICS,
-    interpolate,
-    is_punctuation,
-    metric_columns,
-    metric_sums,
-)
+from gramloom.operators.score import counts_per_suffix, interpolate, is_punctuation, metrics_per_order
 from gramloom.plans.lookup import lookup_join
 from gramloom.plans.scratch import write_table
 
@@ -164,7 +158,7 @@ def _largest(name: str, n_values: Sequence[int]) -> Column:
 
 
 def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
-    """Metrics of every model: `n` and the four metrics.
+    """Metrics of every model: `n` and the four metrics, by n in no order.
 
     Each distinct window is looked up once per suffix for all models together.
     """
@@ -201,30 +195,18 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         _largest("c", n_values),
         models.positions,
         "gid",
-    ).withColumn("hit", F.col("best") == F.col("first_seen"))
-
-    def at(m: int, name: str) -> Column:
-        return F.max(F.when(F.col("m") == m, F.col(name)))
-
-    suffixes = [(n, m) for n in n_values for m in range(n)]
-    per_pair = answers.groupBy("gid", "cnt", "is_punct").agg(
-        *[at(m, f"{name}_{n}").alias(f"{name}_{n}_{m}") for n, m in suffixes for name in ("c", "cc")],
-        *[F.coalesce(at(n - 1, "hit"), F.lit(False)).alias(f"correct_{n}") for n in n_values],
     )
-    scored = per_pair.select(
-        "cnt",
-        "is_punct",
-        *[
-            interpolate(models, [(F.col(f"c_{n}_{m}"), F.col(f"cc_{n}_{m}")) for m in range(n)]).alias(f"p_{n}")
-            for n in n_values
-        ],
-        *_each("correct", n_values),
+    counts = [F.struct(F.lit(n).alias("n"), F.col(f"c_{n}").alias("c"), F.col(f"cc_{n}").alias("cc")) for n in n_values]
+    per_model = (
+        answers.withColumn("hit", F.col("best") == F.col("first_seen"))
+        .select("gid", "cnt", "is_punct", "m", "hit", F.inline(F.array(*counts)))
+        .filter((F.col("n") > F.col("m")) & (F.col("cc").isNotNull() | (F.col("m") == 0)))
     )
-    sums = scored.agg(
-        *[s for n in n_values for s in metric_sums(models, F.col(f"p_{n}"), F.col(f"correct_{n}"), f"_{n}")]
+    full = F.col("m") == F.col("n") - 1
+    per_pair = per_model.groupBy("gid", "n", "cnt", "is_punct").agg(
+        *counts_per_suffix(models), F.max(F.when(full, F.col("hit"))).alias("hit")
     )
-
-    def metrics_of(n: int) -> Column:
-        return F.struct(F.lit(n).alias("n"), *metric_columns(models, lambda name: F.col(f"{name}_{n}")))
-
-    return sums.select(F.inline(F.array(*[metrics_of(n) for n in n_values]))).select("n", *METRICS)
+    scored = per_pair.select(
+        "n", "cnt", "is_punct", interpolate(models).alias("p"), F.coalesce("hit", F.lit(False)).alias("correct")
+    )
+    return metrics_per_order(models, scored)

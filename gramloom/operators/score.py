@@ -8,7 +8,6 @@ answers are folded into one probability per pair by plain arithmetic.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import Protocol
 
@@ -38,7 +37,7 @@ FULL_TRUST = 10.0
 METRICS = ("accuracy", "perplexity", "perplexity_no_punctuation", "vocabulary_size")
 
 
-def _for_every_n(model: NGramModel) -> Column:
+def _for_every_n(model: Smoothing) -> Column:
     return F.explode(F.array(*[F.lit(n) for n in model.n_values])).alias("n")
 
 
@@ -85,8 +84,9 @@ def _with_count(model: NGramModel, asked: DataFrame) -> DataFrame:
 
 
 class Smoothing(Protocol):
-    """What an estimate needs to know about its model."""
+    """What estimates and metrics need to know about a model."""
 
+    n_values: tuple[int, ...]
     smoothing_k: float
     lambda_factor: float
     vocab_size: int
@@ -98,24 +98,34 @@ def raw_estimate(model: Smoothing, c: Column, cc: Column) -> Column:
     return (F.coalesce(c, F.lit(0)) + k) / (cc + k * model.vocab_size)
 
 
-def interpolate(model: Smoothing, counts: Sequence[tuple[Column, Column]]) -> Column:
-    """Fold the (c, cc) of all suffixes from the empty context to the longest one.
+def counts_per_suffix(model: Smoothing) -> list[Column]:
+    """Aggregates `c_<m>, cc_<m>` over the rows `m, c, cc` of one pair's suffixes."""
+    return [
+        F.max(F.when(F.col("m") == m, F.col(name))).alias(f"{name}_{m}")
+        for m in range(max(model.n_values))
+        for name in ("c", "cc")
+    ]
+
+
+def interpolate(model: Smoothing) -> Column:
+    """Fold `c_<m>, cc_<m>` from the empty context to the longest one.
 
     A suffix that is no known context has weight zero, so each step uses the
     shorter estimate exactly once and the expression stays linear in n.
     """
 
-    def step(shorter: Column, suffix: tuple[Column, Column]) -> Column:
-        c, cc = suffix
+    def step(shorter: Column, m: int) -> Column:
+        c, cc = F.col(f"c_{m}"), F.col(f"cc_{m}")
         trust = F.least(F.lit(1.0), cc / FULL_TRUST)
         weight = model.lambda_factor + (1 - model.lambda_factor) * trust
         own = F.when(cc.isNull(), F.lit(0.0)).otherwise(weight * raw_estimate(model, c, cc))
         return own + F.when(cc.isNull(), F.lit(1.0)).otherwise(1 - weight) * shorter
 
     uniform = 1.0 / model.vocab_size if model.vocab_size else 0.0
-    c, cc = counts[0]
-    empty = F.when(cc.isNull(), F.lit(uniform)).otherwise(raw_estimate(model, c, cc))
-    return reduce(step, counts[1:], empty)
+    empty = F.when(F.col("cc_0").isNull(), F.lit(uniform)).otherwise(
+        raw_estimate(model, F.col("c_0"), F.col("cc_0"))
+    )
+    return reduce(step, range(1, max(model.n_values)), empty)
 
 
 def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
@@ -131,18 +141,13 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
     # that every pair keeps a row.
     answers = _with_count(model, known.filter(F.col("cc").isNotNull() | (F.col("m") == 0)))
     full = F.col("m") == F.col("length")
-    per_suffix = [
-        F.max(F.when(F.col("m") == m, F.col(name))).alias(f"{name}_{m}")
-        for m in range(model.max_n)
-        for name in ("c", "cc")
-    ]
     raw = F.when(F.col("cc_full").isNull(), F.lit(0.0)).otherwise(
         raw_estimate(model, F.col("c_full"), F.col("cc_full"))
     )
     return (
         answers.groupBy("gid", "n", *carried)
         .agg(
-            *per_suffix,
+            *counts_per_suffix(model),
             F.max(F.when(full, F.col("c"))).alias("c_full"),
             F.max(F.when(full, F.col("cc"))).alias("cc_full"),
             F.max(F.when(full, F.col("best"))).alias("best"),
@@ -153,7 +158,7 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
             "n",
             *carried,
             raw.alias("raw"),
-            interpolate(model, [(F.col(f"c_{m}"), F.col(f"cc_{m}")) for m in range(model.max_n)]).alias("p"),
+            interpolate(model).alias("p"),
             "best",
             F.coalesce(F.col("best") == F.col("first_seen"), F.lit(False)).alias("correct"),
         )
@@ -291,35 +296,32 @@ def evaluate(model: NGramModel, methods: DataFrame) -> DataFrame:
     """
     pairs = evaluation_pairs(methods, model).withColumn("is_punct", is_punctuation(F.col("target")))
     scored = _scored(model, _numbered(pairs, "evaluation-pairs"), ["cnt", "is_punct"])
-    sums = scored.groupBy("n").agg(*metric_sums(model, F.col("p"), F.col("correct")))
-    every_n = methods.sparkSession.range(1).select(_for_every_n(model))
-    return every_n.join(F.broadcast(sums), "n", "left").select("n", *metric_columns(model, F.col))
+    return metrics_per_order(model, scored)
 
 
-# Sums behind the metrics, in the order of `metric_sums`.
-METRIC_SUMS = ("total", "bits", "wordy_total", "wordy_bits", "hits")
-
-
-def metric_sums(model: Smoothing, p: Column, correct: Column, suffix: str = "") -> list[Column]:
-    """Aggregates over scored pairs with `cnt` and `is_punct`."""
+def metrics_per_order(model: Smoothing, scored: DataFrame) -> DataFrame:
+    """The metrics of every n from scored pairs `n, cnt, is_punct, p, correct`."""
     cnt, wordy = F.col("cnt"), ~F.col("is_punct")
-    bits = cnt * F.log2(floored(model, p))
-    sums = (cnt, bits, F.when(wordy, cnt), F.when(wordy, bits), F.when(correct, cnt).otherwise(0))
-    return [F.sum(value).alias(name + suffix) for name, value in zip(METRIC_SUMS, sums, strict=True)]
-
-
-def metric_columns(model: Smoothing, of: Callable[[str], Column]) -> list[Column]:
-    """The four metrics from the sums that `of` finds by name; without positions infinite or 0."""
+    bits = cnt * F.log2(floored(model, F.col("p")))
+    sums = scored.groupBy("n").agg(
+        F.sum(cnt).alias("total"),
+        F.sum(bits).alias("bits"),
+        F.sum(F.when(wordy, cnt)).alias("wordy_total"),
+        F.sum(F.when(wordy, bits)).alias("wordy_bits"),
+        F.sum(F.when(F.col("correct"), cnt).otherwise(0)).alias("hits"),
+    )
+    every_n = scored.sparkSession.range(1).select(_for_every_n(model))
 
     def perplexity(bits: str, total: str) -> Column:
-        return F.coalesce(F.pow(F.lit(2.0), -of(bits) / of(total)), F.lit(float("inf")))
+        return F.coalesce(F.pow(F.lit(2.0), -F.col(bits) / F.col(total)), F.lit(float("inf")))
 
-    return [
-        F.coalesce(of("hits") / of("total"), F.lit(0.0)).alias("accuracy"),
+    return every_n.join(F.broadcast(sums), "n", "left").select(
+        "n",
+        F.coalesce(F.col("hits") / F.col("total"), F.lit(0.0)).alias("accuracy"),
         perplexity("bits", "total").alias("perplexity"),
         perplexity("wordy_bits", "wordy_total").alias("perplexity_no_punctuation"),
         F.lit(model.vocab_size).cast("bigint").alias("vocabulary_size"),
-    ]
+    )
 
 
 def metrics_report(metrics: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def test_counts_and_best_targets_equal_each_model_alone(methods, n_values):
 def test_metrics_equal_brute_force(methods, n_values):
     train, test = corpus(31, 40), corpus(32, 12)
     models = compare.fit_orders(methods(train), n_values, smoothing_k=0.05)
-    rows = compare.evaluate_orders(models, methods(test)).collect()
+    rows = compare.evaluate_orders(models, methods(test)).orderBy("n").collect()
     assert [r.n for r in rows] == n_values
     for row in rows:
         metrics = row.asDict()
@@ -46,7 +46,7 @@ def test_metrics_equal_brute_force(methods, n_values):
 
 def test_same_as_scoring_models_with_n_as_a_key(methods):
     train, test = methods(corpus(41, 30)), methods(corpus(42, 10))
-    together = compare.evaluate_orders(compare.fit_orders(train, [2, 4]), test).collect()
+    together = compare.evaluate_orders(compare.fit_orders(train, [2, 4]), test).orderBy("n").collect()
     keyed = score.evaluate(fit.fit(train, [2, 4]), test).orderBy("n").collect()
     for a, b in zip(together, keyed, strict=True):
         assert a.asDict() == pytest.approx(b.asDict())
