@@ -25,6 +25,7 @@ HEADLINE = (
     "clean_chain",
     "clean_funnel",
     "compare_n",
+    "compare_n_conversations",
     "final_model",
     "extract_methods",
     "exact_split_docs",
