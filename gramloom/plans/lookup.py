@@ -26,11 +26,12 @@ def lookup_join(
 ) -> DataFrame:
     """`probe` left join `table` on `keys`, adding `values`.
 
-    `table` holds each key once, with a non-negative `weight` that sums to at
-    most `total` within each group.  Hot keys, of which the weights allow fewer
-    than 1,000 per group, are looked up by broadcast; their probe rows take no
-    hash of their key into the shuffled join that serves the rest but one of
-    `spread_by`, so they are dealt out over the partitions.
+    `table` holds each key once, with a positive `weight` that sums to at most
+    `total` within each group.  Hot keys, of which the weights allow fewer than
+    1,000 per group, are looked up by broadcast.  In the shuffled join that
+    serves all other keys, rows with a hot key are placed by a hash of
+    `spread_by` and so dealt out over the partitions.  A key that is frequent
+    in `probe` only is left to adaptive skew joins.
     """
     is_hot = weight > int(HOT_FRACTION * total)
     hot = table.filter(is_hot).select(
@@ -39,7 +40,8 @@ def lookup_join(
     # Sorts compare eight bytes of their first column before anything else, so
     # joining on the hash first, the keys after it, sorts on numbers.
     cold = table.filter(~is_hot).select(
-        F.xxhash64(*keys).alias(_HASH), *[F.col(k).alias(f"_cold_{k}") for k in keys], *[F.col(v).alias(f"_cold_{v}") for v in values]
+        F.xxhash64(*keys).alias(_HASH),
+        *[F.col(name).alias(f"_cold_{name}") for name in (*keys, *values)],
     )
     tagged = probe.join(F.broadcast(hot), keys, "left").withColumn(
         _HASH, F.when(F.col(_HOT), F.xxhash64(spread_by)).otherwise(F.xxhash64(*keys))
