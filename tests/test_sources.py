@@ -1,5 +1,6 @@
 import json
 import math
+import tempfile
 
 import pytest
 
@@ -103,4 +104,4 @@ def test_scratch_root_on_a_cluster(spark, monkeypatch):
     assert scratch.scratch_root(Session("yarn", {"spark.checkpoint.dir": "s3://b/c/"})) == "s3://b/c/app-1"
     with pytest.raises(RuntimeError):
         scratch.scratch_root(Session("yarn", {}))
-    assert scratch.scratch_root(Session("local[2]", {})).startswith("/tmp/")
+    assert scratch.scratch_root(Session("local[2]", {})).startswith(tempfile.gettempdir())
