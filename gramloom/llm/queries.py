@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramloom.llm import mix, quality
+from gramloom.llm import mix, pack, quality, shards, tokenfile
 from gramloom.llm.common import documents
 from gramloom.llm.oracle import MIX, QUALITY
 
+TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,12 +21,27 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.assign(documents(spark, sf_dir))
+
+
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.roundtrip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_shard_documents": op2_shard_documents,
+    "op5_token_file": op5_token_file,
+    "op6_pack_documents": op6_pack_documents,
     "op9_quality_rules": op9_quality_rules,
 }
 
