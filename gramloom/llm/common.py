@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,27 +68,44 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
-def pairs_in_runs(starts: np.ndarray, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All index pairs within runs, in arrays of at most about `block` pairs.
-
-    Pairs stay in the task that asks for them; callers keep what they verify.
-    """
-    lengths = np.diff(starts)
-    small = lengths <= 64
-    first, size = starts[:-1][small], lengths[small]
-    for gap in range(1, int(size.max(initial=1))):
-        live = size > gap
-        if not live.any():
-            break
-        count = size[live] - gap
-        total = np.cumsum(count)
-        offset = np.repeat(first[live] - (total - count), count)
-        left = np.arange(total[-1]) + offset
-        for at in range(0, len(left), block):
-            part = left[at : at + block]
-            yield part, part + gap
-    for begin, n in zip(starts[:-1][~small], lengths[~small], strict=True):
-        rows = max(1, block // int(n))
-        for at in range(0, int(n), rows):
-            i, j = np.triu_indices(min(rows, int(n) - at), 1, int(n) - at)
-            yield begin + at + i, begin + at + j
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 1 << 17) -> Iterator[pa.Table]:
+    """Tables of about `rows` rows out of sorted batches, never cut inside a run of equal keys."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        count += batch.num_rows
+        if count < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        last = run_starts(*[table[k].to_numpy() for k in keys])[-2]
+        if last:
+            yield table.slice(0, last)
+        held = table.slice(last).to_batches()
+        count = table.num_rows - last
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Forest:
+    """Connected components of numbered rows, from links that come in arrays."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def link(self, left: np.ndarray, right: np.ndarray) -> None:
+        root = self.root
+        while True:
+            a, b = root[left], root[right]
+            apart = a != b
+            if not apart.any():
+                return
+            left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                above = root[root]
+                if (above == root).all():
+                    break
+                root[:] = above

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramloom.llm import mix, pack, quality, shards, tokenfile
+from gramloom.llm import embeddings, mix, pack, quality, shards, simhash, tokenfile
 from gramloom.llm.common import documents
 from gramloom.llm.oracle import MIX, QUALITY
 
@@ -25,6 +25,10 @@ def op2_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(documents(spark, sf_dir))
 
 
+def op3_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.roundtrip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -33,6 +37,10 @@ def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
@@ -40,8 +48,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_documents": op2_shard_documents,
+    "op3_near_embeddings": op3_near_embeddings,
     "op5_token_file": op5_token_file,
     "op6_pack_documents": op6_pack_documents,
+    "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
 }
 
