@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramloom.llm import embeddings, mix, pack, quality, shards, simhash, tokenfile
+from gramloom.llm import embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile
 from gramloom.llm.common import documents
 from gramloom.llm.oracle import MIX, QUALITY
 
@@ -29,6 +29,10 @@ def op3_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.roundtrip(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
@@ -37,6 +41,10 @@ def op6_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -45,14 +53,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_documents": op2_shard_documents,
     "op3_near_embeddings": op3_near_embeddings,
+    "op4_license_scan": op4_license_scan,
     "op5_token_file": op5_token_file,
     "op6_pack_documents": op6_pack_documents,
+    "op7_lm_scores": op7_lm_scores,
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
+    "op10_repeated_strings": op10_repeated_strings,
 }
 
 ORACLE: dict[str, str] = {
