@@ -1,16 +1,60 @@
-"""The training-data pipeline: documents to packed sequences, one operator a stage."""
+"""The training-data pipeline: documents to packed sequences, one operator a stage.
+
+Every stage but the last takes and returns the columns of `documents`; the last
+returns the pieces of the packed sequences.  A stage works on all that its
+predecessor kept, written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from gramloom.llm import mix, pack, quality, repeats, simhash
+from gramloom.llm.common import documents, stage
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules of documents and hosts keep."""
+    return quality.kept_documents(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.deduplicated(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the strings that stand earlier in the corpus."""
+    return repeats.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target asks for."""
+    return mix.mixed(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in sequences."""
+    return pack.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("simhash near-dedup", near_dedup),
+    ("repeated strings", repeated_strings),
+    ("mix sources", mix_sources),
+    ("pack sequences", pack_sequences),
+]
 
+#: Fingerprints by XXH64 and byte pairs of a tokenizer are beyond DuckDB's SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, apply in STAGES:
-        docs = apply(spark, docs, sf_dir)
-    return docs
+    docs = documents(spark, sf_dir)
+    for name, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
