@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,7 +43,19 @@ def write_table(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = scratch_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables that `write_table` wrote, once nothing reads them any more."""
+    for table in tables:
+        path = _paths.pop(table, None)
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(frame: DataFrame, key: str) -> DataFrame:
