@@ -37,6 +37,7 @@ from pyspark.sql.types import StringType
 
 from gramloom.llm import ranks
 from gramloom.llm.common import run_starts, shuffle_partitions, signed, stage
+from gramloom.plans.scratch import drop_tables
 
 LENGTH = 100
 GRAM = 32
@@ -405,6 +406,7 @@ def removed_spans(texts: DataFrame) -> DataFrame:
     ref = F.struct("anchor", "start", "n")
     refs = anchors.join(often, "anchor", "left_semi").groupBy("key").agg(F.collect_list(ref).alias("refs"))
     refs = stage(refs, "refs")
+    drop_tables(anchors)
     contents = texts.select("key", "text").join(refs, "key").select("key", "text", "refs").mapInArrow(
         _contents, "anchor bigint, content binary, key bigint, start bigint"
     )
@@ -420,13 +422,16 @@ def removed_spans(texts: DataFrame) -> DataFrame:
     kept = blocks.repartition(parts, *at).sortWithinPartitions(*at).mapInArrow(
         _kept, "key bigint, start bigint, n bigint, string binary"
     )
-    kept = stage(kept, "kept")
+    held = kept = stage(kept, "kept")
+    drop_tables(distinct)
     compared = kept.filter("string is not null").groupBy("string").agg(F.min(_place()).alias("first"))
     compared = compared.select(*_key_and_start("first"), F.lit(1).cast("bigint").alias("n"))
     kept = kept.filter("string is null").select("key", "start", "n").unionByName(compared)
     kept = kept.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("kept"))
     both = refs.join(kept, "key", "left").select("key", "refs", "kept")
-    return stage(both.mapInArrow(_spans, "key bigint, spans array<struct<begin:bigint,end:bigint>>"), "spans")
+    spans = stage(both.mapInArrow(_spans, "key bigint, spans array<struct<begin:bigint,end:bigint>>"), "spans")
+    drop_tables(refs, held)
+    return spans
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
