@@ -21,6 +21,7 @@ long text is a block of its own size.  Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import signed, unsigned
+from gramloom.llm.common import signed, stage, unsigned
 
 ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a block, on average.
 BLOCK = 1 << 24
+#: The n-grams are counted in so many shares of their hashes, one after another: a
+#: share's shuffle is over before the next begins, which bounds the disk taken.
+WAVES = 2
 #: Stands for the number of words in place of an n-gram's hash.
 _ALL = 0
 
@@ -72,11 +76,13 @@ def _grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndar
     return out
 
 
-def _count(table: pa.Table, order: int) -> pa.Table:
+def _count(table: pa.Table, order: int, wave: int, waves: int) -> pa.Table:
     words, doc = _words(table["text"])
     hashes, counts = [np.array([_ALL], np.uint64)], [np.array([len(words)])]
+    if wave:
+        hashes, counts = [], []
     for gram, whole in _grams(words, doc, order):
-        found, n = np.unique(gram[whole], return_counts=True)
+        found, n = np.unique(gram[whole & (gram % np.uint64(waves) == wave)], return_counts=True)
         hashes.append(found)
         counts.append(n)
     block = table["block"][0].as_py()
@@ -129,16 +135,21 @@ def _score(table: pa.Table, totals: pa.Table, order: int) -> pa.Table:
     )
 
 
-def score(docs: DataFrame, order: int = ORDER, block: int = BLOCK) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER, block: int = BLOCK, waves: int = WAVES) -> DataFrame:
     """(doc_id, n_words, n_backoff, score): mean log score of a document's words."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, math.ceil(size / block))
     name = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks))
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"], name.alias("block"))
-    counts = texts.groupBy("block").applyInArrow(lambda t: _count(t, order), "block bigint, gram bigint, n bigint")
     same = Window.partitionBy("gram")
-    table = counts.withColumns({"total": F.sum("n").over(same), "blocks": F.count(F.lit(1)).over(same)})
-    totals = table.filter("blocks > 1").select("block", "gram", "total")
+    parts = []
+    for wave in range(waves):
+        counts = texts.groupBy("block").applyInArrow(
+            lambda t, wave=wave: _count(t, order, wave, waves), "block bigint, gram bigint, n bigint"
+        )
+        table = counts.withColumns({"total": F.sum("n").over(same), "blocks": F.count(F.lit(1)).over(same)})
+        parts.append(stage(table.filter("blocks > 1").select("block", "gram", "total"), "totals"))
+    totals = reduce(DataFrame.unionByName, parts)
     return texts.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         lambda t, of: _score(t, of, order), SCHEMA
     )
