@@ -21,6 +21,7 @@ long text is a block of its own size.  Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -92,6 +93,10 @@ def _count(table: pa.Table, order: int, wave: int, waves: int) -> pa.Table:
     )
 
 
+def _counter(order: int, wave: int, waves: int) -> Callable[[pa.Table], pa.Table]:
+    return lambda table: _count(table, order, wave, waves)
+
+
 def _score(table: pa.Table, totals: pa.Table, order: int) -> pa.Table:
     words, doc = _words(table["text"])
     grams, known = unsigned(totals["gram"].to_numpy()), totals["total"].to_numpy()
@@ -144,9 +149,7 @@ def score(docs: DataFrame, order: int = ORDER, block: int = BLOCK, waves: int =
     same = Window.partitionBy("gram")
     parts = []
     for wave in range(waves):
-        counts = texts.groupBy("block").applyInArrow(
-            lambda t, wave=wave: _count(t, order, wave, waves), "block bigint, gram bigint, n bigint"
-        )
+        counts = texts.groupBy("block").applyInArrow(_counter(order, wave, waves), "block bigint, gram bigint, n bigint")
         table = counts.withColumns({"total": F.sum("n").over(same), "blocks": F.count(F.lit(1)).over(same)})
         parts.append(stage(table.filter("blocks > 1").select("block", "gram", "total"), "totals"))
     totals = reduce(DataFrame.unionByName, parts)
