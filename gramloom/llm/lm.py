@@ -35,7 +35,7 @@ from gramloom.llm.common import signed, stage, unsigned
 ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a block, on average.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
 #: The n-grams are counted in so many shares of their hashes, one after another: a
 #: share's shuffle is over before the next begins, which bounds the disk taken.
 WAVES = 2
