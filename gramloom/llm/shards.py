@@ -31,15 +31,19 @@ SHARDS = 8
 #: A group is heavy from this part of a shard's capacity on, in any dimension:
 #: of three dimensions fewer than 3 * SHARDS / HEAVY groups can be.
 HEAVY = 1 / 512
-#: A group larger than this part of a capacity is cut into pieces that are not.
+#: A group larger than this part of a capacity is cut into pieces that are not, as many for
+#: each shard; so is a group whose rows or tokens exceed its bytes by the second part.
 PIECE = 1 / 2
+LOPSIDED = 1 / 8
 
 DIMENSIONS = ("bytes", "tokens", "rows")
+#: Bytes, which the law is about, weigh most in the dot product.
+WEIGHTS = np.array([1.0, 0.5, 0.5])
 
 
 def best_shard(item: np.ndarray, residual: np.ndarray) -> int:
     """The shard of highest dot product; the lowest number wins a tie."""
-    return int(np.argmax(residual @ item))
+    return int(np.argmax(residual @ (item * WEIGHTS)))
 
 
 def place(items: np.ndarray, capacity: np.ndarray) -> np.ndarray:
@@ -92,11 +96,12 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     groups = rows.groupBy("group").agg(*[F.sum(d).alias(d) for d in DIMENSIONS])
     totals = rows.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMENSIONS]).head()
     mean = np.array([max(totals[d], 1) for d in DIMENSIONS], float) / shards
-    part = F.greatest(*[F.col(d) / F.lit(float(m)) for d, m in zip(DIMENSIONS, mean, strict=True)])
-    groups = groups.withColumn("part", part)
-    groups = stage(groups, "groups")
-    cut = groups.filter(F.col("part") > PIECE).select("group", F.ceil(F.col("part") / PIECE).cast("int").alias("pieces"))
-    # Rows of a cut group are dealt to its pieces by their id; at most 3 * shards / PIECE groups are cut.
+    parts = [F.col(d) / F.lit(float(m)) for d, m in zip(DIMENSIONS, mean, strict=True)]
+    part = F.greatest(*parts)
+    split = (part > PIECE) | (part - parts[0] > LOPSIDED)
+    groups = stage(groups.withColumns({"part": part, "split": split}), "groups")
+    cut = groups.filter("split").select("group", (F.ceil(F.col("part") / (PIECE * shards)) * shards).cast("int").alias("pieces"))
+    # Rows of a cut group are dealt to its pieces by their id; at most 3 * shards / LOPSIDED groups are cut.
     pieces = F.coalesce(F.col("pieces"), F.lit(1))
     rows = rows.join(F.broadcast(cut), "group", "left").withColumn(
         "piece", F.pmod(F.xxhash64("doc_id"), pieces).cast("int")
@@ -104,7 +109,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     cut_items = rows.join(F.broadcast(cut), "group", "left_semi").groupBy("group", "piece").agg(
         *[F.sum(d).alias(d) for d in DIMENSIONS]
     )
-    whole = groups.filter((F.col("part") >= HEAVY) & (F.col("part") <= PIECE)).select(
+    whole = groups.filter((F.col("part") >= HEAVY) & ~F.col("split")).select(
         "group", F.lit(0).alias("piece"), *DIMENSIONS
     )
     heavy = cut_items.unionByName(whole).orderBy(*[F.desc(d) for d in DIMENSIONS], "group", "piece").collect()
@@ -117,7 +122,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = spark.createDataFrame(
         [(heavy[i]["group"], heavy[i]["piece"], int(s)) for i, s in zip(order, chosen, strict=True)], schema
     )
-    light = groups.filter(F.col("part") < HEAVY).select("group", F.lit(0).alias("piece"), *DIMENSIONS)
+    light = groups.filter((F.col("part") < HEAVY) & ~F.col("split")).select("group", F.lit(0).alias("piece"), *DIMENSIONS)
     light = light.mapInArrow(lambda batches: _place_light(batches, mean, capacity), schema)
     placed = stage(placed.unionByName(light), "placed")
     numbered = ranks.numbered(rows.join(placed, ["group", "piece"]), "shard", ["doc_id", "group"], "slot")
