@@ -14,12 +14,14 @@ def harvest_methods(
     repositories_csv: str,
     snapshots: DataFrame,
     output_csv: str,
-    limit: int = harvest.MAX_METHODS,
+    limit: int | None = None,
 ) -> None:
-    """Methods of the listed Java repositories, the first `limit` of them, as CSV."""
+    """Methods of the listed Java repositories as CSV: all, or the first `limit` of them."""
     listed = harvest.java_repositories(files.read_repositories(spark, repositories_csv))
     sources = harvest.java_files(harvest.repository_files(listed, snapshots))
-    methods = harvest.cap_methods(harvest.extract_methods(sources), limit)
+    methods = harvest.extract_methods(sources)
+    if limit is not None:
+        methods = harvest.cap_methods(methods, limit)
     files.write_extracted(harvest.with_provenance(methods), output_csv)
 
 

@@ -149,7 +149,8 @@ def extract_methods(files: DataFrame) -> DataFrame:
     parameter list that a body or a `throws` clause follows; so constructors
     are left out and nested methods are found.  Its text runs from the line on
     which its declaration starts, annotations included, through the line of
-    its closing brace.  A file whose braces do not balance yields no rows.
+    its closing brace.  A file whose braces or parentheses do not balance yields
+    no rows.
     """
     bare = F.col("bare")
     word, name = F.regexp_extract(bare, _HEADER, 1), F.regexp_extract(bare, _HEADER, 2)
@@ -164,6 +165,7 @@ def extract_methods(files: DataFrame) -> DataFrame:
         "file_key",
         "source",
         "braces",
+        "parens",
         "kind",
         F.struct(
             "pos",
@@ -174,16 +176,20 @@ def extract_methods(files: DataFrame) -> DataFrame:
             ((F.col("kind") == "{") & bare.rlike(_BODY_FOLLOWS)).alias("body"),
         ).alias("row"),
     )
-    net = F.sum(F.when(F.col("kind") == "{", 1).when(F.col("kind") == "}", -1).otherwise(0))
+
+    def net(opener: str, closer: str) -> Column:
+        return F.sum(F.when(F.col("kind") == opener, 1).when(F.col("kind") == closer, -1).otherwise(0))
+
     per_file = (
         rows.groupBy("file_key")
         .agg(
             F.first("source", ignorenulls=True).alias("source"),
             F.array_sort(F.collect_list("row")).alias("rows"),
-            net.alias("net"),
-            F.min("braces").alias("lowest"),
+            net("{", "}").alias("net_braces"),
+            net("(", ")").alias("net_parens"),
+            F.least(F.min("braces"), F.min("parens")).alias("lowest"),
         )
-        .filter((F.col("net") == 0) & (F.col("lowest") >= 0))
+        .filter("net_braces = 0 and net_parens = 0 and lowest >= 0")
     )
 
     # `rows` holds every segment of the file in order, so a position is an index.
@@ -224,28 +230,40 @@ def with_provenance(methods: DataFrame, host: str = HOST) -> DataFrame:
     )
 
 
-def cap_methods(methods: DataFrame, limit: int = MAX_METHODS) -> DataFrame:
+def cap_methods(methods: DataFrame, limit: int) -> DataFrame:
     """The first `limit` methods in order of repository, commit, file and place in the file.
 
+    Nulls come first; methods that still tie are ordered by branch and commit hash.
     A top-k over the rows would send `limit` texts per partition to one task.
     Instead the cut is located by counting, one level of the order after the
     other, with at most `limit` counts each; the rows are then only filtered.
     """
     table = write_table(methods, "methods")
     at_cut, kept = F.lit(True), F.lit(False)
-    for level in ("repo", "commit_seq", "file_name", "ordinal"):
-        counts = table.filter(at_cut).groupBy(level).count().orderBy(level).limit(limit).collect()
-        cut = None
+    levels = ["repo", "commit_seq", "file_name", "ordinal"]
+    for level in levels + [c for c in ("branch", "commit_hash") if c in methods.columns]:
+        if limit <= 0:
+            return table.filter(kept)
+        counts = table.filter(at_cut).groupBy(level).count().orderBy(F.asc_nulls_first(level)).limit(limit).collect()
+        here = None
         for row in counts:
             if row["count"] > limit:
-                cut = row[level]
+                here = row
                 break
             limit -= row["count"]
-        if cut is None:
+        if here is None:
             if counts:
-                kept = kept | (at_cut & (F.col(level) <= F.lit(counts[-1][level])))
+                last = counts[-1][level]
+                kept = kept | (at_cut & (_before(level, last) | F.col(level).eqNullSafe(F.lit(last))))
             return table.filter(kept)
-        kept = kept | (at_cut & (F.col(level) < F.lit(cut)))
-        at_cut = at_cut & (F.col(level) == F.lit(cut))
+        kept = kept | (at_cut & _before(level, here[level]))
+        at_cut = at_cut & F.col(level).eqNullSafe(F.lit(here[level]))
     copies = table.filter(at_cut).limit(limit)
     return table.filter(kept).unionByName(copies)
+
+
+def _before(level: str, value) -> Column:
+    """Whether a column stands before a value, nulls first."""
+    if value is None:
+        return F.lit(False)
+    return F.col(level).isNull() | (F.col(level) < F.lit(value))

@@ -1,13 +1,13 @@
 """Methods in CSV and text files.
 
-Files carry no method id, so readers number the rows in reading order.  The
-first thing to do with a large CSV file is `ingest`: quoted line breaks keep
+Files carry no method id, so readers number the rows in the order of file path
+and place in the file, whatever tasks read them.  The first thing to do with a large CSV file is `ingest`: quoted line breaks keep
 Spark from splitting it, while the table it is copied to splits anywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gramloom.functions.lexer import WHITESPACE_CHARACTERS
@@ -26,6 +26,8 @@ EXTRACTED_COLUMNS = {
 }
 REPOSITORY_COLUMNS = ("name", "defaultBranch", "mainLanguage")
 
+_FILE, _BLOCK, _ORDER = "_file", "_block", "_order"
+
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 _CSV_READ = {**_CSV, "multiLine": True}
 _CSV_WRITE = {**_CSV, "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -47,20 +49,33 @@ def resolve_code_column(columns: list[str]) -> str:
     raise ValueError(f"no column with method code among {columns}")
 
 
-def _numbered(frame: DataFrame) -> DataFrame:
-    return frame.select(F.monotonically_increasing_id().alias("method_id"), "*")
+def _with_place(frame: DataFrame) -> DataFrame:
+    """Rows of a file source with the file and the block of it that they were read from."""
+    return frame.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK))
 
 
 def read_methods_csv(spark: SparkSession, path: str) -> DataFrame:
     """`method_id, code` from any methods CSV file."""
     frame = read_csv(spark, path)
     code = resolve_code_column(frame.columns)
-    return ingest(_numbered(frame.select(F.col(f"`{code}`").alias("code"))))
+    return ingest(_with_place(frame).select(F.col(f"`{code}`").alias("code"), _FILE, _BLOCK))
+
 
+def ingest(placed: DataFrame) -> DataFrame:
+    """Copy placed rows to a splittable table and number them from 0.
 
-def ingest(frame: DataFrame) -> DataFrame:
-    """Copy a frame to a splittable table, which also pins the row numbers."""
-    return write_table(frame, "ingested")
+    A task reads a block of a file in order, so a row's number is the rows of all
+    blocks before its own, from one count per block, and its distance from
+    the block's first row.  How files are cut into blocks and dealt to tasks does not matter.
+    """
+    table = write_table(placed.withColumn(_ORDER, F.monotonically_increasing_id()), "ingested")
+    place = [_FILE, _BLOCK]
+    blocks = table.groupBy(*place).agg(F.min(_ORDER).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(*place, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col(_ORDER) - F.col("_first") + F.col("_before")
+    values = [c for c in placed.columns if c not in place]
+    return table.join(blocks, place).select(number.alias("method_id"), *values)
 
 
 def read_processed(spark: SparkSession, path: str, code: str = PROCESSED_COLUMN) -> DataFrame:
@@ -68,14 +83,15 @@ def read_processed(spark: SparkSession, path: str, code: str = PROCESSED_COLUMN)
     frame = read_csv(spark, path)
     if code not in frame.columns:
         raise ValueError(f"missing column {code!r}")
-    return tokenize_methods(ingest(_numbered(frame.select(F.col(f"`{code}`").alias("code")).na.drop())))
+    rows = _with_place(frame).select(F.col(f"`{code}`").alias("code"), _FILE, _BLOCK)
+    return tokenize_methods(ingest(rows.na.drop(subset=["code"])))
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """`method_id, code` from a text file with one method per line; blank lines dropped."""
     trimmed = F.btrim("value", F.lit(WHITESPACE_CHARACTERS))
-    numbered = _numbered(spark.read.text(path).select(trimmed.alias("code")))
-    return ingest(numbered.filter(F.length("code") > 0))
+    rows = _with_place(spark.read.text(path)).select(trimmed.alias("code"), _FILE, _BLOCK)
+    return ingest(rows.filter(F.length("code") > 0))
 
 
 def read_text_methods(spark: SparkSession, path: str) -> DataFrame:

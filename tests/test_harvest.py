@@ -126,3 +126,20 @@ def test_cap_equals_sorting(spark, limit):
     methods = spark.createDataFrame(rows, "repo string, commit_seq bigint, file_name string, ordinal int")
     capped = sorted(map(tuple, harvest.cap_methods(methods, limit).collect()))
     assert capped == sorted(rows)[:limit]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 4, 7, 50])
+def test_cap_with_nulls_and_ties(spark, limit):
+    rows = [(random.choice(["a", None]), random.choice([1, 2, None]), random.choice(["x", None]), random.choice([0, None]),
+             random.choice(["main", "dev", None]), f"h{i}") for i in range(30)]
+    schema = "repo string, commit_seq bigint, file_name string, ordinal int, branch string, commit_hash string"
+    ordered = sorted(rows, key=lambda row: [(value is not None, value if value is not None else 0) for value in row])
+    capped = harvest.cap_methods(spark.createDataFrame(rows, schema), limit).collect()
+    assert sorted(map(str, map(tuple, capped))) == sorted(map(str, ordered[:limit]))
+
+
+def test_unbalanced_parentheses(spark):
+    broken = "class A {\n void broken( { }\n int f() { return 1; }\n}\n"
+    files = spark.createDataFrame([("r", "main", "h", 1, "A.java", broken)],
+        "repo string, branch string, commit_hash string, commit_seq bigint, file_name string, source_code string")
+    assert harvest.extract_methods(files).collect() == []

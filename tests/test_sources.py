@@ -105,3 +105,19 @@ def test_scratch_root_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         scratch.scratch_root(Session("yarn", {}))
     assert scratch.scratch_root(Session("local[2]", {})).startswith(tempfile.gettempdir())
+
+
+@pytest.mark.parametrize("size", ["40b", "1kb", "128mb"])
+def test_numbers_do_not_depend_on_splits(spark, tmp_path, size):
+    expected = []
+    for name in "bca":
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name}{i} ;\n\n" for i in range(60)))
+    for name in "abc":
+        expected += [f"{name}{i} ;" for i in range(60)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = files.read_text_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(map(tuple, found)) == list(enumerate(expected))
