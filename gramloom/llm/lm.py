@@ -36,6 +36,8 @@ ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a block, on average.
 BLOCK = 1 << 23
+#: Words of a block that are scored at a time, on average.
+PART = 1 << 17
 #: The n-grams are counted in so many shares of their hashes, one after another: a
 #: share's shuffle is over before the next begins, which bounds the disk taken.
 WAVES = 2
@@ -97,45 +99,65 @@ def _counter(order: int, wave: int, waves: int) -> Callable[[pa.Table], pa.Table
     return lambda table: _count(table, order, wave, waves)
 
 
-def _score(table: pa.Table, totals: pa.Table, order: int) -> pa.Table:
-    words, doc = _words(table["text"])
-    grams, known = unsigned(totals["gram"].to_numpy()), totals["total"].to_numpy()
+def _known(words: np.ndarray, doc: np.ndarray, totals: pa.Table, order: int) -> tuple[list, int]:
+    """For n = 1..order the block's n-grams in the order of their hashes and the corpus count of each; all words."""
+    grams, counts = unsigned(totals["gram"].to_numpy()), totals["total"].to_numpy()
     sort = np.argsort(grams)
-    grams, known = grams[sort], known[sort]
+    grams, counts = grams[sort], counts[sort]
 
     def total(found: np.ndarray, own: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(grams, found), max(len(grams) - 1, 0))
-        return np.where(grams[at] == found, known[at], own) if len(grams) else own
+        return np.where(grams[at] == found, counts[at], own) if len(grams) else own
+
+    known = []
+    for gram, whole in _grams(words, doc, order):
+        found, own = np.unique(gram[whole], return_counts=True)
+        known.append((found, total(found, own)))
+    return known, int(total(np.array([_ALL], np.uint64), np.array([len(words)]))[0])
+
 
-    n_docs = table.num_rows
+def _score_part(words: np.ndarray, doc: np.ndarray, n_docs: int, known: list, everything: int) -> list[np.ndarray]:
+    """Numbers of words and of words backed off, and sums of scores, of documents numbered from 0."""
     lengths = np.bincount(doc, minlength=n_docs)
     elsewhere = []
-    for gram, whole in _grams(words, doc, order):
+    for (gram, whole), (found, totals) in zip(_grams(words, doc, len(known)), known, strict=True):
         others = np.zeros(len(words), np.int64)
-        found, at, counts = np.unique(gram[whole], return_inverse=True, return_counts=True)
+        at = np.searchsorted(found, gram[whole])
         _, own, times = np.unique(at * n_docs + doc[whole], return_inverse=True, return_counts=True)
-        others[whole] = total(found, counts)[at] - times[own]
+        others[whole] = totals[at] - times[own]
         elsewhere.append(others)
-    everything = int(total(np.array([_ALL], np.uint64), np.array([len(words)]))[0])
     rest = everything - lengths[doc]
     score = np.log(np.maximum(elsewhere[0], 1) / np.maximum(rest + (elsewhere[0] == 0), 1))
     steps = np.zeros(len(words), np.int64)
     position = np.arange(len(words)) - (np.cumsum(lengths) - lengths)[doc]
-    for n in range(2, order + 1):
+    for n in range(2, len(known) + 1):
         possible = position >= n - 1
         seen = possible & (elsewhere[n - 1] > 0)
         context = np.roll(elsewhere[n - 2], 1)
         score = np.where(seen, np.log(np.maximum(elsewhere[n - 1], 1) / np.maximum(context, 1)), score)
         steps = np.where(seen, 0, steps + possible)
     score += steps * math.log(BACKOFF)
-    some = lengths > 0
-    mean = np.bincount(doc, score, n_docs) / np.maximum(lengths, 1)
+    return [lengths, np.bincount(doc, steps > 0, n_docs), np.bincount(doc, score, n_docs)]
+
+
+def _score(table: pa.Table, totals: pa.Table, order: int) -> pa.Table:
+    """Scores of a block's documents, worked out for about PART words at a time."""
+    words, doc = _words(table["text"])
+    known, everything = _known(words, doc, totals, order)
+    # Where each document begins; parts are cut between documents.
+    begins = np.searchsorted(doc, np.arange(table.num_rows + 1))
+    cuts = np.unique(np.append(np.searchsorted(begins, np.arange(0, len(words), PART)), [0, table.num_rows]))
+    parts = []
+    for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+        of = slice(begins[first], begins[last])
+        parts.append(_score_part(words[of], doc[of] - first, last - first, known, everything))
+    lengths, backoff, sums = (np.concatenate(column) for column in zip(*parts, strict=True))
     return pa.table(
         {
             "doc_id": table["doc_id"],
             "n_words": lengths.astype(np.int64),
-            "n_backoff": np.bincount(doc, steps > 0, n_docs).astype(np.int64),
-            "score": pa.array(mean, mask=~some),
+            "n_backoff": backoff.astype(np.int64),
+            "score": pa.array(sums / np.maximum(lengths, 1), mask=lengths == 0),
         }
     )
 
