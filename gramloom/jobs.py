@@ -5,29 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gramloom.operators import choose, clean, harvest
+from gramloom.operators.corpus import DEFAULT_TEST_SIZE
 from gramloom.operators.fit import DEFAULT_SMOOTHING
-from gramloom.sources import files
+from gramloom.sources import files, reports
 
 
 def harvest_methods(
     spark: SparkSession,
     repositories_csv: str,
     snapshots: DataFrame,
-    output_csv: str,
+    output: str,
     limit: int | None = None,
+    file_format: str = "csv",
 ) -> None:
-    """Methods of the listed Java repositories as CSV: all, or the first `limit` of them."""
+    """Methods of the listed Java repositories as CSV or Parquet: all, or the first `limit` of them."""
     listed = harvest.java_repositories(files.read_repositories(spark, repositories_csv))
     sources = harvest.java_files(harvest.repository_files(listed, snapshots))
     methods = harvest.extract_methods(sources)
     if limit is not None:
         methods = harvest.cap_methods(methods, limit)
-    files.write_extracted(harvest.with_provenance(methods), output_csv)
+    files.write_extracted(harvest.with_provenance(methods), output, file_format)
 
 
-def clean_methods(spark: SparkSession, input_csv: str, output_csv: str) -> None:
-    """Any methods CSV file to a processed one with cleaned code alone."""
-    files.write_processed(clean.clean_methods(files.read_methods_csv(spark, input_csv)), output_csv)
+def clean_methods(
+    spark: SparkSession,
+    source: str,
+    output: str,
+    funnel_json: str | None = None,
+    source_format: str = "csv",
+    file_format: str = "csv",
+) -> None:
+    """Any methods file to a processed one with cleaned code alone and, given a path, the rows each stage removed."""
+    methods = files.read_methods(spark, source, source_format)
+    files.write_processed(clean.clean_methods(methods), output, file_format)
+    if funnel_json is not None:
+        reports.write_funnel(clean.cleaning_funnel(methods), funnel_json)
 
 
 def model_methods(
@@ -39,12 +51,17 @@ def model_methods(
     max_n: int = choose.DEFAULT_MAX_N,
     smoothing_k: float = DEFAULT_SMOOTHING,
     quick: bool = False,
+    test_size: float = DEFAULT_TEST_SIZE,
+    exact: bool = False,
+    file_format: str = "csv",
 ) -> choose.RunResult:
-    """Select, train, test and save, from a processed CSV file or a text file with one method per line."""
+    """Select, train, test and save, from a processed file or a text file with one method per line."""
     if (processed_file is None) == (training_txt is None):
         raise ValueError("give either processed_file or training_txt")
     if training_txt is not None:
         methods = files.read_text_methods(spark, training_txt)
     else:
-        methods = files.read_processed(spark, processed_file)
-    return choose.train_and_test(methods, output_dir, min_n, max_n, smoothing_k, quick)
+        methods = files.read_processed(spark, processed_file, file_format=file_format)
+    return choose.train_and_test(
+        methods, output_dir, min_n, max_n, smoothing_k, quick, test_size=test_size, exact=exact
+    )

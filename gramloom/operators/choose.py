@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from gramloom.operators.compare import evaluate_orders, fit_orders
 from gramloom.operators.corpus import (
     DEFAULT_SEED,
+    DEFAULT_TEST_SIZE,
     TEST,
     TRAIN,
     VALIDATION,
+    exact_split_methods,
     quick_sample,
     split_methods,
     training_and_validation,
@@ -86,14 +88,20 @@ def train_and_test(
     quick: bool = False,
     include_test: bool = False,
     seed: int = DEFAULT_SEED,
+    test_size: float = DEFAULT_TEST_SIZE,
+    exact: bool = False,
 ) -> RunResult:
     """Split, select n, retrain, test and, given a folder, save metrics and model.
 
     `quick` selects on a sample of 1,000 methods; the final model still uses
-    all of them.  Only the chosen n passes through the driver.
+    all of them.  `exact` splits to exact sizes.  Only the chosen n passes through the driver.
     """
     orders(min_n, max_n)
-    methods = write_table(split_methods(tokenised, seed), "methods")
+    if exact:
+        split = exact_split_methods(write_table(tokenised, "tokenised"), test_size, seed)
+    else:
+        split = split_methods(tokenised, seed, test_size)
+    methods = write_table(split, "methods")
     pool = methods
     if quick:
         pool = write_table(quick_sample(methods, seed=seed, include_test=include_test), "quick-sample")

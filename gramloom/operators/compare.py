@@ -197,8 +197,10 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         "gid",
     )
     counts = [F.struct(F.lit(n).alias("n"), F.col(f"c_{n}").alias("c"), F.col(f"cc_{n}").alias("cc")) for n in n_values]
+    # A pair's rows meet before they are widened to one per model, so the grouping needs no exchange of its own.
     per_model = (
-        answers.withColumn("hit", F.col("best") == F.col("first_seen"))
+        answers.repartition("gid")
+        .withColumn("hit", F.col("best") == F.col("first_seen"))
         .select("gid", "cnt", "is_punct", "m", "hit", F.inline(F.array(*counts)))
         .filter((F.col("n") > F.col("m")) & (F.col("cc").isNotNull() | (F.col("m") == 0)))
     )

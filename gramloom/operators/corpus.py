@@ -6,6 +6,8 @@ A methods table has `method_id bigint` and a code column; a tokenised one has
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,11 @@ VALIDATION = "val"
 TEST = "test"
 
 DEFAULT_SEED = 42
+DEFAULT_TEST_SIZE = 0.2
 QUICK_SAMPLE_SIZE = 1000
 
 _HEX_DIGITS = 32
 _PREFIX_STEP = 4
-_RANKABLE_ROWS = 100_000
 
 
 def tokenize_methods(methods: DataFrame, code: str = "code") -> DataFrame:
@@ -34,13 +36,32 @@ def tokenize_methods(methods: DataFrame, code: str = "code") -> DataFrame:
     return methods.select("method_id", tokens.alias("tokens")).filter(F.size("tokens") > 0)
 
 
-def split_methods(methods: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Add `split`: about 80 / 10 / 10, fixed by id and seed, without a shuffle."""
-    bucket = sample_bucket(F.col("method_id"), seed, 10)
-    split = F.when(bucket < 8, TRAIN).when(bucket == 8, VALIDATION).otherwise(TEST)
+def split_methods(
+    methods: DataFrame, seed: int = DEFAULT_SEED, test_size: float = DEFAULT_TEST_SIZE
+) -> DataFrame:
+    """Add `split`, fixed by id and seed, without a shuffle.
+
+    About `test_size` of the ids are held out, to a thousandth: half of them for
+    validation, half for test.  The default is 80 / 10 / 10.
+    """
+    held_out = Fraction(_checked(test_size)).limit_denominator(1000)
+    buckets = 2 * held_out.denominator
+    first_test = buckets - held_out.numerator
+    bucket = sample_bucket(F.col("method_id"), seed, buckets)
+    split = (
+        F.when(bucket < first_test - held_out.numerator, TRAIN)
+        .when(bucket < first_test, VALIDATION)
+        .otherwise(TEST)
+    )
     return methods.withColumn("split", split)
 
 
+def _checked(test_size: float) -> float:
+    if not 0 < test_size < 1:
+        raise ValueError("test_size must lie between 0 and 1")
+    return test_size
+
+
 def training_and_validation(methods: DataFrame) -> DataFrame:
     """The methods a final model is trained on."""
     return methods.filter(F.col("split").isin(TRAIN, VALIDATION))
@@ -66,7 +87,7 @@ def quick_sample(
     return split_methods(sample, seed + 1)
 
 
-def exact_split_sizes(rows: int, held_out: float = 0.2) -> tuple[int, int, int]:
+def exact_split_sizes(rows: int, held_out: float = DEFAULT_TEST_SIZE) -> tuple[int, int, int]:
     """Train, validation and test sizes; what is held out rounds up each time."""
     remaining = -int(-rows * held_out // 1)
     test = -int(-remaining * 0.5 // 1)
@@ -74,14 +95,15 @@ def exact_split_sizes(rows: int, held_out: float = 0.2) -> tuple[int, int, int]:
 
 
 def exact_split_methods(
-    methods: DataFrame, held_out: float = 0.2, seed: int = DEFAULT_SEED
+    methods: DataFrame, held_out: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """Add `split` with exactly the sizes of `exact_split_sizes`.
 
     Methods are ranked by sampling key.  The two ranks where the split changes
-    are located by counting key prefixes, so no partition ever holds more than
-    one prefix of rows to be ranked.
+    are located by counting key prefixes, so no rows are gathered to be ranked.
+    Ids are taken to be unique; repeated ones make the sizes inexact.
     """
+    _checked(held_out)
     keyed = methods.withColumn("_key", sample_key(F.col("method_id"), seed))
     rows = keyed.count()
     if rows == 0:
@@ -106,12 +128,13 @@ def _key_at_rank(keyed: DataFrame, rank: int) -> str:
     """`key:id` of the row with this zero-based rank; past the end, a key above all others.
 
     Each round counts the next four digits of the keys within the prefix that
-    holds the rank: at most 65,536 small rows reach the driver.
+    holds the rank, until that is one row or one key: at most 65,536 small rows
+    reach the driver.
     """
     prefix, before = "", 0
     candidates = keyed.select("_key", "method_id")
     remaining = None
-    while remaining is None or (remaining > _RANKABLE_ROWS and len(prefix) < _HEX_DIGITS):
+    while remaining != 1 and len(prefix) < _HEX_DIGITS:
         length = len(prefix) + _PREFIX_STEP
         counts = (
             candidates.filter(F.col("_key").startswith(prefix))

@@ -144,8 +144,10 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
     raw = F.when(F.col("cc_full").isNull(), F.lit(0.0)).otherwise(
         raw_estimate(model, F.col("c_full"), F.col("cc_full"))
     )
+    # A pair's rows meet before they are widened to a column per suffix.
     return (
-        answers.groupBy("gid", "n", *carried)
+        answers.repartition("gid")
+        .groupBy("gid", "n", *carried)
         .agg(
             *counts_per_suffix(model),
             F.max(F.when(full, F.col("c"))).alias("c_full"),

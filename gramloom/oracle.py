@@ -61,6 +61,7 @@ _DOCUMENTS = "SELECT doc_id AS method_id, text AS code FROM documents"
 _CONVERSATIONS = "SELECT conv_id * 1000 + turn AS method_id, text AS code FROM conversations"
 _PAGES = "SELECT page_id AS method_id, html AS code FROM pages"
 _BUCKET = "(('0x' || substr(md5('42:' || method_id), 1, 8))::BIGINT % 10)"
+_BUCKET_20 = "(('0x' || substr(md5('42:' || method_id), 1, 8))::BIGINT % 20)"
 _SPLIT = f"CASE WHEN {_BUCKET} < 8 THEN 'train' WHEN {_BUCKET} = 8 THEN 'val' ELSE 'test' END"
 
 
@@ -218,24 +219,29 @@ metrics{tag} AS MATERIALIZED ({_metrics(n, _with_probability(n, _asked(n, source
 _TRAIN, _VAL, _TEST = "split = 'train'", "split = 'val'", "split = 'test'"
 _DOCS = f"WITH docs AS MATERIALIZED ({_tokenised(_DOCUMENTS)})"
 _TRIGRAM = f"{_DOCS}, {_model_tables(3, 'docs', _TRAIN)}"
+_ALL_COUNTS = f"{_DOCS}, {_model_tables(3, 'docs', 'true')}"
 _SCORED = _with_probability(3, _asked(3, "docs", _TEST))
 _TRIGRAM_METRICS = f"{_TRIGRAM} SELECT {_shown_metrics()} FROM ({_metrics(3, _SCORED)}) m"
 
 _ORDERS = range(2, 8)
 
 
-def _compared(methods: str) -> str:
+def _comparison_of(source: str) -> str:
     """CTEs up to `comparison`, one row of validation metrics per order."""
-    models = ", ".join(_evaluated(n, "corpus", _TRAIN, _VAL) for n in _ORDERS)
+    models = ", ".join(_evaluated(n, source, _TRAIN, _VAL) for n in _ORDERS)
     union = " UNION ALL ".join(f"SELECT * FROM metrics_{n}" for n in _ORDERS)
+    return f"{models}, comparison AS MATERIALIZED ({union})"
+
+
+def _compared(methods: str) -> str:
     return f"""WITH corpus AS MATERIALIZED ({_tokenised(methods)}),
-{models}, comparison AS MATERIALIZED ({union})"""
+{_comparison_of("corpus")}"""
 
 
 _COMPARISON = _compared(JAVA_METHODS)
 
 
-def _final() -> str:
+def _final(comparison: str) -> str:
     """The test metrics of every order, of which the chosen one is kept."""
     train_and_val = "split IN ('train', 'val')"
     models = []
@@ -244,18 +250,18 @@ def _final() -> str:
         scored = _with_probability(n, _asked(n, "corpus", _TEST), tag)
         models.append(f"{_model_tables(n, 'corpus', train_and_val, tag)}, metrics{tag} AS ({_metrics(n, scored, tag)})")
     union = " UNION ALL ".join(f"SELECT * FROM metrics_f{n}" for n in _ORDERS)
-    return f"""{_COMPARISON}, {", ".join(models)}
+    return f"""{comparison}, {", ".join(models)}
       SELECT {_shown_metrics()} FROM ({union}) f WHERE n = (SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1)"""
 
 
 _PREDICT = f"""{_TRIGRAM},
-asked AS (SELECT method_id * 1000000 + pos AS context_id, {_key(1, 2)} AS ctx_2,
+asked AS (SELECT method_id, pos::INTEGER AS pos, {_key(1, 2)} AS ctx_2,
     {_key(2, 2)} AS ctx_1, '' AS ctx_0 FROM ({_positions(4, 'docs', _TEST)}) p),
 found AS (SELECT a.*, k2.pred IS NOT NULL AS has_2, k1.pred IS NOT NULL AS has_1,
     coalesce(k2.pred, k1.pred, k0.pred) AS target
   FROM asked a LEFT JOIN contexts k2 ON k2.m = 2 AND k2.ctx = ctx_2
     LEFT JOIN contexts k1 ON k1.m = 1 AND k1.ctx = ctx_1 LEFT JOIN contexts k0 ON k0.m = 0)
-SELECT context_id, 3::INTEGER AS n, (CASE WHEN has_2 THEN 2 WHEN has_1 THEN 1 ELSE 0 END)::INTEGER AS matched,
+SELECT method_id, pos, 3::INTEGER AS n, (CASE WHEN has_2 THEN 2 WHEN has_1 THEN 1 ELSE 0 END)::INTEGER AS matched,
   target AS pred, round(p, 10) AS p FROM ({_with_probability(3, 'SELECT * FROM found')}) s"""
 
 # -- harvesting --------------------------------------------------------------
@@ -292,7 +298,8 @@ started AS (SELECT *, last_value(CASE WHEN before_1 IS NULL OR before_1 IN ('{{'
   FROM depths),
 matched AS MATERIALIZED (SELECT *, lead(pos) OVER (PARTITION BY f, family, level ORDER BY pos) AS partner FROM started),
 balanced AS (SELECT f FROM matched GROUP BY f
-  HAVING sum(CASE x WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) = 0 AND min(braces) >= 0),
+  HAVING sum(CASE x WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) = 0 AND min(braces) >= 0
+    AND sum(CASE x WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) = 0 AND min(parens) >= 0),
 found AS (SELECT h.f, h.pos, h.before_1 AS method_name, h.statement_line AS first_line, e.line AS last_line
   FROM matched h JOIN balanced USING (f)
     JOIN matched c ON c.f = h.f AND c.pos = h.partner
@@ -322,6 +329,12 @@ FROM (SELECT p_partkey AS method_id, md5('42:' || p_partkey) AS place FROM part)
 ORDER BY place, method_id LIMIT 1000
 """
 
+_QUICK_COMPARISON = f"""WITH corpus AS MATERIALIZED ({_tokenised(JAVA_METHODS)}),
+quick AS MATERIALIZED (SELECT method_id, tokens,
+    CASE WHEN {_QUICK_BUCKET} < 8 THEN 'train' WHEN {_QUICK_BUCKET} = 8 THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT * FROM corpus WHERE {_BUCKET} <> 9 ORDER BY md5('42:' || method_id), method_id LIMIT 1000) q),
+{_comparison_of("quick")}"""
+
 _PADDED = f"""
 SELECT method_id, array_to_string(padded, chr(31)) AS tokens, len(padded)::INTEGER AS n_tokens
 FROM (SELECT method_id, list_concat(list_concat(['<START>', '<START>'], tokens), ['<END>']) AS padded
@@ -337,6 +350,8 @@ ORACLE: dict[str, str] = {
     "tokenize_java": _shown(JAVA_METHODS),
     "pad_tokens": _PADDED,
     "split_docs": f"SELECT method_id, {_SPLIT} AS split FROM ({_DOCUMENTS}) d",
+    "split_docs_30": f"""SELECT method_id, CASE WHEN {_BUCKET_20} < 14 THEN 'train' WHEN {_BUCKET_20} < 17 THEN 'val'
+      ELSE 'test' END AS split FROM ({_DOCUMENTS}) d""",
     "exact_split_docs": _EXACT_SPLIT,
     "quick_sample": _QUICK,
     "train_and_validation": f"SELECT method_id, {_SPLIT} AS split FROM ({_DOCUMENTS}) d WHERE {_BUCKET} < 9",
@@ -350,12 +365,12 @@ ORACLE: dict[str, str] = {
     "clean_chain": _CHAIN,
     "clean_documents": _chain(_DOCUMENTS),
     "clean_funnel": _FUNNEL,
-    "vocabulary": f"""{_DOCS} SELECT unnest(tokens) AS token FROM docs WHERE {_TRAIN}
+    "vocabulary": f"""{_DOCS} SELECT unnest(tokens) AS token FROM docs
       UNION SELECT '<START>' UNION SELECT '<END>'""",
-    "ngram_counts": f"""{_TRIGRAM} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, target, c,
+    "ngram_counts": f"""{_ALL_COUNTS} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, target, c,
       (first_seen // 2147483648)::BIGINT AS first_method, (first_seen % 2147483648)::INTEGER AS first_pos FROM ngrams""",
-    "context_counts": f"{_TRIGRAM} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, cc FROM contexts",
-    "best_target": f"{_TRIGRAM} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, pred FROM contexts",
+    "context_counts": f"{_ALL_COUNTS} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, cc FROM contexts",
+    "best_target": f"{_ALL_COUNTS} SELECT 3::INTEGER AS n, m::INTEGER AS m, ctx, pred FROM contexts",
     "raw_probability": f"""{_TRIGRAM} SELECT DISTINCT 3::INTEGER AS n, ctx_2 AS ctx, target,
       round(CASE WHEN cc_2 IS NULL THEN 0.0 ELSE (coalesce(c_2, 0) + {K}) / (cc_2 + {K}::DOUBLE * v) END, 10) AS p
       FROM ({_SCORED}) s""",
@@ -370,10 +385,12 @@ ORACLE: dict[str, str] = {
     "compare_n": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",
     "compare_n_conversations": f"{_compared(_CONVERSATIONS)} SELECT {_shown_metrics()} FROM comparison",
     "select_n": f"{_COMPARISON} SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1",
-    "final_model": _final(),
+    "final_model": _final(_COMPARISON),
+    "quick_model": _final(_QUICK_COMPARISON),
     "csv_roundtrip": f"SELECT code FROM ({JAVA_METHODS}) m",
     "column_resolution": f"SELECT method_code AS code FROM ({_EXTRACTED}) e",
     "processed_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CHAIN)}) t",
+    "processed_parquet_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CHAIN)}) t",
     "text_lines": f"SELECT tokens, n_tokens FROM ({_shown(_LINES)}) t",
     "model_roundtrip": _TRIGRAM_METRICS,
     "metrics_json": _TRIGRAM_METRICS,

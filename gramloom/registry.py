@@ -93,6 +93,12 @@ def split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.split_methods(tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id")))
 
 
+def split_docs_30(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirty per cent held out."""
+    documents = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"))
+    return corpus.split_methods(documents, test_size=0.3)
+
+
 def exact_split_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.exact_split_methods(
         tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"))
@@ -157,16 +163,12 @@ def clean_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- training --------------------------------------------------------------
 
 
-def _training_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _part_of(_documents(spark, sf_dir), corpus.TRAIN)
-
-
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit.vocabulary(_training_documents(spark, sf_dir))
+    return fit.vocabulary(_documents(spark, sf_dir))
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER]).select(
+    return fit.ngram_counts(_documents(spark, sf_dir), [ORDER]).select(
         "n",
         "m",
         "ctx",
@@ -178,7 +180,7 @@ def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return write_table(fit.ngram_counts(_training_documents(spark, sf_dir), [ORDER]), "ngrams")
+    return write_table(fit.ngram_counts(_documents(spark, sf_dir), [ORDER]), "ngrams")
 
 
 def context_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,11 +216,12 @@ def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
         "method_id", "padded", F.explode(F.sequence(F.lit(0), F.size("padded") - ORDER - 1)).alias("pos")
     )
     contexts = prefixes.select(
-        (F.col("method_id") * 1_000_000 + F.col("pos")).alias("context_id"),
+        "method_id",
+        "pos",
         F.slice("padded", F.col("pos") + 1, ORDER).alias("context"),
     )
     return score.predict_next(model, contexts).select(
-        "context_id", "n", "matched", "pred", F.round("p", _P_DECIMALS).alias("p")
+        "method_id", "pos", "n", "matched", "pred", F.round("p", _P_DECIMALS).alias("p")
     )
 
 
@@ -267,6 +270,12 @@ def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_metrics(choose.train_and_test(tokens).metrics)
 
 
+def quick_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run with n selected on the quick sample."""
+    tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
+    return _show_metrics(choose.train_and_test(tokens, quick=True).metrics)
+
+
 # -- sources and sinks -----------------------------------------------------
 
 
@@ -291,6 +300,13 @@ def processed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_tokens(files.read_processed(spark, path)).select("tokens", "n_tokens")
 
 
+def processed_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned methods written as Parquet, read back and tokenised."""
+    path = scratch_path(spark, "processed")
+    files.write_processed(clean.clean_methods(tables.java_methods(spark, sf_dir)), path, "parquet")
+    return _show_tokens(files.read_processed(spark, path, file_format="parquet")).select("tokens", "n_tokens")
+
+
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as text and read back with one method per line."""
     path = scratch_path(spark, "text")
@@ -367,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "tokenize_pages": tokenize_pages,
     "pad_tokens": pad,
     "split_docs": split_docs,
+    "split_docs_30": split_docs_30,
     "exact_split_docs": exact_split_docs,
     "quick_sample": quick_sample,
     "train_and_validation": train_and_validation,
@@ -394,9 +411,11 @@ QUERIES: dict[str, Query] = {
     "compare_n_conversations": compare_n_conversations,
     "select_n": select_n,
     "final_model": final_model,
+    "quick_model": quick_model,
     "csv_roundtrip": csv_roundtrip,
     "column_resolution": column_resolution,
     "processed_roundtrip": processed_roundtrip,
+    "processed_parquet_roundtrip": processed_parquet_roundtrip,
     "text_lines": text_lines,
     "model_roundtrip": model_roundtrip,
     "metrics_json": metrics_json,

@@ -1,4 +1,4 @@
-"""Methods in CSV and text files.
+"""Methods in CSV, Parquet and text files.
 
 Files carry no method id, so readers number the rows in the order of file path
 and place in the file, whatever tasks read them.  The first thing to do with a large CSV file is `ingest`: quoted line breaks keep
@@ -26,6 +26,8 @@ EXTRACTED_COLUMNS = {
 }
 REPOSITORY_COLUMNS = ("name", "defaultBranch", "mainLanguage")
 
+FORMATS = ("csv", "parquet")
+
 _FILE, _BLOCK, _ORDER = "_file", "_block", "_order"
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -38,6 +40,26 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**_CSV_READ).csv(path)
 
 
+def read_any(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+    """A CSV or Parquet source under its own column names."""
+    _check_format(file_format)
+    return read_csv(spark, path) if file_format == "csv" else spark.read.parquet(path)
+
+
+def write_any(frame: DataFrame, path: str, file_format: str = "csv") -> None:
+    _check_format(file_format)
+    writer = frame.write.mode("overwrite")
+    if file_format == "csv":
+        writer.options(**_CSV_WRITE).csv(path)
+    else:
+        writer.parquet(path)
+
+
+def _check_format(file_format: str) -> None:
+    if file_format not in FORMATS:
+        raise ValueError(f"unknown format {file_format!r}: give one of {FORMATS}")
+
+
 def resolve_code_column(columns: list[str]) -> str:
     """`Method Code`, else `method_code`, else the first column with `code` in its name."""
     for name in ("Method Code", "method_code"):
@@ -54,13 +76,18 @@ def _with_place(frame: DataFrame) -> DataFrame:
     return frame.select("*", F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK))
 
 
-def read_methods_csv(spark: SparkSession, path: str) -> DataFrame:
-    """`method_id, code` from any methods CSV file."""
-    frame = read_csv(spark, path)
+def read_methods(spark: SparkSession, path: str, file_format: str = "csv") -> DataFrame:
+    """`method_id, code` from any methods file."""
+    frame = read_any(spark, path, file_format)
     code = resolve_code_column(frame.columns)
     return ingest(_with_place(frame).select(F.col(f"`{code}`").alias("code"), _FILE, _BLOCK))
 
 
+def read_methods_csv(spark: SparkSession, path: str) -> DataFrame:
+    """`method_id, code` from any methods CSV file."""
+    return read_methods(spark, path)
+
+
 def ingest(placed: DataFrame) -> DataFrame:
     """Copy placed rows to a splittable table and number them from 0.
 
@@ -78,9 +105,11 @@ def ingest(placed: DataFrame) -> DataFrame:
     return table.join(blocks, place).select(number.alias("method_id"), *values)
 
 
-def read_processed(spark: SparkSession, path: str, code: str = PROCESSED_COLUMN) -> DataFrame:
-    """Tokenised methods `method_id, tokens` from a processed CSV file; nulls and empty ones dropped."""
-    frame = read_csv(spark, path)
+def read_processed(
+    spark: SparkSession, path: str, code: str = PROCESSED_COLUMN, file_format: str = "csv"
+) -> DataFrame:
+    """Tokenised methods `method_id, tokens` from a processed file; nulls and empty ones dropped."""
+    frame = read_any(spark, path, file_format)
     if code not in frame.columns:
         raise ValueError(f"missing column {code!r}")
     rows = _with_place(frame).select(F.col(f"`{code}`").alias("code"), _FILE, _BLOCK)
@@ -104,12 +133,12 @@ def read_repositories(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path).select(*REPOSITORY_COLUMNS)
 
 
-def write_processed(methods: DataFrame, path: str) -> None:
-    """Cleaned methods as CSV with the one processed column."""
-    methods.select(F.col("code").alias(PROCESSED_COLUMN)).write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+def write_processed(methods: DataFrame, path: str, file_format: str = "csv") -> None:
+    """Cleaned methods with the one processed column."""
+    write_any(methods.select(F.col("code").alias(PROCESSED_COLUMN)), path, file_format)
 
 
-def write_extracted(methods: DataFrame, path: str) -> None:
-    """Harvested methods as CSV under their published column names."""
+def write_extracted(methods: DataFrame, path: str, file_format: str = "csv") -> None:
+    """Harvested methods under their published column names."""
     named = [F.col(column).alias(title) for column, title in EXTRACTED_COLUMNS.items()]
-    methods.select(*named).write.mode("overwrite").options(**_CSV_WRITE).csv(path)
+    write_any(methods.select(*named), path, file_format)

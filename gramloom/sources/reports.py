@@ -21,6 +21,11 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
+def write_funnel(funnel: DataFrame, path: str) -> None:
+    """One JSON line per cleaning stage, in their order."""
+    funnel.coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_comparison(comparison: DataFrame, path: str) -> None:
     """One JSON object keyed `n=<n>`; it has one entry per order tried."""
     entry = F.struct(F.concat(F.lit("n="), F.col("n")).alias("key"), F.struct(*METRICS).alias("value"))

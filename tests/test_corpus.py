@@ -40,8 +40,23 @@ def test_exact_split_sizes(spark, rows):
     assert counts == {k: v for k, v in expected.items() if v}
 
 
-def test_exact_split_ranks_across_many_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(corpus, "_RANKABLE_ROWS", 1)
+@pytest.mark.parametrize("test_size", [0.3, 0.5, 0.05])
+def test_split_shares(spark, test_size):
+    ids = spark.range(20_000).withColumnRenamed("id", "method_id")
+    counts = {r.split: r["count"] for r in corpus.split_methods(ids, test_size=test_size).groupBy("split").count().collect()}
+    shares = [counts[name] / 20_000 for name in ("train", "val", "test")]
+    assert shares == pytest.approx([1 - test_size, test_size / 2, test_size / 2], abs=0.01)
+
+
+@pytest.mark.parametrize("test_size", [0, 1, -0.1])
+def test_split_share_is_checked(spark, test_size):
+    ids = spark.range(3).withColumnRenamed("id", "method_id")
+    for split in (lambda: corpus.split_methods(ids, test_size=test_size), lambda: corpus.exact_split_methods(ids, test_size)):
+        with pytest.raises(ValueError):
+            split()
+
+
+def test_exact_split_ranks_across_many_prefixes(spark):
     ids = spark.range(3000).withColumnRenamed("id", "method_id")
     rows = corpus.exact_split_methods(ids).withColumn("k", corpus.sample_key(F.col("method_id"), 42)).collect()
     ordered = [r.split for r in sorted(rows, key=lambda r: (r.k, r.method_id))]

@@ -16,8 +16,15 @@ def test_from_snapshots_to_a_model(spark, frame, tmp_path):
     jobs.clean_methods(spark, harvested, processed)
     cleaned = files.read_csv(spark, processed)
     assert cleaned.columns == ["Method Code No Comments"] and 80 < cleaned.count() <= 105
-    result = jobs.model_methods(spark, processed, output_dir=results, min_n=2, max_n=4)
+    parquet, funnel = str(tmp_path / "parquet"), str(tmp_path / "funnel")
+    jobs.clean_methods(spark, harvested, parquet, funnel, file_format="parquet")
+    assert spark.read.parquet(parquet).exceptAll(cleaned).isEmpty()
+    stages = spark.read.json(funnel).orderBy("step").collect()
+    assert (stages[0].rows_in, stages[-1].rows_out) == (105, cleaned.count())
+    result = jobs.model_methods(spark, parquet, output_dir=results, min_n=2, max_n=4, exact=True, file_format="parquet")
     assert result.metrics.head().perplexity < 10
+    with pytest.raises(ValueError):
+        jobs.clean_methods(spark, harvested, parquet, file_format="orc")
 
 
 def test_text_file(spark, tmp_path):
