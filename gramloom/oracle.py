@@ -8,11 +8,25 @@ instead of segments, so agreement is evidence.
 from __future__ import annotations
 
 from gramloom.functions import lexer
-from gramloom.operators.clean import BOILERPLATE_PATTERNS
-from gramloom.operators.harvest import CONTROL_WORDS, NOT_A_TYPE
-from gramloom.operators.score import PUNCTUATION
 from gramloom.sources.tables import FILE_SNAPSHOTS, JAVA_METHODS, REPOSITORIES
 
+# Fixed values, stated apart from the engine's so that a slip in either shows.
+BOILERPLATE_PATTERNS = (
+    r"\bset[A-Z][a-zA-Z0-9_]*\([^\n]*\)\s*\{",
+    r"\bget[A-Z][a-zA-Z0-9_]*\([^\n]*\)\s*\{",
+    r"\bto(String|Array)\(\)\s*\{",
+    r"\bhash(Code|)\(\)\s*\{",
+    r"\bequals\(Object\s+\w+\)\s*\{",
+    r"\bclone\(\)\s*\{",
+    r"^\s*@Override\s*\n",
+)
+CONTROL_WORDS = tuple(
+    "if for while switch catch synchronized try return new throw assert do else super this case instanceof yield".split()
+)
+NOT_A_TYPE = tuple("new return throw else do case assert instanceof record public private protected".split())
+PUNCTUATION = tuple("{ } ( ) [ ] ; , . : = + - * / % & | ^ ! ~ < > ? @".split())
+OPERATORS = tuple("~ ^ * ! % & [ ] < > | + = / ? -".split())
+
 K = 0.01
 LAMBDA = 0.4
 
@@ -47,7 +61,7 @@ def _stripped(code: str) -> str:
     found = f"regexp_extract_all({_INPUT.format(code=code)}, {_LEXEME_OR_SPACE})"
     return f"""coalesce(array_to_string(list_transform(list_filter({found}, lambda x: NOT {_IS_COMMENT}),
       lambda x: CASE WHEN x = '{{' THEN ' {{' || chr(10) WHEN x = '}}' THEN chr(10) || '}}' || chr(10)
-        WHEN x = ';' THEN ';' || chr(10) WHEN x IN ({_texts(lexer.OPERATORS)}) THEN ' ' || x || ' ' ELSE x END), ''), '')"""
+        WHEN x = ';' THEN ';' || chr(10) WHEN x IN ({_texts(OPERATORS)}) THEN ' ' || x || ' ' ELSE x END), ''), '')"""
 
 
 def _normalised(code: str) -> str:
