@@ -46,7 +46,6 @@ _HEADER = rf"({IDENTIFIER}(?={_SPACE})|[>\]]){_SPACE}*({IDENTIFIER}){_SPACE}*\($
 _ANNOTATED_NAME = rf"@[\p{{L}}\p{{N}}_$.]+{_SPACE}+{IDENTIFIER}{_SPACE}*\($"
 _BODY_FOLLOWS = rf"^(?:throws{_SPACE}[^;]*)?\{{$"
 
-_JOIN_SALTS = 32
 _FILE_COLUMNS = ("repo", "branch", "commit_hash", "commit_seq", "file_name", "source_code")
 
 
@@ -57,18 +56,12 @@ def java_repositories(repositories: DataFrame, language: str = LANGUAGE) -> Data
 def repository_files(repositories: DataFrame, snapshots: DataFrame) -> DataFrame:
     """The snapshots of each listed repository's default branch.
 
-    One repository may own a large part of all files, so the join key is
-    salted: the list, one short row per repository, is repeated once per salt.
+    One repository may own a large part of all files.  Adaptive execution splits
+    its partition into as many tasks as its bytes ask for, each with the one short
+    row of the list beside it.
     """
-    listed = repositories.select(
-        F.col("name").alias("repo"),
-        F.col("defaultBranch").alias("branch"),
-        F.explode(F.array(*[F.lit(salt) for salt in range(_JOIN_SALTS)])).alias("_salt"),
-    )
-    salt = F.pmod(F.xxhash64("commit_hash", "file_name"), F.lit(_JOIN_SALTS)).cast("int")
-    return (
-        snapshots.withColumn("_salt", salt).join(listed, ["repo", "branch", "_salt"]).select(*snapshots.columns)
-    )
+    listed = repositories.select(F.col("name").alias("repo"), F.col("defaultBranch").alias("branch"))
+    return snapshots.join(listed, ["repo", "branch"]).select(*snapshots.columns)
 
 
 def java_files(files: DataFrame, suffix: str = FILE_SUFFIX) -> DataFrame:
