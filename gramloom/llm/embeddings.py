@@ -9,6 +9,14 @@ linked is right; a pair whose descriptions share less is missed.  Measured
 against brute force on the given tables the recall is 1.0; the tests hold it
 above 0.9 for pairs close to the threshold too.
 
+References would not tell the members of a group that holds a large share of the table
+apart but by noise, so such groups are found in the sample and compared exactly.  A sampled vector
+is a centre if a share of HOT of the sample lies within DENSE of it.  A vector within DENSE
+of a centre is in the core of the nearest one, and in no list of references.  The cell of a
+centre holds its core and all that can link with it by the triangle inequality of
+angles, so no link of a core is missed.  References are drawn outside the
+cores, apart from the centres, and as far as they last at a cosine below SPREAD from each other.
+
 Equal vectors of one label are one row with a count.  A pair that shares more
 than SHARED references meets in several lists and is counted in the one of its lowest
 shared references.  Lists of any length are handled: beyond TILE rows
@@ -36,9 +44,15 @@ from gramloom.llm.components import components
 
 COSINE = 0.93
 REFERENCES = 128
+SAMPLE = 2048
+#: A centre has this share of the sample within cosine DENSE.
+HOT = 1 / 64
+DENSE = 0.8
+SPREAD = 0.5
 NEAREST = 8
 SHARED = 4
 TILE = 2048
+_BLOCK = 256
 _SUBSETS = np.array(list(combinations(range(NEAREST), SHARED)))
 _PLACES = np.array([7 * k for k in range(SHARED)])
 
@@ -59,28 +73,83 @@ def _matrix(column: pa.ChunkedArray | pa.Array, length: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, length)
 
 
-def references(classes: DataFrame, n: int = REFERENCES) -> dict[int, np.ndarray]:
-    """Up to n unit vectors of each of the lengths that a bounded sample shows.
+def _centres(sample: np.ndarray) -> np.ndarray:
+    """Places of sampled vectors that have many others near them, none near another."""
+    near = sample @ sample.T >= DENSE
+    count = near.sum(axis=1)
+    free = count >= max(NEAREST, HOT * len(sample))
+    found = []
+    while free.any():
+        found.append(int(np.argmax(np.where(free, count, 0))))
+        free &= ~near[found[-1]]
+        free[found[-1]] = False
+    return np.array(found, np.int64)
+
+
+def _spread(sample: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
+    """Up to n of the sample: centres, then others outside the cores, those far from each other first."""
+    cores = (sample @ sample[centres].T).max(axis=1, initial=-2.0) >= DENSE
+    taken = centres[:n].tolist()
+    close = (sample @ sample[taken].T).max(axis=1, initial=-2.0)
+    for least in (SPREAD, np.inf):
+        for at in np.flatnonzero(~cores).tolist():
+            if len(taken) < n and at not in taken and close[at] < least:
+                taken.append(at)
+                close = np.maximum(close, sample @ sample[at])
+    return sample[taken]
 
-    The sample is the n vectors of lowest hash of their id; lengths that it does not show
+
+def references(classes: DataFrame, n: int = REFERENCES) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Up to n unit vectors, and the centres, of each of the lengths that a bounded sample shows.
+
+    The sample is the SAMPLE vectors of lowest hash of their id; lengths that it does not show
     have no references, so their vectors share the empty description.
     """
-    rows = classes.orderBy(F.xxhash64("class"), "class").select("embedding").limit(n).collect()
+    share = 4 * SAMPLE / max(1, classes.count())
+    key = F.xxhash64("class")
+    low = classes.filter(key < F.lit(int(share * 2**64) - 2**63)) if share < 1 else classes
+    rows = low.orderBy(key, "class").select("embedding").limit(SAMPLE).collect()
     found: dict[int, list] = {}
     for row in rows:
         found.setdefault(len(row["embedding"]), []).append(row["embedding"])
-    return {length: _unit(np.array(vectors, np.float64)) for length, vectors in found.items()}
+    chosen = {}
+    for length, vectors in found.items():
+        sample = _unit(np.array(vectors, np.float64))
+        centres = _centres(sample)
+        chosen[length] = _spread(sample, centres, n), sample[centres]
+    return chosen
+
 
+def _cell_name(length: int, cell: np.ndarray | int) -> np.ndarray | int:
+    """Lists without references are negative: cell 0 for all of a length, others for centres."""
+    return -1 - length - (cell << 32)
 
-def _describe(batches: Iterator[pa.RecordBatch], refs: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(class, list, low, high): a row per list; low and high are bitsets of the nearest references."""
+
+def _describe(
+    batches: Iterator[pa.RecordBatch], refs: dict[int, tuple[np.ndarray, np.ndarray]], cosine: float
+) -> Iterator[pa.RecordBatch]:
+    """(class, list, low, high, core): a row per list; low and high are bitsets of the nearest references.
+
+    core is the number of the centre whose core the vector is in, from 1, or 0.
+    """
+    reach = np.cos(min(np.pi, np.arccos(DENSE) + np.arccos(np.clip(cosine, -1, 1)))) - 1e-9
     for batch in batches:
         classes = batch.column(0).to_numpy()
         sizes = batch.column(1).value_lengths().to_numpy()
         for length in np.unique(sizes):
             own = np.flatnonzero(sizes == length)
             vectors = _unit(_matrix(batch.column(1).take(pa.array(own)), int(length)))
-            known = refs.get(int(length), np.zeros((0, int(length))))
+            none = np.zeros((0, int(length)))
+            known, centres = refs.get(int(length), (none, none))
+            to_centres = vectors @ centres.T
+            core = np.zeros(len(own), np.int64)
+            if len(centres):
+                core = np.where(to_centres.max(axis=1) >= DENSE, to_centres.argmax(axis=1) + 1, 0)
+            at, cell = np.nonzero(to_centres >= reach)
+            zeros = np.zeros(len(at), np.int64)
+            yield _listed(classes[own[at]], _cell_name(int(length), cell.astype(np.int64) + 1), zeros, zeros, core[at])
+            sparse = core == 0
+            own, vectors = own[sparse], vectors[sparse]
             order = np.argsort(-(vectors @ known.T), axis=1, kind="stable")[:, :NEAREST]
             nearest = np.sort(order, axis=1)
             bits = np.zeros((len(own), 2), np.uint64)
@@ -88,12 +157,16 @@ def _describe(batches: Iterator[pa.RecordBatch], refs: dict[int, np.ndarray]) ->
                 at = nearest[:, k]
                 bits[np.arange(len(own)), at >> 6] |= np.uint64(1) << (at & 63).astype(np.uint64)
             if nearest.shape[1] < NEAREST:  # too few references: one list for all of this length
-                lists = np.full((len(own), 1), -1 - int(length), np.int64)
+                lists = np.full((len(own), 1), _cell_name(int(length), 0), np.int64)
             else:
                 lists = (nearest[:, _SUBSETS] << _PLACES).sum(axis=2) + (int(length) << 32)
             each = lists.shape[1]
-            columns = [np.repeat(classes[own], each), lists.ravel(), *[np.repeat(bits[:, k].view(np.int64), each) for k in (0, 1)]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "list", "low", "high"])
+            low, high = (np.repeat(bits[:, k].view(np.int64), each) for k in (0, 1))
+            yield _listed(np.repeat(classes[own], each), lists.ravel(), low, high, np.zeros(lists.size, np.int64))
+
+
+def _listed(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "list", "low", "high", "core"])
 
 
 def _lowest_shared(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,6 +192,8 @@ def _compare(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Re
         keys = [table[k].to_numpy() for k in names]
         classes, members, tiles = (table[k].to_numpy() for k in ("class", "members", "tile"))
         low, high = (unsigned(table[k].to_numpy()) for k in ("low", "high"))
+        core = table["core"].to_numpy()
+        core = np.where(core == 0, np.iinfo(np.int64).max, core)
         starts = run_starts(*keys)
         forest = Forest(len(classes))
         linked = np.zeros(len(classes), np.int64)
@@ -126,21 +201,24 @@ def _compare(batches: Iterator[pa.RecordBatch], cosine: float) -> Iterator[pa.Re
             if end - begin < 2:
                 continue
             name = int(keys[1][begin])
-            length = name >> 32 if name >= 0 else -1 - name
+            cell, length = (0, name >> 32) if name >= 0 else (-1 - name >> 32, -1 - name & 0xFFFFFFFF)
             vectors = _unit(_matrix(table["embedding"].slice(begin, end - begin), length))
-            near = np.triu(vectors @ vectors.T >= cosine, 1)
-            i, j = np.nonzero(near)
-            if keys[2][begin] != keys[3][begin]:
-                across = tiles[begin + i] != tiles[begin + j]
-                i, j = i[across], j[across]
-            i, j = i + begin, j + begin
-            if name >= 0:
-                first, enough = _lowest_shared(low[i] & low[j], high[i] & high[j])
-                here = enough & (first == (name & 0xFFFFFFFF))
-                i, j = i[here], j[here]
-            linked += np.bincount(i, members[j], len(linked)).astype(np.int64)
-            linked += np.bincount(j, members[i], len(linked)).astype(np.int64)
-            forest.link(i, j)
+            for top in range(0, end - begin, _BLOCK):
+                i, j = np.nonzero(np.triu(vectors[top : top + _BLOCK] @ vectors[top:].T >= cosine, 1))
+                i, j = i + begin + top, j + begin + top
+                if keys[2][begin] != keys[3][begin]:
+                    across = tiles[i] != tiles[j]
+                    i, j = i[across], j[across]
+                if name >= 0:
+                    first, enough = _lowest_shared(low[i] & low[j], high[i] & high[j])
+                    here = enough & (first == (name & 0xFFFFFFFF))
+                    i, j = i[here], j[here]
+                elif cell:  # a pair of two cores meets in both cells
+                    here = np.minimum(core[i], core[j]) == cell
+                    i, j = i[here], j[here]
+                linked += np.bincount(i, members[j], len(linked)).astype(np.int64)
+                linked += np.bincount(j, members[i], len(linked)).astype(np.int64)
+                forest.link(i, j)
         some = np.flatnonzero(linked)
         columns = [classes[some], linked[some], classes[forest.root[some]]]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["class", "n", "hung"])
@@ -161,7 +239,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     refs = references(classes)
     described = classes.select("class", "embedding").mapInArrow(
-        lambda batches: _describe(batches, refs), "class bigint, list bigint, low bigint, high bigint"
+        lambda batches: _describe(batches, refs, cosine), "class bigint, list bigint, low bigint, high bigint, core bigint"
     )
     described = stage(described.join(classes.select("class", "label"), "class"), "described")
     sizes = described.groupBy("label", "list").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -170,7 +248,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tile: int = TILE
     lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     lists = lists.withColumn("a", F.least("tile", "other")).withColumn("b", F.greatest("tile", "other"))
     lists = lists.join(classes.select("class", "members", "embedding"), "class").select(
-        "label", "list", "a", "b", "tile", "class", "members", "low", "high", "embedding"
+        "label", "list", "a", "b", "tile", "class", "members", "low", "high", "core", "embedding"
     )
     keys = ["label", "list", "a", "b"]
     dealt = lists.repartition(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "class")

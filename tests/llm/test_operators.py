@@ -183,6 +183,26 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(("share", "cosine"), [(3, 0.96), (3, 0.94), (1, 0.96), (3, 0.7)])
+def test_embeddings_of_a_hot_group(spark, share, cosine):
+    """One in `share` rows in one group of unequal vectors at this cosine from each other."""
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre, n = unit(rng.standard_normal(64)), 1800
+    hot = unit(centre + np.sqrt(1 / cosine - 1) * unit(rng.standard_normal((n // share, 64))))
+    others = unit(rng.standard_normal((n - len(hot), 64)))
+    twins = unit(np.concatenate([hot, others])[::10] + 0.2 * unit(rng.standard_normal((n // 10, 64))))
+    vectors = np.concatenate([hot, others, twins])
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>, label int")
+    expected = (vectors @ vectors.T >= 0.93).sum(axis=1) - 1
+    for tile in (embeddings.TILE, 300):
+        found = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame, tile=tile).collect()}
+        links = np.array([found[i] for i in range(len(vectors))])
+        assert (links <= expected).all() and links.sum() >= 0.97 * expected.sum()
+        if cosine > 0.9:
+            assert (links[: len(hot)] == expected[: len(hot)]).all()
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(500 + i, 501 + i) for i in range(60)]
