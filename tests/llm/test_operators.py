@@ -243,6 +243,31 @@ def test_licenses(docs, empty, spark):
             assert (sorted(names), dice) == (sorted(n for n, d in best.items() if d == top), top) if top >= 0.8 else names == []
 
 
+def test_usual_and_embedded_licenses(spark):
+    gpl = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+    prose = "The river ran under the old bridge and the work of the day was done. " * 8
+    expected = {
+        1: ("See the notes below. Released under the MIT License. Contributions welcome.", {"MIT"}),
+        2: (prose + "This work is licensed\nunder the GNU General Public\nLicense, version 3. " + prose, {"GPL-3.0"}),
+        3: (gpl, {"GPL-3.0"}), 4: (prose + gpl + "\n" + prose, {"GPL-3.0"}), 5: (bsd, {"BSD-2-Clause", "BSD-3-Clause"}),
+        6: (mpl, {"MPL-2.0"}), 7: (apache, {"Apache-2.0"}), 8: (prose + apache + prose + mpl, {"Apache-2.0", "MPL-2.0"}),
+        9: ("// SPDX-License-Identifier: MIT", {"MIT"}), 10: ("x\n/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR BSD-3-Clause */\ny", {"GPL-2.0", "BSD-3-Clause"}),
+        11: ("SPDX-License-Identifier: Foo-1.0 MIT", set()), 12: (prose, set()),
+        13: (prose + "Licensed under the Apache License, Version 1.1. " + prose, set()),
+    }
+    rows = [(i, text) for i, (text, _) in expected.items()]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for i, (_, names) in expected.items():
+        assert {r.license for r in found if r.doc_id == i} == names, i
+    assert all(r.dice >= 0.8 for r in found) and [r.n_passages for r in found if r.doc_id == 1] == [1]
+
+
 def test_word_encoder():
     own = WordEncoder(PATH)
     for text, ids in zip(odd_texts(), own.encode(odd_texts()), strict=True):
