@@ -152,19 +152,33 @@ def host_verdicts(judged: DataFrame, most_rate: float = MOST_HOST_RATE) -> DataF
     )
 
 
-def judge(docs: DataFrame, most_rate: float = MOST_HOST_RATE) -> DataFrame:
-    """Statistics of each document, `base_failed` and `kept`."""
+def _judged(docs: DataFrame, most_rate: float) -> DataFrame:
+    """`statistics` with the rules' failures and the verdict on the host, a row per row of `docs`."""
     judged = stage(statistics(docs).withColumns(_failures()), "judged")
     verdicts = stage(host_verdicts(judged, most_rate), "verdicts").select(F.col("host").alias("of"), "host_rejected")
     joined = judged.join(verdicts, F.col("host").eqNullSafe(F.col("of")), "inner")
     failed = F.col("few_words") | F.col("repeated")
-    return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), (~failed & ~F.col("host_rejected")).alias("kept"),
-    )
+    return joined.withColumns({"base_failed": failed, "kept": ~failed & ~F.col("host_rejected")})
+
+
+def judge(docs: DataFrame, most_rate: float = MOST_HOST_RATE) -> DataFrame:
+    """Statistics of each document, `base_failed` and `kept`."""
+    return _judged(docs, most_rate).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
 
 
 def kept_documents(docs: DataFrame, most_rate: float = MOST_HOST_RATE) -> DataFrame:
-    """The rows of `docs` that are kept; rows that repeat an id go if one of them is rejected."""
-    rejected = judge(docs, most_rate).filter(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["gone"]), "left_anti")
+    """The rows of `docs` that are kept; rows of one id are judged each by its own text and host."""
+    digest = F.coalesce(F.sha2("text", 256), F.lit(""))
+    # The digest goes through the statistics as a part of the id.
+    named = docs.withColumn("doc_id", F.struct(F.col("doc_id").alias("id"), digest.alias("digest")))
+    rejected = _judged(named, most_rate).filter(~F.col("kept"))
+    rejected = rejected.select(F.col("doc_id.id").alias("gone"), F.col("doc_id.digest").alias("gone_text"), F.col("host").alias("gone_host"))
+    rejected = rejected.distinct()
+    same = (
+        docs["doc_id"].eqNullSafe(rejected["gone"])
+        & (digest == rejected["gone_text"])
+        & docs["source"].cast("string").eqNullSafe(rejected["gone_host"])
+    )
+    return docs.join(rejected, same, "left_anti")

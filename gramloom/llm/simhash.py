@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gramloom.llm import repeats
 from gramloom.llm.common import Forest, run_starts, shuffle_partitions, stage, unsigned, whole_runs
 from gramloom.llm.components import components
 
@@ -165,10 +166,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component.
+    """One row of `docs` of each component: that of the smallest id, a null id only if all are null.
 
-    Rows that repeat an id are one document, which stays or goes whole.
+    Of rows that share this id the one of the smallest digest of its text stays, of
+    rows that share the text too the one of the smallest hash.
     """
-    found = near_duplicates(docs).select(F.col("doc_id").alias("id"), "component_id")
-    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id").distinct()
-    return docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["id"]), "left_semi")
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    keyed = repeats.keyed(docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), whole))
+    found = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("of"), "component_id").distinct()
+    ids = keyed.select("key", F.col("doc_id").isNull().alias("no_id")).distinct()
+    first = ids.join(found, ids["key"] == found["of"]).groupBy("component_id").agg(F.min(F.struct("no_id", "key")).alias("first"))
+    kept = keyed.join(first.select(F.col("first.key").alias("kept")), F.col("key") == F.col("kept"), "left_semi")
+    if keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return kept.select("row.*")
+    return kept.groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")

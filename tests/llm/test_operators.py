@@ -120,6 +120,21 @@ def test_host_verdicts(spark):
     assert found[1].kept and found[2000].kept and found[3000].kept
 
 
+def test_rows_that_share_an_id(spark):
+    rng = random.Random(3)
+    good = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(5)]
+    rows = [(None, good[0], "a"), (None, good[1], "a"), (None, "few", "a"), (4, good[2], "a"), (4, "few", "a"), (5, good[3], "b"),
+            (6, good[4], "a"), (6, good[4], "a"), (7, good[4], "b"), (None, good[4], "b"), (None, good[0], "b")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = quality.kept_documents(frame)
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in frame.collect() if r.text != "few")
+    once = simhash.deduplicated(kept)
+    assert once.dtypes == frame.dtypes
+    assert Counter((r.doc_id, r.text) for r in once.collect()) == Counter(
+        [(None, good[0]), (None, good[1]), (4, good[2]), (5, good[3]), (6, good[4])]
+    )
+
+
 def test_shards(docs, empty, spark):
     rows = docs.collect()
     found = shards.assign(docs).collect()
