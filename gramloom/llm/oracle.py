@@ -83,3 +83,77 @@ texts AS (
 )"""
 
 QUALITY = f"WITH {QUALITY_ROWS} SELECT * FROM quality"
+
+
+def _either_case(words: str) -> str:
+    """A pattern with each letter in either case, ASCII letters only."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+_GIVEN = r"""["\x27]?\x20*[:=]\x20*["\x27]?"""
+_ASSIGN = f"({_either_case('password|passwd|secret|token|api_?key')}){_GIVEN}([A-Za-z0-9+/_.=-]+)"
+_IDENTIFIER = (
+    f"({_either_case('account|access_?key|app|application|client|key|login|tenant|user')})_?({_either_case('id|name')})?"
+    f"{_GIVEN}[A-Za-z0-9_.@+-]{{4,}}"
+)
+_ENDPOINT = (
+    f"({_either_case('amqp|ftp|https?|mongodb|mysql|postgres|postgresql|redis|s3')})://[A-Za-z0-9_.:@/?&=%+~#-]{{4,}}"
+    f"|({_either_case('database|endpoint|host|hostname|server')}){_GIVEN}[A-Za-z0-9_.:/-]{{4,}}"
+)
+_KEY = "[A-Za-z0-9+/]{40,}"
+
+# Name, pattern and what a match must satisfy, in the order in which spans of one start stand.
+_SPAN_KINDS = (
+    ("assign", _ASSIGN, f"length(regexp_extract(value, '{_ASSIGN}', 2)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(value) >= 20"),
+    ("hex", "[0-9a-f]+", "length(value) >= 24"),
+    ("identifier", _IDENTIFIER, "true"),
+    ("key", _KEY, "length(value) = 40 AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')"),
+    ("endpoint", _ENDPOINT, "true"),
+    ("scope", "\\n[\\x20\\t\\r]*\\n", "true"),
+)
+
+
+def _spans(number: int, pattern: str, holds: str) -> str:
+    return f"""
+  SELECT id, {number} AS kind, value, "end" - length(value) AS start, "end" FROM (
+    SELECT id, value, (sum(length(piece) + length(value)) OVER (PARTITION BY id ORDER BY i))::BIGINT AS "end" FROM (
+      SELECT id, unnest(pieces[:len(hits)]) AS piece, unnest(hits) AS value, unnest(range(len(hits))) AS i FROM (
+        SELECT id, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS hits FROM texts)))
+  WHERE {holds}"""
+
+
+_ALL_SPANS = "\n  UNION ALL".join(_spans(i, pattern, holds) for i, (_, pattern, holds) in enumerate(_SPAN_KINDS))
+_KIND_NAMES = ", ".join(f"'{name}'" for name, _, _ in _SPAN_KINDS)
+
+CREDENTIALS = f"""WITH texts AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents
+), matched AS ({_ALL_SPANS}
+), placed AS (
+  SELECT m.*, [1, 0, 1, 0, 1, 2][kind + 1] AS role,
+    (SELECT count(*) FROM matched s WHERE s.kind = 6 AND s.id = m.id AND s.start < m.start) AS scope
+  FROM matched m WHERE kind < 6
+), parts AS (
+  SELECT * FROM placed p WHERE kind < 3 OR NOT EXISTS (
+    SELECT 1 FROM placed s WHERE s.kind < 3 AND s.id = p.id AND s.start < p."end" AND s."end" > p.start)
+), ends AS (
+  SELECT id, scope, role, unnest([start, "end"]) AS at FROM parts WHERE role < 2
+), linked AS (
+  SELECT id, kind, start, "end" FROM (
+    SELECT w.id, w.kind, w.start, w."end", w.role, count(DISTINCT e.role) AS roles
+    FROM parts w JOIN ends e ON e.id = w.id AND e.scope = w.scope AND e.role <> w.role
+      AND e.at BETWEEN w.start - 400 AND w."end" + 400
+    WHERE w.kind >= 3 GROUP BY ALL)
+  WHERE role < 2 OR roles = 2
+), spans AS (
+  SELECT id, kind, start, [{_KIND_NAMES}][kind + 1] || ':' || start || ':' || "end" AS span
+  FROM (SELECT id, kind, start, "end" FROM parts WHERE kind < 3 UNION ALL SELECT * FROM linked)
+), per_text AS (
+  SELECT id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+    count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+    string_agg(span, ',' ORDER BY start, kind) AS spans
+  FROM spans GROUP BY id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN per_text USING (id)"""

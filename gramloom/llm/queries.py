@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramloom.llm import embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile
+from gramloom.llm import credentials, embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile
 from gramloom.llm.common import documents
-from gramloom.llm.oracle import MIX, QUALITY
+from gramloom.llm.oracle import CREDENTIALS, MIX, QUALITY
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -57,6 +57,10 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(documents(spark, sf_dir))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(documents(spark, sf_dir)).drop("found")
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_documents": op2_shard_documents,
@@ -68,9 +72,11 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_repeated_strings": op10_repeated_strings,
+    "op12_secret_scan": op12_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
+    "op12_secret_scan": CREDENTIALS,
 }
