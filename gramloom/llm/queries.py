@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gramloom.llm import credentials, embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile
+from gramloom.llm import credentials, embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile, whitening
 from gramloom.llm.common import documents
 from gramloom.llm.oracle import CREDENTIALS, MIX, QUALITY
 
@@ -61,6 +61,10 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.scan(documents(spark, sf_dir)).drop("found")
 
 
+def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard_documents": op2_shard_documents,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_repeated_strings": op10_repeated_strings,
     "op12_secret_scan": op12_secret_scan,
+    "op13_whiten_embeddings": op13_whiten_embeddings,
 }
 
 ORACLE: dict[str, str] = {
