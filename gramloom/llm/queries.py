@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gramloom.llm import credentials, embeddings, licenses, lm, mix, pack, quality, repeats, shards, simhash, tokenfile, whitening
+from gramloom.llm import credentials, embeddings, licenses, lm, mix, negatives, pack, quality, repeats, shards, simhash, tokenfile, whitening
 from gramloom.llm.common import documents
-from gramloom.llm.oracle import CREDENTIALS, MIX, QUALITY
+from gramloom.llm.oracle import CREDENTIALS, MIX, NEGATIVES, QUALITY
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -57,6 +58,12 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_report(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", noisy), anchors=F.col("vec_id") % 100 == 0)
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.scan(documents(spark, sf_dir)).drop("found")
 
@@ -76,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_repeated_strings": op10_repeated_strings,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_secret_scan": op12_secret_scan,
     "op13_whiten_embeddings": op13_whiten_embeddings,
 }
@@ -83,5 +91,6 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op9_quality_rules": QUALITY,
+    "op11_hard_negatives": NEGATIVES,
     "op12_secret_scan": CREDENTIALS,
 }
