@@ -39,6 +39,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "20g")
         .config("spark.sql.shuffle.partitions", str(2 * int(cpus)) if cpus.isdigit() else "16")
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "128MB")
+        # The tables are small and the work on them is bound by CPU: partitions of 64 KB still keep all cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -7,9 +7,6 @@ instead of segments, so agreement is evidence.
 
 from __future__ import annotations
 
-from gramloom.functions import lexer
-from gramloom.sources.tables import FILE_SNAPSHOTS, JAVA_METHODS, REPOSITORIES
-
 # Fixed values, stated apart from the engine's so that a slip in either shows.
 BOILERPLATE_PATTERNS = (
     r"\bset[A-Z][a-zA-Z0-9_]*\([^\n]*\)\s*\{",
@@ -20,17 +17,99 @@ BOILERPLATE_PATTERNS = (
     r"\bclone\(\)\s*\{",
     r"^\s*@Override\s*\n",
 )
-CONTROL_WORDS = tuple(
-    "if for while switch catch synchronized try return new throw assert do else super this case instanceof yield".split()
-)
-NOT_A_TYPE = tuple("new return throw else do case assert instanceof record public private protected".split())
-PUNCTUATION = tuple("{ } ( ) [ ] ; , . : = + - * / % & | ^ ! ~ < > ? @".split())
-OPERATORS = tuple("~ ^ * ! % & [ ] < > | + = / ? -".split())
+CONTROL_WORDS = (
+    "assert", "case", "catch", "do", "else", "for", "if", "instanceof", "new", "return", "super", "switch",
+    "synchronized", "this", "throw", "try", "while", "yield",
+)
+NOT_A_TYPE = (
+    "assert", "case", "do", "else", "instanceof", "new", "private", "protected", "public", "record", "return", "throw",
+)
+PUNCTUATION = (
+    "!", "%", "&", "(", ")", "*", "+", ",", "-", ".", "/", ":", ";", "<", "=", ">", "?", "@", "[", "]", "^",
+    "{", "|", "}", "~",
+)
+OPERATORS = ("!", "%", "&", "*", "+", "-", "/", "<", "=", ">", "?", "[", "]", "^", "|", "~")
+
+# The fixtures, stated apart from the engine's.
+JAVA_METHODS = """
+SELECT p_partkey AS method_id, CASE
+ WHEN p_partkey % 10 = 0 THEN concat('public int get', p_brand_id, '() { return this.f', p_brand_id, '; }')
+ WHEN p_partkey % 10 = 1 THEN concat('@Override', chr(10), 'public void run', p_size, '(int a) {', chr(10), '  go(a); }')
+ WHEN p_partkey % 10 = 2 THEN concat('// only a comment ', p_name)
+ WHEN p_partkey % 10 = 3 THEN concat('int sum', p_size % 5, '(int[] xs) { /* ', p_name, ' */', chr(10), '  int t = 0;', chr(10), '  for (int i=0;i<xs.length;i++) { t+=xs[i]; }  // add', chr(10), '  return t; }')
+ WHEN p_partkey % 10 = 4 THEN concat('String s', p_size, '() { return "', p_type, ' // x"; }')
+ WHEN p_partkey % 10 = 5 THEN concat('String s() { return "', chr(233), p_name, '"; }')
+ WHEN p_partkey % 10 = 6 THEN concat('boolean ok(T o) { if (o.getName().equals("', p_type, '")) { return true; } return false; }')
+ WHEN p_partkey % 10 = 7 THEN concat('void w', p_size, '() {', repeat(concat(chr(10), '  call', p_size, '(a, b);'), p_size), ' }')
+ WHEN p_partkey % 10 = 8 THEN concat('int max(int a, int b) { return a >= b ? a : b; }')
+ ELSE concat('long h', p_size, '(long x) { x ^= (x << ', p_size, '); return x & 0xFFL; }') END AS code
+FROM (SELECT *, replace(p_brand, 'Brand#', 'B') AS p_brand_id FROM part) q
+"""
+
+REPOSITORIES = """
+SELECT concat('org', s_suppkey % 7, '/repo', s_suppkey) AS name,
+ CASE WHEN s_suppkey % 3 = 0 THEN 'main' ELSE 'master' END AS defaultBranch,
+ CASE WHEN s_suppkey % 10 = 4 THEN 'Python' ELSE 'Java' END AS mainLanguage
+FROM supplier
+"""
+
+# Eight consecutive methods make one class.
+FILE_SNAPSHOTS = """
+SELECT concat('org', g % 10 % 7, '/repo', g % 10) AS repo,
+ CASE WHEN g % 48 = 0 THEN 'dev' WHEN g % 10 % 3 = 0 THEN 'main' ELSE 'master' END AS branch,
+ md5(concat('commit', g)) AS commit_hash,
+ g AS commit_seq,
+ concat('F', g, CASE WHEN g % 40 = 8 THEN '.txt' ELSE '.java' END) AS file_name,
+ concat('package p', g % 5, ';', chr(10), 'import java.util.*;', chr(10),
+  '/** Holds { some } methods. */', chr(10), '@SuppressWarnings(', chr(34), 'all', chr(34), ')', chr(10),
+  'public class F', g, '<T> {', chr(10), '  private int x = 1;', chr(10),
+  '  public F', g, '(int a) { this.x = a; }', chr(10), '  F', g, '() { this(1); }', chr(10),
+  '  abstract int size(List<String> l);', chr(10),
+  body, chr(10),
+  '  @Deprecated', chr(10), '  static <A, B> Map<A, List<B>> make(A a, B[] b) throws E, G {', chr(10),
+  '    Runnable r = new Runnable() {', chr(10), '      @Override', chr(10),
+  '      public void run() { char c = ', chr(39), '{', chr(39), '; }', chr(10), '    };', chr(10),
+  '    if (a == null) { return null; } else if (b == null) { r.run(); }', chr(10), '    return null;', chr(10), '  }', chr(10),
+  '  <Q extends Comparable<Q>> F', g, '(Q q) { this.x = 2; }', chr(10),
+  '  int sizes(int a)[] [ ] { return null; }', chr(10),
+  '  Runnable task = () -> { call(new Object() { public String show() { return x; } }); int lost(int a) { return a; } };', chr(10),
+  '  enum Kind { ONE(1) { int of() { return 1; } }, TWO { int of() { return 2; } }; Kind() { } Kind(int i) { } }', chr(10),
+  '  record Pair<L, R>(L left, R right) implements Q<L> { Map<L, Q<R>>[] both() { return null; } }', chr(10),
+  '  void outer() { int inner(int b) { return b; } class Own { void mine() { } } }', chr(10),
+  CASE WHEN g % 56 = 16 THEN ' ' ELSE '}' END, chr(10)) AS source_code
+FROM (SELECT g, {body} AS body
+      FROM (SELECT method_id, code, method_id - method_id % 8 AS g FROM ({methods}) m) n GROUP BY g) f
+"""
+
 
 K = 0.01
 LAMBDA = 0.4
 
 
+# The lexemes.  RE2 never recurses and has no possessive quantifiers.
+_JAVA_SPACE = r"\t-\r\x1C-\x20\x85\p{Z}"
+_JAVA_BREAKS = r"\n-\r\x1C-\x1E\x85\x{2028}\x{2029}"
+_JAVA_WORD = r"[\p{L}\p{Nl}\p{No}_$][\p{L}\p{N}_$]*"
+_JAVA_LEXEMES = (
+    _JAVA_WORD,
+    r"//[^\n]*",
+    r"/\*[\s\S]*?\*/",
+    r'"""\n(?:[^"\\]|\\[\s\S]|""?[^"\\]|""?\\[\s\S])*(?:""")?',
+    r'"(?:[^"\\]|\\[\s\S])*"?',
+    r"'\\[\s\S]'|'[^\\]'|'\\u[0-9a-fA-F]{4}'",
+    r"@[\p{L}\p{Nl}\p{No}_][\p{L}\p{N}_.]*",
+    r"(?:[0-9][0-9_]*\.(?:[0-9][0-9_]*)?|\.[0-9][0-9_]*)(?:[eE][+-]?[0-9][0-9_]*)?[fFdD]?",
+    r"[0-9][eE][+-]?[0-9][0-9_]*[fFdD]?",
+    r"[0-9][fFdD]",
+    r"0[xX][0-9a-fA-F][0-9a-fA-F_]*[lL]?",
+    r"0[bB][01][01_]*[lL]?",
+    r"0[0-7_]+[lL]?",
+    r"0|[1-9][0-9_]*[lL]?",
+    f"[^{_JAVA_SPACE}]",
+)
+_JAVA_STRING_PIECE = r'"""\n|"""|[^\\"]+|\\\\|\\"|\\|"'
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -39,10 +118,8 @@ def _texts(values: tuple[str, ...]) -> str:
     return ", ".join(_text(value) for value in values)
 
 
-# RE2 never recurses and has no possessive quantifiers.
-_STRING = lexer.STRING.replace("*+", "*")
-_LEXEME = _text(lexer.LEXEME.replace(lexer.STRING, _STRING))
-_LEXEME_OR_SPACE = _text(lexer.LEXEME_OR_SPACE.replace(lexer.STRING, _STRING))
+_LEXEME = _text("|".join(_JAVA_LEXEMES))
+_LEXEME_OR_SPACE = _text("|".join([f"[{_JAVA_SPACE}]+", *_JAVA_LEXEMES]))
 _UNIFIED = "replace(replace({code}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
 _INPUT = f"(trim({_UNIFIED}, chr(10)) || chr(10))"
 _IS_COMMENT = "(starts_with(x, '//') OR starts_with(x, '/*'))"
@@ -50,7 +127,7 @@ _IS_COMMENT = "(starts_with(x, '//') OR starts_with(x, '/*'))"
 
 def _tokens(code: str) -> str:
     found = f"regexp_extract_all({_INPUT.format(code=code)}, {_LEXEME})"
-    pieces = f"regexp_extract_all(x, {_text(lexer.STRING_PIECE)})"
+    pieces = f"regexp_extract_all(x, {_text(_JAVA_STRING_PIECE)})"
     return (
         f"flatten(list_transform(list_filter({found}, lambda x: NOT {_IS_COMMENT}), "
         f"lambda x: CASE WHEN starts_with(x, '\"') THEN {pieces} ELSE [x] END))"
@@ -66,9 +143,9 @@ def _stripped(code: str) -> str:
 
 def _normalised(code: str) -> str:
     """Line by line: split, trim, drop blank lines, collapse runs."""
-    lines = f"regexp_split_to_array({code}, {_text(f'[{lexer.LINE_BREAKS}]')})"
+    lines = f"regexp_split_to_array({code}, {_text(f'[{_JAVA_BREAKS}]')})"
     return f"""array_to_string(list_filter(list_transform({lines},
-      lambda x: trim(regexp_replace(x, {_text(f"[{lexer.WHITESPACE}]+")}, ' ', 'g'))), lambda x: x <> ''), chr(10))"""
+      lambda x: trim(regexp_replace(x, {_text(f"[{_JAVA_SPACE}]+")}, ' ', 'g'))), lambda x: x <> ''), chr(10))"""
 
 
 _DOCUMENTS = "SELECT doc_id AS method_id, text AS code FROM documents"
@@ -287,9 +364,18 @@ _JAVA_REPOS = f"SELECT * FROM ({REPOSITORIES}) r WHERE mainLanguage = 'Java'"
 _REPO_FILES = f"""SELECT s.* FROM ({_SNAPSHOTS}) s JOIN ({_JAVA_REPOS}) r
   ON s.repo = r.name AND s.branch = r.defaultBranch"""
 _JAVA_FILES = f"SELECT * FROM ({_REPO_FILES}) f WHERE file_name LIKE '%.java' AND length(source_code) > 0"
-_IDENTIFIER = _text(f"^(?:{lexer.IDENTIFIER})$")
-
 # Snapshots of the fixture have distinct commits, so commit_seq names the file.
+_WORD = f"(?:{_JAVA_WORD})"
+_PEELED = "said"
+for _ in range(6):  # type arguments of the fixture nest less deeply
+    _PEELED = f"regexp_replace({_PEELED}, '< [^<>]*>', '', 'g')"
+_PEELED = f"trim(regexp_replace({_PEELED}, ' +', ' ', 'g'))"
+_HEADER = _text(f"(?:^| )({_WORD}|\\]) ({_WORD})$")
+_TYPE = _text(f"(?:^| )(class|@?interface|enum|record) {_WORD}")
+_NEW = _text(f"(?:^| )(new|record) {_WORD}( [.] {_WORD})*$")
+_CALLED = _text(f"^(, )?(@[^ ]+ )*{_WORD}$")
+_CODE = _text(r"(^|[\]=,:]|(^| )(static|else|try|do|finally))$")
+_BODY = _text(r"^(\[ \] ?)*(throws .*)?$")
 _EXTRACTED = f"""
 WITH files AS MATERIALIZED (
   SELECT * REPLACE ({_UNIFIED.format(code='source_code')} AS source_code) FROM ({_JAVA_FILES}) j),
@@ -297,31 +383,48 @@ cut AS (SELECT commit_seq AS f, unnest(found) AS x, generate_subscripts(found, 1
   FROM (SELECT commit_seq, regexp_extract_all(source_code, {_LEXEME_OR_SPACE}) AS found FROM files) r),
 lined AS (SELECT f, x, raw_pos, coalesce(sum(len(x) - len(replace(x, chr(10), ''))) OVER (
     PARTITION BY f ORDER BY raw_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line FROM cut),
-lexemes AS MATERIALIZED (SELECT f, x, line, row_number() OVER (PARTITION BY f ORDER BY raw_pos) AS pos
-  FROM lined WHERE NOT {_IS_COMMENT} AND trim(regexp_replace(x, {_text(f"[{lexer.WHITESPACE}]+")}, '', 'g')) <> ''),
-depths AS (SELECT *, lag(x) OVER w AS before_1, lag(x, 2) OVER w AS before_2, lead(x) OVER w AS after_1,
+lexemes AS MATERIALIZED (SELECT f, x, line, row_number() OVER (PARTITION BY f ORDER BY raw_pos) AS pos,
+    x IN ('(', ')', '{{', '}}', ';') AS stops
+  FROM lined WHERE NOT {_IS_COMMENT} AND trim(regexp_replace(x, {_text(f"[{_JAVA_SPACE}]+")}, '', 'g')) <> ''),
+depths AS (SELECT *, lag(x) OVER w AS before_1,
     sum(CASE x WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) OVER w AS braces,
     sum(CASE x WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER w AS parens,
-    min(CASE WHEN x IN ('{{', ';') THEN pos END) OVER (
-      PARTITION BY f ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_stop
+    count(*) FILTER (WHERE stops) OVER (PARTITION BY f ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seg
   FROM lexemes WINDOW w AS (PARTITION BY f ORDER BY pos)),
 started AS (SELECT *, last_value(CASE WHEN before_1 IS NULL OR before_1 IN ('{{', '}}', ';') THEN line END IGNORE NULLS)
-    OVER (PARTITION BY f ORDER BY pos) AS statement_line,
+    OVER (PARTITION BY f ORDER BY pos) AS statement_line FROM depths),
+said AS (SELECT f, seg, coalesce(string_agg(CASE WHEN starts_with(x, '"') OR starts_with(x, chr(39)) THEN '""' ELSE x END, ' '
+    ORDER BY pos) FILTER (WHERE NOT stops), '') AS said FROM started GROUP BY f, seg),
+stops AS (SELECT s.*, t.said, {_PEELED} AS peeled,
     CASE WHEN x IN ('{{', '}}') THEN 'b' WHEN x IN ('(', ')') THEN 'p' END AS family,
     CASE x WHEN '{{' THEN braces WHEN '}}' THEN braces + 1 WHEN '(' THEN parens WHEN ')' THEN parens + 1 END AS level
-  FROM depths),
-matched AS MATERIALIZED (SELECT *, lead(pos) OVER (PARTITION BY f, family, level ORDER BY pos) AS partner FROM started),
+  FROM started s JOIN said t USING (f, seg) WHERE stops),
+matched AS MATERIALIZED (SELECT *, lead(pos) OVER p AS partner, lag(pos) OVER p AS opener, lead(pos) OVER s AS next_pos,
+    lag(pos) OVER s AS pos_before, lag(x) OVER s AS stop_before
+  FROM stops WINDOW p AS (PARTITION BY f, family, level ORDER BY pos), s AS (PARTITION BY f ORDER BY pos)),
 balanced AS (SELECT f FROM matched GROUP BY f
   HAVING sum(CASE x WHEN '{{' THEN 1 WHEN '}}' THEN -1 ELSE 0 END) = 0 AND min(braces) >= 0
     AND sum(CASE x WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) = 0 AND min(parens) >= 0),
-found AS (SELECT h.f, h.pos, h.before_1 AS method_name, h.statement_line AS first_line, e.line AS last_line
+braces AS (SELECT e.f, e.pos, e.level, CASE
+    WHEN e.said LIKE '%- >' THEN false
+    WHEN regexp_matches(e.said, {_TYPE}) THEN true
+    WHEN e.stop_before = ')' THEN e.said LIKE 'implements %' OR coalesce(regexp_matches(o.peeled, {_NEW})
+      OR (regexp_matches(o.peeled, {_CALLED}) AND regexp_extract(o.peeled, '[^ ]+$') NOT IN ({_texts(CONTROL_WORDS)})), false)
+    ELSE NOT regexp_matches(e.said, {_CODE}) END AS holds_members
+  FROM matched e LEFT JOIN matched c ON c.f = e.f AND c.pos = e.pos_before AND c.x = ')'
+    LEFT JOIN matched o ON o.f = c.f AND o.pos = c.opener AND o.x = '(' WHERE e.x = '{{'),
+headers AS (SELECT h.f, h.pos, h.braces, regexp_extract(h.peeled, {_HEADER}, 2) AS method_name,
+    h.statement_line AS first_line, e.line AS last_line
   FROM matched h JOIN balanced USING (f)
     JOIN matched c ON c.f = h.f AND c.pos = h.partner
-    JOIN matched b ON b.f = h.f AND b.pos = c.next_stop AND b.x = '{{'
+    JOIN matched b ON b.f = h.f AND b.pos = c.next_pos AND b.x = '{{'
     JOIN matched e ON e.f = h.f AND e.pos = b.partner
-  WHERE h.x = '(' AND c.after_1 IN ('{{', 'throws')
-    AND regexp_matches(h.before_1, {_IDENTIFIER}) AND h.before_1 NOT IN ({_texts(CONTROL_WORDS)})
-    AND (regexp_matches(h.before_2, {_IDENTIFIER}) OR h.before_2 IN ('>', ']')) AND h.before_2 NOT IN ({_texts(NOT_A_TYPE)}))
+  WHERE h.x = '(' AND regexp_matches(b.said, {_BODY}) AND regexp_matches(h.peeled, {_HEADER})
+    AND regexp_extract(h.peeled, {_HEADER}, 1) NOT IN ({_texts(NOT_A_TYPE)})
+    AND regexp_extract(h.peeled, {_HEADER}, 2) NOT IN ({_texts(CONTROL_WORDS)})),
+enclosed AS (SELECT h.f, h.pos, arg_max(e.holds_members, e.pos) AS in_type FROM headers h JOIN braces e
+    ON e.f = h.f AND e.level = h.braces AND e.pos < h.pos GROUP BY h.f, h.pos),
+found AS (SELECT h.* FROM headers h LEFT JOIN enclosed USING (f, pos) WHERE h.braces = 0 OR in_type)
 SELECT repo, branch, commit_hash, commit_seq, file_name,
   (row_number() OVER (PARTITION BY f ORDER BY pos) - 1)::INTEGER AS ordinal, method_name,
   array_to_string(string_split(source_code, chr(10))[first_line + 1:last_line + 1], chr(10)) AS method_code

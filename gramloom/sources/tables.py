@@ -48,6 +48,12 @@ SELECT concat('org', g % 10 % 7, '/repo', g % 10) AS repo,
   '    Runnable r = new Runnable() {', chr(10), '      @Override', chr(10),
   '      public void run() { char c = ', chr(39), '{', chr(39), '; }', chr(10), '    };', chr(10),
   '    if (a == null) { return null; } else if (b == null) { r.run(); }', chr(10), '    return null;', chr(10), '  }', chr(10),
+  '  <Q extends Comparable<Q>> F', g, '(Q q) { this.x = 2; }', chr(10),
+  '  int sizes(int a)[] [ ] { return null; }', chr(10),
+  '  Runnable task = () -> { call(new Object() { public String show() { return x; } }); int lost(int a) { return a; } };', chr(10),
+  '  enum Kind { ONE(1) { int of() { return 1; } }, TWO { int of() { return 2; } }; Kind() { } Kind(int i) { } }', chr(10),
+  '  record Pair<L, R>(L left, R right) implements Q<L> { Map<L, Q<R>>[] both() { return null; } }', chr(10),
+  '  void outer() { int inner(int b) { return b; } class Own { void mine() { } } }', chr(10),
   CASE WHEN g % 56 = 16 THEN ' ' ELSE '}' END, chr(10)) AS source_code
 FROM (SELECT g, {body} AS body
       FROM (SELECT method_id, code, method_id - method_id % 8 AS g FROM ({methods}) m) n GROUP BY g) f

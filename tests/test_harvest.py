@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gramloom.operators import harvest
 
@@ -87,13 +88,94 @@ def test_equal_snapshots_each_count(frame):
     assert [r.method_name for r in extract(frame, row, row, row)] == ["f"] * 3 + ["g"] * 3
 
 
-def test_one_shuffle(spark, frame):
+SCOPES = """class A<K> {
+    <T extends List<List<T>>> A(T t) { }
+    public <T> A(Map<T, K> t) { }
+    @Inject <T> A(T t, int b) { }
+    int f()[] { return null; }
+    Map<K, List<K>>[] g(int a)[ ] [] throws E { return null; }
+    static <T> T h() { Runnable r = () -> { int no(int a) { } }; if (a < b) { int never() { } } return null; }
+    Outer<K>.Inner i() { return new Outer<K>.Inner() { List<K>j() { return null; } }; }
+    enum E { ONE(1) { int k() { } }, @Old TWO { int l() { } }; E() { } }
+    record R<X>(X x) implements Q<X> { X m() { return x; } R { f(); } }
+    @interface N { String value() default "x"; }
+    int[] xs = { 1, 2 }; static { int no() { } } { int no() { } }
+    void n() { switch (a) { case 1: { int no() { } } default -> { int no() { } } } class L { void o() { } } }
+}
+void top() { }"""
+
+
+@pytest.mark.parametrize("block", [harvest.BLOCK, 7, 1])
+def test_methods_stand_among_members_of_types(frame, block):
+    rows = harvest.extract_methods(frame([snapshot(SCOPES)], SCHEMA), block).orderBy("ordinal").collect()
+    assert [r.method_name for r in rows] == ["f", "g", "h", "i", "j", "k", "l", "m", "n", "o", "top"]
+    lines = SCOPES.split("\n")
+    assert all(r.method_code == next(x for x in lines if f" {r.method_name}(" in x or f">{r.method_name}(" in x) for r in rows)
+
+
+def generated(rng, size):
+    """A class with methods in nested classes, over lines of any length and stretches without a structural character."""
+    parts, open_types, open_method = ["class C", "{"], 1, False
+    for _ in range(size):
+        turn = rng.random()
+        if open_method:
+            parts += ["}"] if turn < 0.4 else [f"x = f ( {rng.randint(0, 9)} ) ;"]
+            open_method = turn >= 0.4
+        elif turn < 0.5:
+            parts += ["int", f"m{rng.randint(0, 99)}()", "{"]
+            open_method = True
+        elif turn < 0.7:
+            parts += [f"class T{rng.randint(0, 9)}", "{"]
+            open_types += 1
+        elif turn < 0.85 and open_types > 1:
+            parts.append("}")
+            open_types -= 1
+        else:
+            parts.append("int a = 1 ;")
+        parts.append(rng.choice(["\n", "\n", " ", "\n\n", "/* } */", "// {\n"]))
+    return " ".join(parts + ["}"] * (open_types + open_method))
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 64])
+def test_any_size_of_blocks_gives_the_same_methods(frame, block):
+    rng = random.Random(block)
+    sources = [generated(rng, rng.choice([3, 40, 300])) for _ in range(12)] + ["class A { int m1() {", "x"]
+    rows = frame([snapshot(s, i) for i, s in enumerate(sources)], SCHEMA)
+    found = harvest.extract_methods(rows, block).orderBy("commit_seq", "ordinal").collect()
+    whole = harvest.extract_methods(rows, 10_000).orderBy("commit_seq", "ordinal").collect()
+    assert found == whole and len(found) > 100
+    assert {r.commit_seq for r in found} <= set(range(12))
+
+
+def test_a_large_file_is_the_work_of_many_tasks(spark, frame):
+    method = "  int m%d(int a) throws E {\n    if (a > 0) { return f(a); }\n    return 0; /* } */\n  }\n"
+    source = "class A {\n" + "".join(method % i for i in range(60_000)) + "}\n"
+    assert len(source) > 5_000_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = frame([snapshot(source)], SCHEMA)
+        rows = harvest.extract_methods(files).select("ordinal", "method_name", F.hash("method_code").alias("h")).collect()
+        blocks = harvest.cut_files(files)
+        dealt = harvest._segments(blocks).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.ordinal, r.method_name) for r in rows) == [(i, f"m{i}") for i in range(60_000)]
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 0.5 * sum(r["count"] for r in dealt)
+    assert blocks.count() > 500
+
+
+def test_no_text_is_sorted_or_gathered_per_file(spark, frame):
+    blocks = harvest.cut_files(frame([snapshot(SOURCE)], SCHEMA))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
+        segments = harvest._measured(harvest._segments(blocks))
+        cut = segments._jdf.queryExecution().executedPlan().toString()
         plan = harvest.extract_methods(frame([snapshot(SOURCE)], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert plan.count("Exchange") == 1 and "Python" not in plan
+    assert cut.count("Exchange") == 1 and "Aggregate" not in cut and "Python" not in cut + plan
+    # A method's text is gathered from its blocks; files and blocks are joined without a sort.
+    assert plan.count("ObjectHashAggregate") == 2 and "SortMergeJoin" not in plan and "ShuffledHashJoin" in plan
 
 
 def test_repository_join_and_file_filter(frame):
