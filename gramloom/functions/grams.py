@@ -15,10 +15,6 @@ END = "<END>"
 SEPARATOR = "\x1f"
 ESCAPE = "\x1e"
 
-# A position within a method takes the low 31 bits of a first-seen key.
-POSITION_RANGE = 2**31
-FIRST_SEEN_TYPE = "decimal(31,0)"
-
 
 def pad_tokens(tokens: Column, n: int) -> Column:
     """n-1 start markers, the tokens, one end marker."""
@@ -60,24 +56,3 @@ def key_suffix(key: Column, length: Column) -> Column:
     """Key of the last `length` tokens."""
     return _substring_index(key, -length)
 
-
-def first_seen_base(method_id: Column) -> Column:
-    """The first-seen key of a method's first position."""
-    return (method_id.cast("decimal(20,0)") * F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast(FIRST_SEEN_TYPE)
-
-
-def first_seen_key(base: Column, pos: Column) -> Column:
-    """(method_id, pos) as one ordered number.
-
-    A decimal keeps `min` inside hash aggregation, where a struct would force
-    a sort of every exploded n-gram, and holds any bigint id.
-    """
-    return (base + pos.cast("decimal(10,0)")).cast(FIRST_SEEN_TYPE)
-
-
-def first_seen_method(first_seen: Column) -> Column:
-    return F.floor(first_seen / F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast("bigint")
-
-
-def first_seen_position(first_seen: Column) -> Column:
-    return F.pmod(first_seen, F.lit(POSITION_RANGE).cast("decimal(10,0)")).cast("int")

@@ -15,6 +15,7 @@ from gramloom.operators.corpus import (
     TRAIN,
     VALIDATION,
     exact_split_methods,
+    place_methods,
     quick_sample,
     split_methods,
     training_and_validation,
@@ -97,11 +98,11 @@ def train_and_test(
     all of them.  `exact` splits to exact sizes.  Only the chosen n passes through the driver.
     """
     orders(min_n, max_n)
+    placed = tokenised if "place" in tokenised.columns else place_methods(write_table(tokenised, "tokenised"))
     if exact:
-        split = exact_split_methods(write_table(tokenised, "tokenised"), test_size, seed)
+        methods = write_table(exact_split_methods(placed, test_size, seed), "methods")
     else:
-        split = split_methods(tokenised, seed, test_size)
-    methods = write_table(split, "methods")
+        methods = split_methods(placed, seed, test_size)
     pool = methods
     if quick:
         pool = write_table(quick_sample(methods, seed=seed, include_test=include_test), "quick-sample")

@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from gramloom.functions.grams import (
     SEPARATOR,
     START,
-    first_seen_base,
-    first_seen_key,
     gram_key,
     joinable,
     key_prefix,
     key_suffix,
     pad_tokens,
 )
+from gramloom.operators.corpus import place_methods
 from gramloom.operators.fit import DEFAULT_LAMBDA, DEFAULT_SMOOTHING, best_first_seen, check_parameters, windows
 from gramloom.operators.score import counts_per_suffix, interpolate, is_punctuation, metrics_per_order
 from gramloom.plans.lookup import lookup_join
@@ -66,16 +65,16 @@ def _placed_windows(methods: DataFrame, longest: int) -> DataFrame:
     Distances of `longest - 1` and more are all the same.
     """
     padded = methods.select(
-        first_seen_base(F.col("method_id")).alias("base"),
+        "place",
         pad_tokens(joinable(F.col("tokens")), longest).alias("padded"),
-    ).select("base", "padded", (F.size("padded") - longest).alias("last"))
+    ).select("place", "padded", (F.size("padded") - longest).alias("last"))
     placed = padded.select(
-        "base", "padded", "last", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("pos")
+        "place", "padded", "last", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("pos")
     ).select(
         gram_key(F.slice("padded", F.col("pos") + 1, longest)).alias("gram"),
         F.least(F.col("pos"), F.lit(longest - 1)).alias("head"),
         F.least(F.col("last") - F.col("pos"), F.lit(longest - 1)).alias("tail"),
-        first_seen_key(F.col("base"), F.col("pos")).alias("first_seen"),
+        (F.col("place") + F.col("pos")).alias("first_seen"),
     )
     return placed.groupBy("gram", "head", "tail").agg(
         F.count(F.lit(1)).alias("c"), F.min("first_seen").alias("first_seen")
@@ -92,7 +91,7 @@ def order_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
     ]
     k, is_marker = F.col("part.k"), F.col("part.markers").isNotNull()
     rows = (
-        _placed_windows(methods, longest)
+        _placed_windows(place_methods(methods), longest)
         .select("*", F.explode(F.array(*grams, *markers)).alias("part"))
         .filter(~is_marker | (F.col("head") + k < longest))
     )
@@ -118,8 +117,7 @@ def order_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
 
 def _order_contexts(ngrams: DataFrame, n_values: Sequence[int]) -> DataFrame:
     own = F.coalesce(*[F.when(F.col("m") == n - 1, F.col(f"c_{n}")) for n in n_values])
-    last, most = ngrams.agg(F.max("first_seen"), F.max(own)).head()
-    best = best_first_seen(own, F.col("first_seen"), int(last or 0), int(most or 0))
+    best = best_first_seen(own, F.col("first_seen"))
     return ngrams.groupBy("m", "ctx").agg(
         *[F.sum(f"c_{n}").alias(f"cc_{n}") for n in n_values], best.alias("best")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gramloom.functions.lexer import tokenize_code
 from gramloom.functions.sampling import sample_bucket, sample_key
+from gramloom.plans.numbers import numbered
 
 TRAIN = "train"
 VALIDATION = "val"
@@ -36,6 +37,43 @@ def tokenize_methods(methods: DataFrame, code: str = "code") -> DataFrame:
     return methods.select("method_id", tokens.alias("tokens")).filter(F.size("tokens") > 0)
 
 
+def tokenize_placed(texts: DataFrame, code: str = "code") -> DataFrame:
+    """Tokenised methods with their `place`, on shared storage; the texts are lexed once, where ranges of ids put them."""
+    return _placed(numbered(texts, ["method_id"], "place", lambda rows: tokenize_methods(rows, code)))
+
+
+def place_methods(methods: DataFrame) -> DataFrame:
+    """Add `place` to tokenised methods that lack it; `methods` should be a table, as it is read twice.
+
+    The place of a method is its number in the order of ids, times the positions of the longest method.  Place
+    plus position is one bigint, whatever the ids, that orders all positions by method and position.
+    """
+    if "place" in methods.columns:
+        return methods
+    return _placed(numbered(methods, ["method_id"], "place"))
+
+
+def _placed(methods: DataFrame) -> DataFrame:
+    count, room = methods.agg(F.max("place") + 1, _room()).head()
+    if (count or 0) * (room or 0) >= 2**63:
+        raise ValueError("methods times the longest method's positions exceed a bigint")
+    return methods.withColumn("place", F.col("place") * F.lit(room or 0).cast("bigint"))
+
+
+def _room() -> Column:
+    """Positions of the longest method: its tokens and the end marker."""
+    return (F.max(F.size("tokens")) + 1).cast("bigint")
+
+
+def first_positions(rows: DataFrame, first_seen: str, methods: DataFrame) -> DataFrame:
+    """Add `first_method, first_pos` for places and positions; `methods` are all that were placed together."""
+    room = methods.agg(_room()).head()[0] or 1
+    position = F.pmod(F.col(first_seen), F.lit(room))
+    ids = methods.select("place", F.col("method_id").alias("first_method"))
+    placed = rows.withColumns({"first_pos": position.cast("int"), "place": F.col(first_seen) - position})
+    return placed.join(ids, "place").drop("place")
+
+
 def split_methods(
     methods: DataFrame, seed: int = DEFAULT_SEED, test_size: float = DEFAULT_TEST_SIZE
 ) -> DataFrame:

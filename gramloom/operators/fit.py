@@ -20,22 +20,21 @@ from pyspark.sql import functions as F
 
 from gramloom.functions.grams import (
     END,
-    FIRST_SEEN_TYPE,
     START,
-    first_seen_base,
-    first_seen_key,
     gram_key,
     joinable,
     key_prefix,
     key_suffix,
     pad_tokens,
 )
+from gramloom.operators.corpus import place_methods
 from gramloom.plans.scratch import write_table
 
 DEFAULT_SMOOTHING = 0.01
 DEFAULT_LAMBDA = 0.4
 
-RANK_DIGITS = 38
+# First-seen keys are bigints; counts come first in a rank, above this range.
+_RANGE = 2**63
 
 
 @dataclass(frozen=True)
@@ -83,16 +82,9 @@ def windows(methods: DataFrame, n: int) -> DataFrame:
 
 
 def window_counts(methods: DataFrame, n: int) -> DataFrame:
-    """Distinct windows: `gram, c, first_seen`."""
-    numbered = methods.select("method_id", "tokens", first_seen_base(F.col("method_id")).alias("base"))
-    return (
-        windows(numbered, n)
-        .groupBy("gram")
-        .agg(
-            F.count(F.lit(1)).alias("c"),
-            F.min(first_seen_key(F.col("base"), F.col("pos"))).alias("first_seen"),
-        )
-    )
+    """Distinct windows of placed methods: `gram, c, first_seen`, the last of them the lowest place plus position."""
+    counted = windows(methods.select("tokens", "place"), n).groupBy("gram")
+    return counted.agg(F.count(F.lit(1)).alias("c"), F.min(F.col("place") + F.col("pos")).alias("first_seen"))
 
 
 def ngram_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
@@ -102,7 +94,7 @@ def ngram_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
     or a suffix of it and is rolled up with map-side partial counts.
     """
     longest = max(n_values)
-    grams = window_counts(methods, longest)
+    grams = window_counts(place_methods(methods), longest)
     top = grams.select(F.lit(longest).alias("n"), F.lit(longest).alias("order"), "gram", "c", "first_seen")
     shorter = [(n, order) for n in n_values for order in range(1, n + 1) if order < longest]
     tables = [top]
@@ -135,36 +127,20 @@ def context_counts(ngrams: DataFrame) -> DataFrame:
     """Occurrences and best target per context: `n, m, ctx, cc, best`.
 
     The best target has the highest count; of equals, the one seen first.
-    Count and first-seen key are ranked as one number where 38 digits hold it,
-    which keeps this in hash aggregation; only for huge ids it sorts.
     """
-    last, most = ngrams.agg(F.max("first_seen"), F.max("c")).head()
-    best = best_first_seen(F.col("c"), F.col("first_seen"), int(last or 0), int(most or 0))
+    best = best_first_seen(F.col("c"), F.col("first_seen"))
     return ngrams.groupBy("n", "m", "ctx").agg(F.sum("c").alias("cc"), best.alias("best"))
 
 
-def best_first_seen(c: Column, first_seen: Column, last: int, most: int) -> Column:
-    """Aggregate: the first-seen key of the highest count, given the largest values of both.
+def best_first_seen(c: Column, first_seen: Column) -> Column:
+    """Aggregate: the first-seen key of the highest count, of equal counts the lowest.  Nulls are ignored.
 
-    Nulls are ignored.
+    Count and earliness are ranked as one decimal, which holds any two bigints and keeps this in hash aggregation.
     """
-    span = last + 1
-    if span * (most + 1) < 10**RANK_DIGITS:
-        earliness = (_number(last) - first_seen).cast(_digits(span))
-        rank = (c.cast(_digits(most)) * _number(span)).cast(f"decimal({RANK_DIGITS},0)") + earliness
-        best = _number(last) - F.pmod(F.max(rank.cast(f"decimal({RANK_DIGITS},0)")), _number(span))
-    else:
-        best = F.min_by(first_seen, F.when(c.isNotNull(), F.struct(-c, first_seen)))
-    return best.cast(FIRST_SEEN_TYPE)
-
-
-def _digits(value: int) -> str:
-    """The narrowest decimal type of a number, so that products stay within 38 digits."""
-    return f"decimal({len(str(value))},0)"
-
-
-def _number(value: int) -> Column:
-    return F.lit(str(value)).cast(_digits(value))
+    step = F.lit(str(_RANGE)).cast("decimal(19,0)")
+    earliness = (F.lit(_RANGE - 1) - first_seen).cast("decimal(19,0)")
+    rank = (c.cast("decimal(19,0)") * step + earliness).cast("decimal(38,0)")
+    return F.lit(_RANGE - 1) - F.pmod(F.max(rank), step).cast("bigint")
 
 
 def best_targets(ngrams: DataFrame, contexts: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ def _normalised(code: str) -> str:
 
 
 _DOCUMENTS = "SELECT doc_id AS method_id, text AS code FROM documents"
-_CONVERSATIONS = "SELECT conv_id * 1000 + turn AS method_id, text AS code FROM conversations"
+_CONVERSATIONS = "SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS method_id, text AS code FROM conversations"
 _PAGES = "SELECT page_id AS method_id, html AS code FROM pages"
 _BUCKET = "(('0x' || substr(md5('42:' || method_id), 1, 8))::BIGINT % 10)"
 _BUCKET_20 = "(('0x' || substr(md5('42:' || method_id), 1, 8))::BIGINT % 20)"

@@ -13,7 +13,6 @@ import uuid
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
@@ -57,14 +56,3 @@ def drop_tables(*tables: DataFrame) -> None:
             folder = context._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
-
-def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one split per core.
-
-    Lexing is bound by CPU, so a small file of one row group should not run
-    in one task.  Scans of large inputs have splits enough and stay as they are.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() < cores:
-        return frame.repartition(cores, F.col(key))
-    return frame

@@ -7,12 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.functions.grams import (
-    first_seen_method,
-    first_seen_position,
-    gram_key,
-    pad_tokens,
-)
+from gramloom.functions.grams import gram_key, pad_tokens
 from gramloom.functions.lexer import strip_comments
 from gramloom.operators import choose, clean, corpus, fit, harvest, score
 from gramloom.plans.scratch import scratch_path, write_table
@@ -30,14 +25,12 @@ _ACCURACY_DECIMALS = 6
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokenised, split documents on shared storage, as every stage after reads them."""
-    tokens = corpus.tokenize_methods(tables.document_texts(spark, sf_dir))
-    return write_table(corpus.split_methods(tokens), "documents")
+    """Tokenised, placed and split documents on shared storage, as every stage after reads them."""
+    return corpus.split_methods(corpus.tokenize_placed(tables.document_texts(spark, sf_dir)))
 
 
 def _java(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
-    return write_table(corpus.split_methods(tokens), "java")
+    return corpus.split_methods(corpus.tokenize_placed(tables.java_methods(spark, sf_dir)))
 
 
 def _part_of(methods: DataFrame, split: str) -> DataFrame:
@@ -168,15 +161,9 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit.ngram_counts(_documents(spark, sf_dir), [ORDER]).select(
-        "n",
-        "m",
-        "ctx",
-        "target",
-        "c",
-        first_seen_method(F.col("first_seen")).alias("first_method"),
-        first_seen_position(F.col("first_seen")).alias("first_pos"),
-    )
+    methods = _documents(spark, sf_dir)
+    counts = fit.ngram_counts(methods, [ORDER])
+    return corpus.first_positions(counts, "first_seen", methods).drop("first_seen")
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,8 +240,7 @@ def compare_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_n_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = corpus.tokenize_methods(tables.conversation_texts(spark, sf_dir))
-    methods = write_table(corpus.split_methods(tokens), "conversations")
+    methods = corpus.split_methods(corpus.tokenize_placed(tables.conversation_texts(spark, sf_dir)))
     return _show_metrics(
         choose.compare_orders(_part_of(methods, corpus.TRAIN), _part_of(methods, corpus.VALIDATION))
     )
@@ -266,13 +252,13 @@ def select_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def final_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run: select n on validation, retrain on train and validation, test."""
-    tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
+    tokens = corpus.tokenize_placed(tables.java_methods(spark, sf_dir))
     return _show_metrics(choose.train_and_test(tokens).metrics)
 
 
 def quick_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run with n selected on the quick sample."""
-    tokens = corpus.tokenize_methods(tables.java_methods(spark, sf_dir))
+    tokens = corpus.tokenize_placed(tables.java_methods(spark, sf_dir))
     return _show_metrics(choose.train_and_test(tokens, quick=True).metrics)
 
 

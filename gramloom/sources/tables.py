@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramloom.plans.scratch import spread
+from gramloom.plans.numbers import numbered
 
 JAVA_METHODS = """
 SELECT p_partkey AS method_id, CASE
@@ -68,22 +68,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code` from the documents."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"), F.col("text").alias("code"))
-    return spread(documents, "method_id")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"), F.col("text").alias("code"))
 
 
 def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`method_id, code` from the conversation turns."""
-    turns = table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("method_id"), F.col("text").alias("code")
-    )
-    return spread(turns, "method_id")
+    """`method_id, code` from the conversation turns, numbered in the order of conversation and turn."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("code"))
+    return numbered(turns, ["conv_id", "turn"], "method_id").select("method_id", "code")
 
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code` from the pages."""
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("method_id"), F.col("html").alias("code"))
-    return spread(pages, "method_id")
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("method_id"), F.col("html").alias("code"))
 
 
 def _over_files(query: str, sf_dir: str, name: str) -> str:
@@ -93,7 +89,7 @@ def _over_files(query: str, sf_dir: str, name: str) -> str:
 
 def java_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code`: deterministic Java-like methods from the parts."""
-    return spread(spark.sql(_over_files(JAVA_METHODS, sf_dir, "part")), "method_id")
+    return spark.sql(_over_files(JAVA_METHODS, sf_dir, "part"))
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:
