@@ -183,7 +183,7 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         [*_each("cc", n_values), "best"],
         _largest("cc", n_values),
         models.positions,
-        "gid",
+        ["gid"],
     ).filter(F.coalesce(*_each("cc", n_values)).isNotNull() | (F.col("m") == 0))
     answers = lookup_join(
         known,
@@ -192,7 +192,7 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         [*_each("c", n_values), "first_seen"],
         _largest("c", n_values),
         models.positions,
-        "gid",
+        ["gid"],
     )
     counts = [F.struct(F.lit(n).alias("n"), F.col(f"c_{n}").alias("c"), F.col(f"cc_{n}").alias("cc")) for n in n_values]
     # A pair's rows meet before they are widened to one per model, so the grouping needs no exchange of its own.

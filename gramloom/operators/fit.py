@@ -180,7 +180,7 @@ def fit(
     positions = ngrams.filter((F.col("n") == orders[0]) & (F.col("m") == 0)).agg(F.sum("c")).head()[0]
     if positions is None:
         raise ValueError("no methods to train on")
-    words = write_table(vocabulary_of(ngrams, orders[0]), "vocabulary")
+    words = vocabulary_of(ngrams, orders[0])
     return NGramModel(
         ngrams=ngrams,
         contexts=write_table(context_counts(ngrams), "contexts"),

@@ -57,30 +57,21 @@ def evaluation_pairs(methods: DataFrame, model: NGramModel) -> DataFrame:
     return pairs.groupBy("n", "length", "ctx", "target").agg(F.sum("cnt").alias("cnt"))
 
 
-def _numbered(frame: DataFrame, name: str) -> DataFrame:
-    """The frame on shared storage with a unique `gid`, so that every reader sees the same numbers."""
-    return write_table(frame.withColumn("gid", F.monotonically_increasing_id()), name)
+def _context_suffixes(asked: DataFrame) -> DataFrame:
+    """One row per suffix of `ctx`, the empty one included: adds `m, suffix`."""
+    suffixes = asked.select("*", F.explode(F.sequence(F.lit(0), F.col("length"))).alias("m"))
+    return suffixes.withColumn("suffix", key_suffix(F.col("ctx"), F.col("m")))
 
 
-def _context_suffixes(asked: DataFrame, carried: list[str]) -> DataFrame:
-    """One row per suffix of `ctx`, the empty one included: `gid, n, length, m, ctx, <carried>`."""
-    return asked.select(
-        "gid", "n", "length", "ctx", *carried, F.explode(F.sequence(F.lit(0), F.col("length"))).alias("m")
-    ).withColumn("ctx", key_suffix(F.col("ctx"), F.col("m")))
+def _with_context(model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str]) -> DataFrame:
+    contexts = model.contexts.withColumnRenamed("ctx", "suffix")
+    return lookup_join(asked, contexts, ["n", "m", "suffix"], values, F.col("cc"), model.positions, spread_by)
 
 
-def _with_context(model: NGramModel, asked: DataFrame, values: list[str]) -> DataFrame:
-    return lookup_join(
-        asked, model.contexts, ["n", "m", "ctx"], values, F.col("cc"), model.positions, "gid"
-    )
-
-
-def _with_count(model: NGramModel, asked: DataFrame) -> DataFrame:
-    keys = ["n", "m", "ctx", "target"]
-    values = ["c", "first_seen"]
-    return lookup_join(
-        asked, model.ngrams.select(*keys, *values), keys, values, F.col("c"), model.positions, "gid"
-    )
+def _with_count(model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str]) -> DataFrame:
+    keys = ["n", "m", "suffix", "target"]
+    ngrams = model.ngrams.withColumnRenamed("ctx", "suffix").select(*keys, "c", "first_seen")
+    return lookup_join(asked, ngrams, keys, values, F.col("c"), model.positions, spread_by)
 
 
 class Smoothing(Protocol):
@@ -128,26 +119,28 @@ def interpolate(model: Smoothing) -> Column:
     return reduce(step, range(1, max(model.n_values)), empty)
 
 
-def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFrame:
-    """One row per numbered pair: `gid, n, <carried>, raw, p, best, correct`.
+def _scored(model: NGramModel, pairs: DataFrame) -> DataFrame:
+    """Add `raw, p, best, correct` to distinct pairs `n, length, ctx, target, ...`.
 
     `raw` is the estimate of the full context alone, 0 for an unknown one; `p`
     the interpolated one; `best` names the full context's best target and
-    `correct` says whether it is the pair's.  `carried` columns must be of fixed width, which
-    keeps the regrouping in hash aggregation.
+    `correct` says whether it is the pair's.  A pair is its own key on the way, so nothing is
+    numbered or joined back to it.
     """
-    known = _with_context(model, _context_suffixes(pairs, ["target", *carried]), ["cc", "best"])
+    place = ["ctx", "target"]
+    known = _with_context(model, _context_suffixes(pairs), ["cc", "best"], place)
     # An unknown context has no counts to look up.  The empty one stays, so
     # that every pair keeps a row.
-    answers = _with_count(model, known.filter(F.col("cc").isNotNull() | (F.col("m") == 0)))
+    asked = known.filter(F.col("cc").isNotNull() | (F.col("m") == 0))
+    answers = _with_count(model, asked, ["c", "first_seen"], place).drop("suffix")
     full = F.col("m") == F.col("length")
     raw = F.when(F.col("cc_full").isNull(), F.lit(0.0)).otherwise(
         raw_estimate(model, F.col("c_full"), F.col("cc_full"))
     )
     # A pair's rows meet before they are widened to a column per suffix.
     return (
-        answers.repartition("gid")
-        .groupBy("gid", "n", *carried)
+        answers.repartition(*place)
+        .groupBy(*pairs.columns)
         .agg(
             *counts_per_suffix(model),
             F.max(F.when(full, F.col("c"))).alias("c_full"),
@@ -156,9 +149,7 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
             F.max(F.when(full, F.col("first_seen"))).alias("first_seen"),
         )
         .select(
-            "gid",
-            "n",
-            *carried,
+            *pairs.columns,
             raw.alias("raw"),
             interpolate(model).alias("p"),
             "best",
@@ -169,15 +160,16 @@ def _scored(model: NGramModel, pairs: DataFrame, carried: list[str]) -> DataFram
 
 def pair_probabilities(model: NGramModel, pairs: DataFrame) -> DataFrame:
     """Add `raw` and `p` to distinct pairs `n, length, ctx, target, ...`."""
-    numbered = _numbered(pairs, "pairs")
-    return numbered.join(_scored(model, numbered, []).select("gid", "raw", "p"), "gid").drop("gid")
+    return _scored(model, pairs).drop("best", "correct")
 
 
-def _answer_each(
-    asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str], times: str = "asks"
-) -> DataFrame:
-    """Give numbered questions the answers to their distinct keys, of which `times` counts the questions."""
-    return lookup_join(asked, answers, keys, values, F.col(times), asked.count(), "gid")
+def _answer_each(asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """Give questions the answers to their distinct keys, of which `asks` counts the questions.
+
+    Questions of a frequent key are dealt out by all their columns.
+    """
+    total = answers.agg(F.sum("asks")).head()[0] or 0
+    return lookup_join(asked, answers, keys, values, F.col("asks"), total, asked.columns)
 
 
 def _keyed_contexts(model: NGramModel, queries: DataFrame) -> DataFrame:
@@ -199,9 +191,7 @@ def _keyed_contexts(model: NGramModel, queries: DataFrame) -> DataFrame:
 def probabilities(model: NGramModel, queries: DataFrame) -> DataFrame:
     """Add `n, raw, p` to `context array<string>, token string`, for every n of the model."""
     keys = ["n", "length", "ctx", "target"]
-    asked = _numbered(
-        _keyed_contexts(model, queries).withColumn("target", joinable(F.array("token"))[0]), "asked-pairs"
-    )
+    asked = _keyed_contexts(model, queries).withColumn("target", joinable(F.array("token"))[0])
     distinct = asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks"))
     answers = write_table(pair_probabilities(model, distinct), "answered-pairs")
     raw = F.when(F.col("too_long"), F.lit(0.0)).otherwise(F.col("raw"))
@@ -210,41 +200,53 @@ def probabilities(model: NGramModel, queries: DataFrame) -> DataFrame:
     )
 
 
+def _matched(model: NGramModel, distinct: DataFrame) -> DataFrame:
+    """Add `m, best` of the longest known suffix and `cc_0 ..`, the counts of all suffixes, to distinct contexts."""
+    known = _with_context(model, _context_suffixes(distinct), ["cc", "best"], ["ctx"]).drop("suffix")
+    lengths = range(model.max_n)
+    return (
+        known.repartition("ctx")
+        .groupBy(*distinct.columns)
+        .agg(
+            F.max(F.when(F.col("best").isNotNull(), F.col("m"))).alias("m"),
+            F.coalesce(*[F.max(F.when(F.col("m") == m, F.col("best"))) for m in reversed(lengths)]).alias("best"),
+            *[F.max(F.when(F.col("m") == m, F.col("cc"))).alias(f"cc_{m}") for m in lengths],
+        )
+    )
+
+
 def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     """Add `n, matched, pred, p` to `context array<string>`, for every n of the model.
 
     The prediction is the best target of the longest suffix known as a
     context.  All longer suffixes are unknown, so the interpolated probability
-    there is that of the whole context.  A model without counts falls back to
+    there is that of the whole context.  The counts of all suffixes come with the match;
+    only those of the predicted target are looked up after it.  A model without counts falls back to
     one word of its vocabulary, without vocabulary to no prediction.
     """
     keys = ["n", "length", "ctx"]
-    asked = _numbered(_keyed_contexts(model, contexts).drop("too_long"), "asked-contexts")
-    distinct = _numbered(asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks")), "distinct-contexts")
-    known = _with_context(model, _context_suffixes(distinct, []), ["best"])
-    per_length = [F.max(F.when(F.col("m") == m, F.col("best"))) for m in reversed(range(model.max_n))]
-    longest = known.groupBy("gid").agg(
-        F.max(F.when(F.col("best").isNotNull(), F.col("m"))).alias("m"), F.coalesce(*per_length).alias("best")
-    )
+    asked = _keyed_contexts(model, contexts).drop("too_long")
+    distinct = asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("asks"))
     matched = write_table(
-        distinct.join(longest, "gid").withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))),
-        "matched-contexts",
-    )
-    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx"), "best").agg(
-        F.count(F.lit(1)).alias("times")
+        _matched(model, distinct).withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))), "matched-contexts"
     )
+    # A suffix that many contexts match is looked up once.
+    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx"), "best").agg(F.count(F.lit(1)).alias("asks"))
     best = best_targets(model.ngrams, suffixes).withColumnRenamed("ctx", "suffix")
+    total = matched.count()
     fallback = None if model.positions else model.vocabulary.agg(F.min("token")).head()[0]
-    predicted = _answer_each(matched, best, ["n", "m", "suffix"], ["pred"], "times").select(
-        *keys,
-        "asks",
-        F.col("m").alias("matched"),
-        F.coalesce("pred", F.lit(fallback).cast("string")).alias("target"),
-    )
-    scored = pair_probabilities(model, predicted)
-    answers = write_table(
-        scored.withColumn("p", F.when(F.col("target").isNotNull(), F.col("p"))), "answered-contexts"
-    )
+    predicted = lookup_join(
+        matched, best, ["n", "m", "suffix"], ["pred"], F.col("asks"), total, ["ctx"]
+    ).withColumn("target", F.coalesce("pred", F.lit(fallback).cast("string")))
+    carried = [*keys, "asks", "m", "target", *[f"cc_{m}" for m in range(model.max_n)]]
+    known = predicted.select(*carried).withColumnRenamed("m", "matched")
+    shorter = F.explode(F.sequence(F.lit(0), F.coalesce("matched", F.lit(0)))).alias("m")
+    asking = known.select("*", shorter).withColumn("suffix", key_suffix(F.col("ctx"), F.col("m")))
+    counted = _with_count(model, asking, ["c"], ["ctx", "target"]).drop("suffix")
+    counts = [F.max(F.when(F.col("m") == m, F.col("c"))).alias(f"c_{m}") for m in range(model.max_n)]
+    scored = counted.repartition("ctx").groupBy(*known.columns).agg(*counts)
+    p = F.when(F.col("target").isNotNull(), interpolate(model)).alias("p")
+    answers = write_table(scored.select(*keys, "asks", "matched", "target", p), "answered-contexts")
     return _answer_each(asked, answers, keys, ["matched", "target", "p"]).select(
         *contexts.columns, "n", "matched", readable(F.col("target")).alias("pred"), "p"
     )
@@ -265,13 +267,15 @@ def is_punctuation(target: Column) -> Column:
 def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
     """One row per held-out position: `n, method_id, pos, ctx, target, pred, p, is_punct, correct`."""
     keys = ["n", "ctx", "target"]
-    pairs = _numbered(evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks"), "position-pairs")
-    scored = write_table(
-        pairs.join(_scored(model, pairs, []).select("gid", "p", "best", "correct"), "gid"), "scored-pairs"
-    )
-    contexts = scored.groupBy("n", F.col("length").alias("m"), "ctx", "best").agg(F.count(F.lit(1)).alias("times"))
-    best = best_targets(model.ngrams, contexts)
-    answers = write_table(_answer_each(scored, best, ["n", "ctx"], ["pred"], "times"), "answered-pairs")
+    pairs = evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks")
+    scored = write_table(_scored(model, pairs).drop("raw"), "scored-pairs")
+    # Where the target is the best one it is the prediction; the others are looked up once per context.
+    wrong = scored.filter(F.col("best").isNotNull() & ~F.col("correct"))
+    contexts = wrong.select("n", F.col("length").alias("m"), "ctx", "best").distinct()
+    best = best_targets(model.ngrams, contexts).select("n", "ctx", "best", F.col("pred").alias("other"))
+    named = scored.join(best, ["n", "ctx", "best"], "left")
+    pred = F.when(F.col("correct"), F.col("target")).otherwise(F.col("other")).alias("pred")
+    answers = write_table(named.select(*keys, "asks", "p", "correct", pred), "answered-pairs")
     grams = windows(methods.select("method_id", "tokens"), model.max_n)
     positions = grams.select("method_id", "pos", "gram", _for_every_n(model)).select(
         "n",
@@ -279,12 +283,9 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
         "pos",
         key_prefix(key_suffix(F.col("gram"), F.col("n")), F.col("n") - 1).alias("ctx"),
         key_suffix(F.col("gram"), F.lit(1)).alias("target"),
-        F.xxhash64("method_id", "pos").alias("_place"),
     )
-    total = answers.agg(F.sum("asks")).head()[0] or 0
     return (
-        lookup_join(positions, answers, keys, ["pred", "p", "correct"], F.col("asks"), total, "_place")
-        .drop("_place")
+        _answer_each(positions, answers, keys, ["pred", "p", "correct"])
         .withColumn("p", floored(model, F.col("p")))
         .withColumn("is_punct", is_punctuation(F.col("target")))
         .withColumns({"target": readable(F.col("target")), "pred": readable(F.col("pred"))})
@@ -297,8 +298,7 @@ def evaluate(model: NGramModel, methods: DataFrame) -> DataFrame:
     Without positions the perplexities are infinite and the accuracy is 0.
     """
     pairs = evaluation_pairs(methods, model).withColumn("is_punct", is_punctuation(F.col("target")))
-    scored = _scored(model, _numbered(pairs, "evaluation-pairs"), ["cnt", "is_punct"])
-    return metrics_per_order(model, scored)
+    return metrics_per_order(model, _scored(model, pairs))
 
 
 def metrics_per_order(model: Smoothing, scored: DataFrame) -> DataFrame:

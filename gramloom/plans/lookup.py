@@ -22,7 +22,7 @@ def lookup_join(
     values: list[str],
     weight: Column,
     total: int,
-    spread_by: str,
+    spread_by: list[str],
 ) -> DataFrame:
     """`probe` left join `table` on `keys`, adding `values`.
 
@@ -44,7 +44,7 @@ def lookup_join(
         *[F.col(name).alias(f"_cold_{name}") for name in (*keys, *values)],
     )
     tagged = probe.join(F.broadcast(hot), keys, "left").withColumn(
-        _HASH, F.when(F.col(_HOT), F.xxhash64(spread_by)).otherwise(F.xxhash64(*keys))
+        _HASH, F.when(F.col(_HOT), F.xxhash64(*spread_by)).otherwise(F.xxhash64(*keys))
     )
     # The keys decide the match, the hash only where a row goes; a hot key is
     # not in `cold`, so a hot row finds nothing wherever it lands.

@@ -66,9 +66,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(texts: DataFrame) -> DataFrame:
+    """The given tables are files of one row group, which one task would lex; here the rows are dealt out first."""
+    return texts.repartition("method_id")
+
+
 def document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code` from the documents."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"), F.col("text").alias("code"))
+    return _dealt(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("method_id"), F.col("text").alias("code")))
 
 
 def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +84,7 @@ def conversation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code` from the pages."""
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("method_id"), F.col("html").alias("code"))
+    return _dealt(table(spark, sf_dir, "pages").select(F.col("page_id").alias("method_id"), F.col("html").alias("code")))
 
 
 def _over_files(query: str, sf_dir: str, name: str) -> str:
@@ -89,7 +94,7 @@ def _over_files(query: str, sf_dir: str, name: str) -> str:
 
 def java_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`method_id, code`: deterministic Java-like methods from the parts."""
-    return spark.sql(_over_files(JAVA_METHODS, sf_dir, "part"))
+    return _dealt(spark.sql(_over_files(JAVA_METHODS, sf_dir, "part")))
 
 
 def repositories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from brute_force import Model
 from pyspark.sql import functions as F
 
-from gramloom.functions.grams import first_seen_method, first_seen_position
+from gramloom.operators import corpus as corpora
 from gramloom.operators import fit
 
 S, E = "<START>", "<END>"
@@ -96,15 +96,23 @@ def test_results_do_not_depend_on_partitions(spark, methods, partitions):
 
 def test_first_seen_holds_any_id(methods):
     big = 2**62
-    rows = fit.window_counts(methods([(big, ["a", "b"]), (big + 5, ["a"])]), 1).select(
-        "gram", first_seen_method(F.col("first_seen")).alias("m"), first_seen_position(F.col("first_seen")).alias("p")
-    )
-    assert {r.gram: (r.m, r.p) for r in rows.collect()} == {"a": (big, 0), "b": (big, 1), E: (big, 2)}
+    placed = corpora.place_methods(methods([(big + 5, ["a"]), (-big, ["a", "b"]), (big, ["b", "c"])]))
+    rows = corpora.first_positions(fit.window_counts(placed, 1), "first_seen", placed)
+    assert {r.gram: (r.first_method, r.first_pos) for r in rows.collect()} == {
+        "a": (-big, 0), "b": (-big, 1), E: (-big, 2), "c": (big, 1),
+    }
+
+
+def test_places_are_dense_and_follow_the_ids(spark, methods):
+    data = [((i * 7919) % 1009 - 500, ["x"] * (i % 5 + 1)) for i in range(1009)]
+    rows = corpora.place_methods(methods(data).repartition(7)).orderBy("method_id").collect()
+    assert [r.place for r in rows] == [6 * i for i in range(1009)]  # five tokens and the end marker at most
+    texts = spark.createDataFrame([(3, "a b"), (1, "// none"), (2, "c"), (0, None)], "method_id bigint, code string")
+    assert [(r.method_id, r.place) for r in corpora.tokenize_placed(texts).orderBy("place").collect()] == [(2, 0), (3, 3)]
 
 
 @pytest.mark.parametrize("offset", [0, 2**40, 2**62])
 def test_best_target_for_any_id(methods, offset):
-    """Small ids rank in one number, huge ones by sorting; both give the same."""
     data = corpus(13)
     model = fit.fit(methods([(offset + 3 * i, tokens) for i, tokens in enumerate(data)]), 3)
     expected = Model(data, 3)
@@ -113,18 +121,15 @@ def test_best_target_for_any_id(methods, offset):
     assert best[(0, "")] == expected.best(()) and best[(1, ";")] == expected.best((";",))
 
 
-def test_huge_counts_and_ids_fall_back_to_sorting(frame):
-    schema = "n int, m int, ctx string, target string, c bigint, first_seen decimal(31,0)"
-    from decimal import Decimal
-
-    late = Decimal(2**94 - 1)
-    rows = [(1, 0, "", "a", 10**12, late), (1, 0, "", "b", 10**12, late - 1), (1, 0, "", "c", 5, Decimal(0))]
+def test_best_target_of_huge_counts_stays_in_hash_aggregation(frame):
+    schema = "n int, m int, ctx string, target string, c bigint, first_seen bigint"
+    late, many = 2**63 - 1, 2**62
+    rows = [(1, 0, "", "a", many, late), (1, 0, "", "b", many, late - 1), (1, 0, "", "c", 5, 0), (1, 0, "x", "d", 1, 0)]
     contexts = fit.context_counts(frame(rows, schema))
-    assert tuple(contexts.select("cc", "best").head()) == (2 * 10**12 + 5, late - 1)
-    assert "SortAggregate" in contexts._jdf.queryExecution().executedPlan().toString()
-    small = fit.context_counts(frame([(1, 0, "", "a", 10**12, Decimal(2**70)), (1, 0, "", "b", 10**12, Decimal(7))], schema))
-    assert tuple(small.select("cc", "best").head()) == (2 * 10**12, Decimal(7))
-    assert "SortAggregate" not in small._jdf.queryExecution().executedPlan().toString()
+    assert {r.ctx: r.best for r in contexts.select("ctx", "best").filter("ctx = 'x'").collect()} == {"x": 0}
+    best = frame(rows, schema).groupBy("ctx").agg(fit.best_first_seen(F.col("c"), F.col("first_seen")).alias("best"))
+    assert {r.ctx: r.best for r in best.collect()} == {"": late - 1, "x": 0}
+    assert "SortAggregate" not in best._jdf.queryExecution().executedPlan().toString()
 
 
 def test_parameters_are_checked(methods):

@@ -14,7 +14,7 @@ def test_hot_and_cold_keys_and_misses(spark):
         F.col("id").alias("gid"), F.lit(1).alias("n"),
         F.when(F.col("id") % 3 == 0, "1").otherwise(F.col("id").cast("string")).alias("ctx"),
     )
-    joined = lookup_join(probe, table, ["n", "ctx"], ["v"], F.col("w"), total, "gid")
+    joined = lookup_join(probe, table, ["n", "ctx"], ["v"], F.col("w"), total, ["gid"])
     plain = probe.join(table.select("n", "ctx", "v"), ["n", "ctx"], "left").select("gid", "n", "ctx", "v")
     assert joined.columns == ["gid", "n", "ctx", "v"]
     assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
@@ -31,7 +31,7 @@ def test_hot_rows_are_dealt_out_over_the_partitions(spark):
         probe = spark.range(40_000).select(
             F.col("id").alias("gid"), F.when(F.col("id") % 2 == 0, "0").otherwise((F.col("id") % 1000).cast("string")).alias("k")
         )
-        joined = lookup_join(probe, table, ["k"], ["id"], F.col("w"), 1_000_999, "gid")
+        joined = lookup_join(probe, table, ["k"], ["id"], F.col("w"), 1_000_999, ["gid"])
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("part")).count().collect()]
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:

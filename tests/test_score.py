@@ -7,6 +7,7 @@ from brute_force import Model
 from pyspark.sql import functions as F
 
 from gramloom.operators import fit, score
+from gramloom.plans.scratch import write_table
 
 GOLDEN = [["a", "b", "a"], ["a", "c"]]
 
@@ -121,3 +122,24 @@ def test_empty_model(frame, methods):
 def test_metrics_report(frame):
     metrics = frame([(2, 0.12345, 9.87654, 1.0, 7)], "n int, accuracy double, perplexity double, perplexity_no_punctuation double, vocabulary_size bigint")
     assert tuple(score.metrics_report(metrics).head()) == (2, 0.123, 9.877, 1.0, 7)
+
+
+def test_scoring_writes_few_tables_and_numbers_nothing(monkeypatch, frame, methods):
+    written = []
+
+    def counting(data, name):
+        written.append(name)
+        return write_table(data, name)
+
+    for module in (fit, score):
+        monkeypatch.setattr(module, "write_table", counting)
+    data = methods(corpus(3, 12))
+    model = fit.fit(data, 3)
+    positions = score.score_positions(model, data)
+    assert written == ["ngrams", "contexts", "scored-pairs", "answered-pairs"]
+    del written[2:]
+    asked = frame([(["a"],), (["b", "a"],)], "context array<string>")
+    predictions = score.predict_next(model, asked)
+    assert written == ["ngrams", "contexts", "matched-contexts", "answered-contexts"]
+    for rows in (positions, predictions):
+        assert "monotonically" not in rows._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ import pytest
 
 from gramloom.operators import fit, score
 from gramloom.plans import scratch
-from gramloom.sources import files, models, reports
+from gramloom.sources import files, models, reports, tables
 
 TRICKY = ['a "quoted" one', "two\nlines, and a comma", "  edges  ", 'ends with "', "back\\slash", "tab\there", "é", "'"]
 
@@ -121,3 +121,10 @@ def test_numbers_do_not_depend_on_splits(spark, tmp_path, size):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert sorted(map(tuple, found)) == list(enumerate(expected))
+
+
+def test_turns_beyond_a_thousand_keep_their_own_ids(spark, tmp_path):
+    rows = [(c, t, f"t{c} {t}") for c in (0, 1, 2) for t in range(1500)]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = tables.conversation_texts(spark, str(tmp_path)).orderBy("method_id").collect()
+    assert [(r.method_id, r.code) for r in found] == [(i, text) for i, (_, _, text) in enumerate(rows)]
