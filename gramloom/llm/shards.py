@@ -10,7 +10,9 @@ that no list of all groups comes together anywhere.
 
 The law is `bytes`: shards are near equal in bytes.  Null text: no bytes, size
 1; all null texts are one group, apart from empty ones.  Repeated rows are
-members of their group like any other.  Empty table: no rows.  Only doc_id
+members of their group like any other, and rows of a group that is cut are dealt in turn, so null
+and repeated ids do not unbalance the shards.  Shards that tie are taken in their order.  A text of
+any length is one item of its size; the longest bounds how near to equal shards can be.  Empty table: no rows.  Only doc_id
 and text are read, so other columns cannot clash.  Texts are read once and
 never shuffled: a group is known by the SHA-256 of its text.
 """
@@ -92,7 +94,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     What comes to the driver is the heavy groups: by their definition fewer
     than 3 * shards / HEAVY, whatever the table's size.
     """
-    rows = stage(_sizes(docs), "sizes")
+    rows = stage(_sizes(docs).withColumn("row", F.monotonically_increasing_id()), "sizes")
     groups = rows.groupBy("group").agg(*[F.sum(d).alias(d) for d in DIMENSIONS])
     totals = rows.agg(*[F.coalesce(F.sum(d), F.lit(0)).alias(d) for d in DIMENSIONS]).head()
     mean = np.array([max(totals[d], 1) for d in DIMENSIONS], float) / shards
@@ -101,14 +103,12 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     split = (part > PIECE) | (part - parts[0] > LOPSIDED)
     groups = stage(groups.withColumns({"part": part, "split": split}), "groups")
     cut = groups.filter("split").select("group", (F.ceil(F.col("part") / (PIECE * shards)) * shards).cast("int").alias("pieces"))
-    # Rows of a cut group are dealt to its pieces by their id; at most 3 * shards / LOPSIDED groups are cut.
-    pieces = F.coalesce(F.col("pieces"), F.lit(1))
-    rows = rows.join(F.broadcast(cut), "group", "left").withColumn(
-        "piece", F.pmod(F.xxhash64("doc_id"), pieces).cast("int")
-    ).drop("pieces")
-    cut_items = rows.join(F.broadcast(cut), "group", "left_semi").groupBy("group", "piece").agg(
-        *[F.sum(d).alias(d) for d in DIMENSIONS]
-    )
+    # Rows of a cut group are numbered and dealt to its pieces in turn, whatever their ids; at most
+    # 3 * shards / LOPSIDED groups are cut.
+    hot = ranks.numbered(rows.join(F.broadcast(cut), "group"), "group", ["row"], "number")
+    hot = stage(hot.withColumn("piece", F.pmod("number", "pieces").cast("int")).drop("number", "pieces"), "cut-rows")
+    cold = rows.join(F.broadcast(cut), "group", "left_anti").withColumn("piece", F.lit(0))
+    cut_items = hot.groupBy("group", "piece").agg(*[F.sum(d).alias(d) for d in DIMENSIONS])
     whole = groups.filter((F.col("part") >= HEAVY) & ~F.col("split")).select(
         "group", F.lit(0).alias("piece"), *DIMENSIONS
     )
@@ -125,7 +125,8 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     light = groups.filter((F.col("part") < HEAVY) & ~F.col("split")).select("group", F.lit(0).alias("piece"), *DIMENSIONS)
     light = light.mapInArrow(lambda batches: _place_light(batches, mean, capacity), schema)
     placed = stage(placed.unionByName(light), "placed")
-    numbered = ranks.numbered(rows.join(placed, ["group", "piece"]), "shard", ["doc_id", "group"], "slot")
+    dealt = hot.unionByName(cold).join(placed, ["group", "piece"])
+    numbered = ranks.numbered(dealt, "shard", ["doc_id", "group", "row"], "slot")
     return numbered.select(
         "doc_id", F.col("bytes").alias("size"), "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "tokens",

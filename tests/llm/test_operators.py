@@ -160,6 +160,34 @@ def test_shards(docs, empty, spark):
     assert all(len(s) == 1 for t, s in where.items() if t != "hot")
 
 
+@pytest.mark.parametrize("ids", ["null", "one", "own"])
+def test_shards_of_a_hot_text_are_even_whatever_its_ids(spark, ids):
+    name = {"null": lambda i: None, "one": lambda i: 7, "own": lambda i: i}[ids]
+    rows = [(name(i), "the hot text") if i % 3 == 0 else (i, "w" * (i % 50) + str(i)) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"row": F.lit("x"), "number": F.lit(1)})
+    found = shards.assign(docs).collect()
+    assert len(found) == 6000 and Counter(r.doc_id for r in found) == Counter(d for d, _ in rows)
+    for measure in (lambda r: r["size"], lambda r: 1):
+        totals = Counter()
+        for r in found:
+            totals[r.shard] += measure(r)
+        mean = sum(totals.values()) / 8
+        assert len(totals) == 8 and 0.95 * mean < min(totals.values()) and max(totals.values()) < 1.05 * mean
+    assert all(sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found))) for s in range(8))
+
+
+def test_place_against_a_plain_loop():
+    rng = random.Random(2)
+    items = [[rng.random() / 50 for _ in range(3)] for _ in range(400)]
+    left, expected = [[1.0] * 3 for _ in range(8)], []
+    for item in items:
+        fits = [sum(r * x * w for r, x, w in zip(row, item, (1.0, 0.5, 0.5), strict=True)) for row in left]
+        best = max(range(8), key=lambda s: (round(fits[s], 12), -s))
+        expected.append(best)
+        left[best] = [r - x for r, x in zip(left[best], item, strict=True)]
+    assert shards.place(np.array(items), np.ones((8, 3))).tolist() == expected
+
+
 def cosine_links(rows, least):
     unit = {}
     for i, (_, v, label) in enumerate(rows):
