@@ -9,11 +9,13 @@ stood once in the corpus.
 Documents are dealt into blocks of bounded size.  A block's n-grams are counted before they leave
 it, then shuffled by hash, where the count table forms: one row per
 n-gram and block, and the total beside each.  Totals go back to the blocks that
-asked, but only for n-grams of several blocks, since a block knows the rest; there they are joined to
+asked, but only for n-grams of several blocks, since a block knows the rest, and under their
+place in the block, which is shorter than a hash; there they are joined to
 the n-grams of each document and summed.  An n-gram has at most one row per block, so frequent ones make
 no hot key.  n-grams are told apart by 64-bit hashes.
 
-Null and empty texts have no words and a null score.  Repeated rows are
+Null and empty texts have no words and a null score.  Blocks are made by id and text, so documents
+without an id, or with one id, are dealt out unless their texts are equal too.  Repeated rows are
 documents of their own, so a copy's n-grams count for the other.  Empty table: no rows.  A
 long text is a block of its own size.  Only doc_id and text are read.
 """
@@ -80,18 +82,20 @@ def _grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndar
 
 
 def _count(table: pa.Table, order: int, wave: int, waves: int) -> pa.Table:
+    """(block, at, gram, n): `at` is an n-gram's place among those of its block and wave, of the words' number -1."""
     words, doc = _words(table["text"])
-    hashes, counts = [np.array([_ALL], np.uint64)], [np.array([len(words)])]
-    if wave:
-        hashes, counts = [], []
+    hashes, counts, first = [], [], 0
+    if not wave:
+        hashes, counts, first = [np.array([_ALL], np.uint64)], [np.array([len(words)])], -1
     for gram, whole in _grams(words, doc, order):
         found, n = np.unique(gram[whole & (gram % np.uint64(waves) == wave)], return_counts=True)
         hashes.append(found)
         counts.append(n)
     block = table["block"][0].as_py()
     hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+    at = np.arange(first, first + len(hashes), dtype=np.int32)
     return pa.table(
-        {"block": np.full(len(hashes), block, np.int64), "gram": signed(hashes), "n": counts.astype(np.int64)}
+        {"block": np.full(len(hashes), block, np.int32), "at": at, "gram": signed(hashes), "n": counts.astype(np.int32)}
     )
 
 
@@ -99,21 +103,18 @@ def _counter(order: int, wave: int, waves: int) -> Callable[[pa.Table], pa.Table
     return lambda table: _count(table, order, wave, waves)
 
 
-def _known(words: np.ndarray, doc: np.ndarray, totals: pa.Table, order: int) -> tuple[list, int]:
+def _known(words: np.ndarray, doc: np.ndarray, totals: pa.Table, order: int, waves: int) -> tuple[list, int]:
     """For n = 1..order the block's n-grams in the order of their hashes and the corpus count of each; all words."""
-    grams, counts = unsigned(totals["gram"].to_numpy()), totals["total"].to_numpy()
-    sort = np.argsort(grams)
-    grams, counts = grams[sort], counts[sort]
-
-    def total(found: np.ndarray, own: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(grams, found), max(len(grams) - 1, 0))
-        return np.where(grams[at] == found, counts[at], own) if len(grams) else own
-
-    known = []
-    for gram, whole in _grams(words, doc, order):
-        found, own = np.unique(gram[whole], return_counts=True)
-        known.append((found, total(found, own)))
-    return known, int(total(np.array([_ALL], np.uint64), np.array([len(words)]))[0])
+    at, wave, total = (totals[c].to_numpy() for c in ("at", "wave", "total"))
+    known = [np.unique(gram[whole], return_counts=True) for gram, whole in _grams(words, doc, order)]
+    grams, counts = (np.concatenate(of) for of in zip(*known, strict=True))
+    counts = counts.astype(np.int64)
+    for w in range(waves):
+        told = (wave == w) & (at >= 0)
+        counts[np.flatnonzero(grams % np.uint64(waves) == w)[at[told]]] = total[told]
+    everything = total[at < 0]
+    cuts = np.cumsum([len(found) for found, _ in known])[:-1]
+    return list(zip(np.split(grams, cuts), np.split(counts, cuts), strict=True)), int(everything[0] if len(everything) else len(words))
 
 
 def _score_part(words: np.ndarray, doc: np.ndarray, n_docs: int, known: list, everything: int) -> list[np.ndarray]:
@@ -140,10 +141,10 @@ def _score_part(words: np.ndarray, doc: np.ndarray, n_docs: int, known: list, ev
     return [lengths, np.bincount(doc, steps > 0, n_docs), np.bincount(doc, score, n_docs)]
 
 
-def _score(table: pa.Table, totals: pa.Table, order: int) -> pa.Table:
+def _score(table: pa.Table, totals: pa.Table, order: int, waves: int) -> pa.Table:
     """Scores of a block's documents, worked out for about PART words at a time."""
     words, doc = _words(table["text"])
-    known, everything = _known(words, doc, totals, order)
+    known, everything = _known(words, doc, totals, order, waves)
     # Where each document begins; parts are cut between documents.
     begins = np.searchsorted(doc, np.arange(table.num_rows + 1))
     cuts = np.unique(np.append(np.searchsorted(begins, np.arange(0, len(words), PART)), [0, table.num_rows]))
@@ -166,15 +167,17 @@ def score(docs: DataFrame, order: int = ORDER, block: int = BLOCK, waves: int =
     """(doc_id, n_words, n_backoff, score): mean log score of a document's words."""
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, math.ceil(size / block))
-    name = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks))
+    # By the text too, so that documents without an id do not come together by their length.
+    name = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"], name.alias("block"))
     same = Window.partitionBy("gram")
     parts = []
     for wave in range(waves):
-        counts = texts.groupBy("block").applyInArrow(_counter(order, wave, waves), "block bigint, gram bigint, n bigint")
+        counts = texts.groupBy("block").applyInArrow(_counter(order, wave, waves), "block int, at int, gram bigint, n int")
         table = counts.withColumns({"total": F.sum("n").over(same), "blocks": F.count(F.lit(1)).over(same)})
-        parts.append(stage(table.filter("blocks > 1").select("block", "gram", "total"), "totals"))
+        table = table.filter("blocks > 1").select("block", "at", F.lit(wave).alias("wave"), "total")
+        parts.append(stage(table, "totals"))
     totals = reduce(DataFrame.unionByName, parts)
     return texts.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
-        lambda t, of: _score(t, of, order), SCHEMA
+        lambda t, of: _score(t, of, order, waves), SCHEMA
     )
