@@ -207,6 +207,7 @@ _NON_EMPTY = _non_empty(JAVA_METHODS)
 _DISTINCT = _distinct(JAVA_METHODS)
 _ASCII_DISTINCT = _ascii_distinct(JAVA_METHODS)
 _CHAIN = _chain(JAVA_METHODS)
+_NUMBERED_CHAIN = f"SELECT row_number() OVER (ORDER BY method_id) - 1 AS method_id, code FROM ({_CHAIN}) c"
 
 _FUNNEL = f"""
 WITH counts AS (SELECT
@@ -458,7 +459,26 @@ FROM (SELECT method_id, list_concat(list_concat(['<START>', '<START>'], tokens),
   FROM ({_tokenised(JAVA_METHODS)}) t) p
 """
 
-_LINES = r"""SELECT 0 AS method_id, unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS code FROM documents"""
+_LINES = rf"""SELECT row_number() OVER (ORDER BY doc_id, place) - 1 AS method_id, code
+  FROM (SELECT doc_id, unnest(lines) AS code, generate_subscripts(lines, 1) AS place
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS lines FROM documents) d) l
+  WHERE regexp_matches(code, '[^{_JAVA_SPACE}]')"""
+
+_FREE = f"""{_TRIGRAM},
+asked AS (SELECT method_id, pos::INTEGER AS pos, pos % 4 AS length, t_3 AS target, {_key(1, 2)} AS ctx_2,
+    {_key(2, 2)} AS ctx_1, '' AS ctx_0 FROM ({_positions(4, 'docs', _TEST)}) p)
+SELECT method_id, pos, target AS token,
+  round(CASE length WHEN 0 THEN (coalesce(c_0, 0) + {K}) / (cc_0 + {K}::DOUBLE * v)
+    WHEN 1 THEN CASE WHEN cc_1 IS NULL THEN 0 ELSE (coalesce(c_1, 0) + {K}) / (cc_1 + {K}::DOUBLE * v) END
+    WHEN 2 THEN CASE WHEN cc_2 IS NULL THEN 0 ELSE (coalesce(c_2, 0) + {K}) / (cc_2 + {K}::DOUBLE * v) END
+    ELSE 0 END, 10) AS raw,
+  round(CASE length WHEN 0 THEN p_0 WHEN 1 THEN p_1 ELSE p_2 END, 10) AS p
+FROM ({_with_probability(3, 'SELECT * FROM asked')}) s"""
+
+_UNCOUNTED = f"""{_TRIGRAM}, words AS (SELECT unnest(tokens) AS token FROM docs WHERE {_TRAIN}
+  UNION SELECT '<START>' UNION SELECT '<END>')
+SELECT method_id, 3::INTEGER AS n, (SELECT min(token) FROM words) AS pred, round(1.0::DOUBLE / v, 10) AS p
+FROM docs, size WHERE {_TEST}"""
 
 ORACLE: dict[str, str] = {
     "tokenize_docs": _shown(_DOCUMENTS),
@@ -494,6 +514,8 @@ ORACLE: dict[str, str] = {
     "interpolated_probability": f"""{_TRIGRAM} SELECT DISTINCT 3::INTEGER AS n, ctx_2 AS ctx, target, round(p, 10) AS p
       FROM ({_SCORED}) s""",
     "predict_next": _PREDICT,
+    "free_contexts": _FREE,
+    "predict_without_counts": _UNCOUNTED,
     "score_positions": f"""{_TRIGRAM} SELECT 3::INTEGER AS n, method_id, pos::INTEGER AS pos, ctx_2 AS ctx, target, pred,
       round(p, 10) AS p, pred IS NOT DISTINCT FROM target AS correct, target IN ({_texts(PUNCTUATION)}) AS is_punct
       FROM ({_SCORED}) s""",
@@ -504,11 +526,11 @@ ORACLE: dict[str, str] = {
     "select_n": f"{_COMPARISON} SELECT n FROM comparison ORDER BY perplexity, n LIMIT 1",
     "final_model": _final(_COMPARISON),
     "quick_model": _final(_QUICK_COMPARISON),
-    "csv_roundtrip": f"SELECT code FROM ({JAVA_METHODS}) m",
+    "csv_roundtrip": f"SELECT row_number() OVER (ORDER BY method_id) - 1 AS method_id, code FROM ({JAVA_METHODS}) m",
     "column_resolution": f"SELECT method_code AS code FROM ({_EXTRACTED}) e",
-    "processed_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CHAIN)}) t",
-    "processed_parquet_roundtrip": f"SELECT tokens, n_tokens FROM ({_shown(_CHAIN)}) t",
-    "text_lines": f"SELECT tokens, n_tokens FROM ({_shown(_LINES)}) t",
+    "processed_roundtrip": _shown(_NUMBERED_CHAIN),
+    "processed_parquet_roundtrip": _shown(_NUMBERED_CHAIN),
+    "text_lines": _shown(_LINES),
     "model_roundtrip": _TRIGRAM_METRICS,
     "metrics_json": _TRIGRAM_METRICS,
     "comparison_json": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",

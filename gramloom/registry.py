@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -212,6 +213,32 @@ def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def free_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw and interpolated probability of every test token after none to three tokens; three are too many for the model."""
+    model, test = _trigram(spark, sf_dir)
+    padded = test.select("method_id", pad_tokens(F.col("tokens"), ORDER + 1).alias("padded"))
+    positions = padded.select("*", F.explode(F.sequence(F.lit(0), F.size("padded") - ORDER - 1)).alias("pos"))
+    length = F.col("pos") % (ORDER + 1)
+    asked = positions.select(
+        "method_id",
+        "pos",
+        F.slice("padded", F.col("pos") + 1 + ORDER - length, length).alias("context"),
+        F.get("padded", F.col("pos") + ORDER).alias("token"),
+    )
+    shown = [F.round(c, _P_DECIMALS).alias(c) for c in ("raw", "p")]
+    return score.probabilities(model, asked).select("method_id", "pos", "token", *shown)
+
+
+def predict_without_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model that has a vocabulary but no counts falls back to one of its words, at the uniform probability."""
+    model, test = _trigram(spark, sf_dir)
+    none = replace(
+        model, ngrams=model.ngrams.filter("false"), contexts=model.contexts.filter("false"), vocabulary=model.vocabulary, positions=0
+    )
+    contexts = test.select("method_id", F.slice("tokens", 1, ORDER - 1).alias("context"))
+    return score.predict_next(none, contexts).select("method_id", "n", "pred", F.round("p", _P_DECIMALS).alias("p"))
+
+
 def score_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, test = _trigram(spark, sf_dir)
     return score.score_positions(model, test).withColumn("p", F.round("p", _P_DECIMALS))
@@ -266,10 +293,10 @@ def quick_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Methods written as CSV and read back."""
+    """Methods written as CSV in the order of their ids, read back and numbered by the reader."""
     path = scratch_path(spark, "csv")
-    files.write_processed(tables.java_methods(spark, sf_dir), path)
-    return files.read_methods_csv(spark, path).select("code")
+    files.write_processed(tables.java_methods(spark, sf_dir).orderBy("method_id"), path)
+    return files.read_methods_csv(spark, path)
 
 
 def column_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,24 +307,24 @@ def column_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned methods written as CSV, read back and tokenised."""
+    """Cleaned methods written as CSV in the order of their ids, read back, numbered and tokenised."""
     path = scratch_path(spark, "processed")
-    files.write_processed(clean.clean_methods(tables.java_methods(spark, sf_dir)), path)
-    return _show_tokens(files.read_processed(spark, path)).select("tokens", "n_tokens")
+    files.write_processed(clean.clean_methods(tables.java_methods(spark, sf_dir)).orderBy("method_id"), path)
+    return _show_tokens(files.read_processed(spark, path))
 
 
 def processed_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned methods written as Parquet, read back and tokenised."""
+    """Cleaned methods written as Parquet in the order of their ids, read back, numbered and tokenised."""
     path = scratch_path(spark, "processed")
-    files.write_processed(clean.clean_methods(tables.java_methods(spark, sf_dir)), path, "parquet")
-    return _show_tokens(files.read_processed(spark, path, file_format="parquet")).select("tokens", "n_tokens")
+    files.write_processed(clean.clean_methods(tables.java_methods(spark, sf_dir)).orderBy("method_id"), path, "parquet")
+    return _show_tokens(files.read_processed(spark, path, file_format="parquet"))
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as text and read back with one method per line."""
+    """Documents written as text in the order of their ids, read back with one method per line and numbered."""
     path = scratch_path(spark, "text")
-    tables.document_texts(spark, sf_dir).select("code").write.text(path)
-    return _show_tokens(files.read_text_methods(spark, path)).select("tokens", "n_tokens")
+    tables.document_texts(spark, sf_dir).orderBy("method_id").select("code").write.text(path)
+    return _show_tokens(files.read_text_methods(spark, path))
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,6 +417,8 @@ QUERIES: dict[str, Query] = {
     "raw_probability": raw_probability,
     "interpolated_probability": interpolated_probability,
     "predict_next": predict_next,
+    "free_contexts": free_contexts,
+    "predict_without_counts": predict_without_counts,
     "score_positions": score_positions,
     "eval_metrics": eval_metrics,
     "metrics_report": metrics_report,
