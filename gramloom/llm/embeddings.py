@@ -5,9 +5,9 @@ NEAREST references that are nearest to it, in order.  Inverted lists hold, for
 each set of SHARED references and each label, the vectors that have all of them among
 their nearest: two vectors meet in a list exactly if they share that many.
 Vectors that meet are verified by their cosine in double precision, so what is
-linked is right; a pair whose descriptions share less is missed.  Measured
-against brute force on the given tables the recall is 1.0; the tests hold it
-above 0.9 for pairs close to the threshold too.
+linked is right; a pair whose descriptions share less is missed.  Recall was measured
+against brute force on 10,256 vectors with near copies (1.0) and is held by the tests, above 0.9 for
+pairs close to the threshold too; the small given tables have no pair that near.
 
 References would not tell the members of a group that holds a large share of the table
 apart but by noise, so such groups are found in the sample and compared exactly.  A sampled vector
