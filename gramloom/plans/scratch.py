@@ -10,14 +10,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
+class _Run:
+    """A folder of tables named in the order in which a run writes them; complete ones are its manifest."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+        self.written: Counter[str] = Counter()
+
+    def path(self, name: str) -> str:
+        self.written[name] += 1
+        return f"{self.folder}/{name}-{self.written[name]}"
+
+
+_run: ContextVar[_Run | None] = ContextVar("scratch_run", default=None)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder for intermediate tables; a temporary one in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,11 +57,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The file system of a path, and the path."""
+    context = spark.sparkContext
+    file = context._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(context._jsc.hadoopConfiguration()), file
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
+    """Keep the tables that are written within in one folder, and delete it when the run has ended well.
+
+    Given a folder on shared storage, a run that failed leaves it, and the same run started again in the same folder
+    reads the tables that are complete instead of writing them anew.  The run must have the
+    same inputs and settings then.  Without a folder nothing is left in either case.
+    """
+    run = _Run(folder or scratch_path(spark, "run"))
+    token = _run.set(run)
+    ended = False
+    try:
+        yield
+        ended = True
+    finally:
+        _run.reset(token)
+        if ended or folder is None:
+            system, file = _file(spark, run.folder)
+            system.delete(file, True)
+
+
 def write_table(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame once and hand back a scan of it."""
+    """Write a frame once and hand back a scan of it; within a run that goes on, a table that is complete is read."""
     spark = frame.sparkSession
-    path = scratch_path(spark, name)
-    frame.write.parquet(path)
+    run = _run.get()
+    path = run.path(name) if run else scratch_path(spark, name)
+    if run:
+        system, marker = _file(spark, f"{path}/_SUCCESS")
+        complete = system.exists(marker)
+    if not run or not complete:
+        frame.write.mode("overwrite").parquet(path)
     table = spark.read.schema(frame.schema).parquet(path)
     _paths[table] = path
     return table
@@ -52,7 +105,6 @@ def drop_tables(*tables: DataFrame) -> None:
     for table in tables:
         path = _paths.pop(table, None)
         if path is not None:
-            context = table.sparkSession.sparkContext
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            system, folder = _file(table.sparkSession, path)
+            system.delete(folder, True)
 

@@ -1,7 +1,11 @@
+import os
+
 import pytest
 from test_harvest import SCHEMA, snapshot
 
 from gramloom import jobs
+from gramloom.operators import choose
+from gramloom.plans import scratch
 from gramloom.sources import files
 
 
@@ -33,3 +37,34 @@ def test_text_file(spark, tmp_path):
     assert result.metrics.head().accuracy > 0.8
     with pytest.raises(ValueError):
         jobs.model_methods(spark)
+
+
+def test_a_run_leaves_its_outputs_only_and_goes_on_after_a_failure(spark, tmp_path, monkeypatch):
+    (tmp_path / "t.txt").write_text("\n".join(f"int f() {{ return {i % 3}; }}" for i in range(200)))
+    source, folder = str(tmp_path / "t.txt"), str(tmp_path / "run")
+    before = set(os.listdir(scratch.scratch_root(spark))) if os.path.exists(scratch.scratch_root(spark)) else set()
+    whole = jobs.model_methods(spark, training_txt=source, output_dir=str(tmp_path / "whole"), max_n=4)
+    assert set(os.listdir(scratch.scratch_root(spark))) <= before
+
+    def fails(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(choose, "final_model", fails)
+        with pytest.raises(RuntimeError):
+            jobs.model_methods(spark, training_txt=source, output_dir=str(tmp_path / "again"), max_n=4, run_folder=folder)
+    written = {name: os.path.getmtime(f"{folder}/{name}/_SUCCESS") for name in os.listdir(folder)}
+    assert {"ingested-1", "comparison-1", "order-ngrams-1"} <= set(written)
+    seen = {}
+
+    def watching(model, output_dir):
+        seen.update({name: os.path.getmtime(f"{folder}/{name}/_SUCCESS") for name in written})
+        return save(model, output_dir)
+
+    save = choose.save_model
+    monkeypatch.setattr(choose, "save_model", watching)
+    again = jobs.model_methods(spark, training_txt=source, output_dir=str(tmp_path / "again"), max_n=4, run_folder=folder)
+    assert seen == written and not os.path.exists(folder)
+    assert again.best_n == whole.best_n and again.metrics.collect() == whole.metrics.collect()
+    assert again.model.positions == whole.model.positions
+    assert sorted(again.comparison.collect()) == sorted(whole.comparison.collect())
