@@ -10,7 +10,7 @@ Documents are dealt into blocks of bounded size.  A block's n-grams are counted
 it, then shuffled by hash, where the count table forms: one row per
 n-gram and block, and the total beside each.  Totals go back to the blocks that
 asked, but only for n-grams of several blocks, since a block knows the rest, and under their
-place in the block, which is shorter than a hash; there they are joined to
+place in the block, packed by block before they are shuffled; there they are joined to
 the n-grams of each document and summed.  An n-gram has at most one row per block, so frequent ones make
 no hot key.  n-grams are told apart by 64-bit hashes.
 
@@ -23,16 +23,17 @@ long text is a block of its own size.  Only doc_id and text are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gramloom.llm.common import signed, stage, unsigned
+from gramloom.llm.common import run_starts, signed, stage
 
 ORDER = 2
 BACKOFF = 0.4
@@ -43,6 +44,8 @@ PART = 1 << 17
 #: The n-grams are counted in so many shares of their hashes, one after another: a
 #: share's shuffle is over before the next begins, which bounds the disk taken.
 WAVES = 2
+#: Totals that are sorted by block and packed together, in rows.
+PACKED = 1 << 20
 #: Stands for the number of words in place of an n-gram's hash.
 _ALL = 0
 
@@ -103,18 +106,64 @@ def _counter(order: int, wave: int, waves: int) -> Callable[[pa.Table], pa.Table
     return lambda table: _count(table, order, wave, waves)
 
 
+def _packed(batches: Iterator[pa.RecordBatch], wave: int) -> Iterator[pa.RecordBatch]:
+    """(block, wave, places, totals): a row per block for about PACKED totals, places as differences."""
+
+    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        block, at, total = (table[c].to_numpy() for c in ("block", "at", "total"))
+        order = np.lexsort((at, block))
+        block, at, total = block[order], at[order], total[order]
+        starts = run_starts(block)
+        spans = list(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True))
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(block[starts[:-1]], pa.int32()),
+                pa.array(np.full(len(spans), wave, np.int32)),
+                pa.array([squeeze(np.diff(at[b:e], prepend=0).astype("<i4").tobytes()) for b, e in spans], pa.binary()),
+                pa.array([squeeze(total[b:e].astype("<i8").tobytes()) for b, e in spans], pa.binary()),
+            ],
+            ["block", "wave", "places", "totals"],
+        )
+
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows >= PACKED:
+            yield out(held)
+            held, rows = [], 0
+    if held:
+        yield out(held)
+
+
+def _packer(wave: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: _packed(batches, wave)
+
+
+def _unpacked(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(wave, places, totals) of each packed row."""
+    spread = zstandard.ZstdDecompressor().decompress
+    for row in table.select(["wave", "places", "totals"]).to_pylist():
+        at = np.cumsum(np.frombuffer(spread(row["places"]), "<i4"), dtype=np.int64)
+        yield row["wave"], at, np.frombuffer(spread(row["totals"]), "<i8")
+
+
 def _known(words: np.ndarray, doc: np.ndarray, totals: pa.Table, order: int, waves: int) -> tuple[list, int]:
     """For n = 1..order the block's n-grams in the order of their hashes and the corpus count of each; all words."""
-    at, wave, total = (totals[c].to_numpy() for c in ("at", "wave", "total"))
     known = [np.unique(gram[whole], return_counts=True) for gram, whole in _grams(words, doc, order)]
     grams, counts = (np.concatenate(of) for of in zip(*known, strict=True))
     counts = counts.astype(np.int64)
-    for w in range(waves):
-        told = (wave == w) & (at >= 0)
-        counts[np.flatnonzero(grams % np.uint64(waves) == w)[at[told]]] = total[told]
-    everything = total[at < 0]
+    everything = len(words)
+    places = [np.flatnonzero(grams % np.uint64(waves) == w) for w in range(waves)]
+    for wave, at, total in _unpacked(totals):
+        if len(at) and at[0] < 0:
+            everything, at, total = int(total[0]), at[1:], total[1:]
+        counts[places[wave][at]] = total
     cuts = np.cumsum([len(found) for found, _ in known])[:-1]
-    return list(zip(np.split(grams, cuts), np.split(counts, cuts), strict=True)), int(everything[0] if len(everything) else len(words))
+    return list(zip(np.split(grams, cuts), np.split(counts, cuts), strict=True)), everything
 
 
 def _score_part(words: np.ndarray, doc: np.ndarray, n_docs: int, known: list, everything: int) -> list[np.ndarray]:
@@ -175,8 +224,9 @@ def score(docs: DataFrame, order: int = ORDER, block: int = BLOCK, waves: int =
     for wave in range(waves):
         counts = texts.groupBy("block").applyInArrow(_counter(order, wave, waves), "block int, at int, gram bigint, n int")
         table = counts.withColumns({"total": F.sum("n").over(same), "blocks": F.count(F.lit(1)).over(same)})
-        table = table.filter("blocks > 1").select("block", "at", F.lit(wave).alias("wave"), "total")
-        parts.append(stage(table, "totals"))
+        table = table.filter("blocks > 1").select("block", "at", "total")
+        packed = table.mapInArrow(_packer(wave), "block int, wave int, places binary, totals binary")
+        parts.append(stage(packed, "totals"))
     totals = reduce(DataFrame.unionByName, parts)
     return texts.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
         lambda t, of: _score(t, of, order, waves), SCHEMA
