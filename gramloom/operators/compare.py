@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -150,9 +151,10 @@ def fit_orders(
     )
 
 
-def _largest(name: str, n_values: Sequence[int]) -> Column:
-    columns = _each(name, n_values)
-    return F.greatest(*columns) if len(columns) > 1 else F.col(columns[0])
+def _mean(name: str, n_values: Sequence[int]) -> Column:
+    """The mean count over the models: it sums to a model's positions at most, as each model's own counts do."""
+    counts = [F.coalesce(F.col(column), F.lit(0)) for column in _each(name, n_values)]
+    return reduce(Column.__add__, counts) / len(counts)
 
 
 def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
@@ -181,7 +183,7 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         models.contexts,
         ["m", "ctx"],
         [*_each("cc", n_values), "best"],
-        _largest("cc", n_values),
+        _mean("cc", n_values),
         models.positions,
         ["gid"],
     ).filter(F.coalesce(*_each("cc", n_values)).isNotNull() | (F.col("m") == 0))
@@ -190,7 +192,7 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
         models.ngrams,
         ["m", "ctx", "target"],
         [*_each("c", n_values), "first_seen"],
-        _largest("c", n_values),
+        _mean("c", n_values),
         models.positions,
         ["gid"],
     )

@@ -22,7 +22,7 @@ from gramloom.functions.grams import (
     readable,
 )
 from gramloom.operators.fit import NGramModel, best_targets, windows
-from gramloom.plans.lookup import lookup_join
+from gramloom.plans.lookup import STORED_HASH, frequent_keys, lookup_join
 from gramloom.plans.scratch import write_table
 
 # Targets that count as punctuation.
@@ -63,15 +63,39 @@ def _context_suffixes(asked: DataFrame) -> DataFrame:
     return suffixes.withColumn("suffix", key_suffix(F.col("ctx"), F.col("m")))
 
 
-def _with_context(model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str]) -> DataFrame:
+_CONTEXT_KEYS = ["n", "m", "suffix"]
+_GRAM_KEYS = [*_CONTEXT_KEYS, "target"]
+
+
+def _bucketed(model: NGramModel) -> bool:
+    """Whether the model was loaded: its tables are bucketed and its contexts name their best targets."""
+    return STORED_HASH in model.contexts.columns
+
+
+def _frequent(model: NGramModel, asked: DataFrame, *keys: list[str]) -> list[list[int]]:
+    """Keys frequent among the questions, which a join with a bucketed table cannot split at run time."""
+    return frequent_keys(asked, *keys) if _bucketed(model) else [[] for _ in keys]
+
+
+def _asked_once(model: NGramModel, asked: DataFrame, name: str) -> DataFrame:
+    """Questions for a bucketed table are read twice, so they are written."""
+    return write_table(asked, name) if _bucketed(model) else asked
+
+
+def _with_context(
+    model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str], frequent: list[int]
+) -> DataFrame:
     contexts = model.contexts.withColumnRenamed("ctx", "suffix")
-    return lookup_join(asked, contexts, ["n", "m", "suffix"], values, F.col("cc"), model.positions, spread_by)
+    return lookup_join(
+        asked, contexts, _CONTEXT_KEYS, values, F.col("cc"), model.positions, spread_by, frequent
+    )
 
 
-def _with_count(model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str]) -> DataFrame:
-    keys = ["n", "m", "suffix", "target"]
-    ngrams = model.ngrams.withColumnRenamed("ctx", "suffix").select(*keys, "c", "first_seen")
-    return lookup_join(asked, ngrams, keys, values, F.col("c"), model.positions, spread_by)
+def _with_count(
+    model: NGramModel, asked: DataFrame, values: list[str], spread_by: list[str], frequent: list[int]
+) -> DataFrame:
+    ngrams = model.ngrams.withColumnRenamed("ctx", "suffix")
+    return lookup_join(asked, ngrams, _GRAM_KEYS, values, F.col("c"), model.positions, spread_by, frequent)
 
 
 class Smoothing(Protocol):
@@ -125,14 +149,17 @@ def _scored(model: NGramModel, pairs: DataFrame) -> DataFrame:
     `raw` is the estimate of the full context alone, 0 for an unknown one; `p`
     the interpolated one; `best` names the full context's best target and
     `correct` says whether it is the pair's.  A pair is its own key on the way, so nothing is
-    numbered or joined back to it.
+    numbered or joined back to it.  With a loaded model `pred` is the best target itself.
     """
     place = ["ctx", "target"]
-    known = _with_context(model, _context_suffixes(pairs), ["cc", "best"], place)
+    suffixes = _context_suffixes(_asked_once(model, pairs, "asked-pairs"))
+    often, often_counted = _frequent(model, suffixes, _CONTEXT_KEYS, _GRAM_KEYS)
+    of_best = ["best", "pred"] if _bucketed(model) else ["best"]
+    known = _with_context(model, suffixes, ["cc", *of_best], place, often)
     # An unknown context has no counts to look up.  The empty one stays, so
     # that every pair keeps a row.
     asked = known.filter(F.col("cc").isNotNull() | (F.col("m") == 0))
-    answers = _with_count(model, asked, ["c", "first_seen"], place).drop("suffix")
+    answers = _with_count(model, asked, ["c", "first_seen"], place, often_counted).drop("suffix")
     full = F.col("m") == F.col("length")
     raw = F.when(F.col("cc_full").isNull(), F.lit(0.0)).otherwise(
         raw_estimate(model, F.col("c_full"), F.col("cc_full"))
@@ -145,14 +172,13 @@ def _scored(model: NGramModel, pairs: DataFrame) -> DataFrame:
             *counts_per_suffix(model),
             F.max(F.when(full, F.col("c"))).alias("c_full"),
             F.max(F.when(full, F.col("cc"))).alias("cc_full"),
-            F.max(F.when(full, F.col("best"))).alias("best"),
-            F.max(F.when(full, F.col("first_seen"))).alias("first_seen"),
+            *[F.max(F.when(full, F.col(name))).alias(name) for name in (*of_best, "first_seen")],
         )
         .select(
             *pairs.columns,
             raw.alias("raw"),
             interpolate(model).alias("p"),
-            "best",
+            *of_best,
             F.coalesce(F.col("best") == F.col("first_seen"), F.lit(False)).alias("correct"),
         )
     )
@@ -160,7 +186,7 @@ def _scored(model: NGramModel, pairs: DataFrame) -> DataFrame:
 
 def pair_probabilities(model: NGramModel, pairs: DataFrame) -> DataFrame:
     """Add `raw` and `p` to distinct pairs `n, length, ctx, target, ...`."""
-    return _scored(model, pairs).drop("best", "correct")
+    return _scored(model, pairs).drop("best", "pred", "correct")
 
 
 def _answer_each(asked: DataFrame, answers: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -201,20 +227,39 @@ def probabilities(model: NGramModel, queries: DataFrame) -> DataFrame:
 
 
 def _matched(model: NGramModel, distinct: DataFrame) -> DataFrame:
-    """Add `m, best` of the longest known suffix and `cc_0 ..`, the counts of all suffixes, to distinct contexts."""
-    known = _with_context(model, _context_suffixes(distinct), ["cc", "best"], ["ctx"]).drop("suffix")
+    """Add `m, best` of the longest known suffix and `cc_0 ..`, the counts of all suffixes, to distinct contexts.
+
+    With a loaded model `pred` comes along, the best target itself.
+    """
+    suffixes = _context_suffixes(_asked_once(model, distinct, "asked-contexts"))
+    (often,) = _frequent(model, suffixes, _CONTEXT_KEYS)
+    of_best = ["best", "pred"] if _bucketed(model) else ["best"]
+    known = _with_context(model, suffixes, ["cc", *of_best], ["ctx"], often).drop("suffix")
     lengths = range(model.max_n)
     return (
         known.repartition("ctx")
         .groupBy(*distinct.columns)
         .agg(
             F.max(F.when(F.col("best").isNotNull(), F.col("m"))).alias("m"),
-            F.coalesce(*[F.max(F.when(F.col("m") == m, F.col("best"))) for m in reversed(lengths)]).alias("best"),
+            *[
+                F.coalesce(*[F.max(F.when(F.col("m") == m, F.col(name))) for m in reversed(lengths)]).alias(name)
+                for name in of_best
+            ],
             *[F.max(F.when(F.col("m") == m, F.col("cc"))).alias(f"cc_{m}") for m in lengths],
         )
     )
 
 
+def _named(model: NGramModel, matched: DataFrame) -> DataFrame:
+    """Add `pred`, the token behind `best`, to matched contexts; a loaded model has given it already."""
+    if _bucketed(model):
+        return matched
+    # A suffix that many contexts match is looked up once.
+    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx"), "best").agg(F.count(F.lit(1)).alias("asks"))
+    best = best_targets(model.ngrams, suffixes).withColumnRenamed("ctx", "suffix")
+    return lookup_join(matched, best, _CONTEXT_KEYS, ["pred"], F.col("asks"), matched.count(), ["ctx"])
+
+
 def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     """Add `n, matched, pred, p` to `context array<string>`, for every n of the model.
 
@@ -230,19 +275,14 @@ def predict_next(model: NGramModel, contexts: DataFrame) -> DataFrame:
     matched = write_table(
         _matched(model, distinct).withColumn("suffix", key_suffix(F.col("ctx"), F.col("m"))), "matched-contexts"
     )
-    # A suffix that many contexts match is looked up once.
-    suffixes = matched.groupBy("n", "m", F.col("suffix").alias("ctx"), "best").agg(F.count(F.lit(1)).alias("asks"))
-    best = best_targets(model.ngrams, suffixes).withColumnRenamed("ctx", "suffix")
-    total = matched.count()
     fallback = None if model.positions else model.vocabulary.agg(F.min("token")).head()[0]
-    predicted = lookup_join(
-        matched, best, ["n", "m", "suffix"], ["pred"], F.col("asks"), total, ["ctx"]
-    ).withColumn("target", F.coalesce("pred", F.lit(fallback).cast("string")))
+    predicted = _named(model, matched).withColumn("target", F.coalesce("pred", F.lit(fallback).cast("string")))
     carried = [*keys, "asks", "m", "target", *[f"cc_{m}" for m in range(model.max_n)]]
     known = predicted.select(*carried).withColumnRenamed("m", "matched")
     shorter = F.explode(F.sequence(F.lit(0), F.coalesce("matched", F.lit(0)))).alias("m")
     asking = known.select("*", shorter).withColumn("suffix", key_suffix(F.col("ctx"), F.col("m")))
-    counted = _with_count(model, asking, ["c"], ["ctx", "target"]).drop("suffix")
+    (often,) = _frequent(model, asking, _GRAM_KEYS)
+    counted = _with_count(model, asking, ["c"], ["ctx", "target"], often).drop("suffix")
     counts = [F.max(F.when(F.col("m") == m, F.col("c"))).alias(f"c_{m}") for m in range(model.max_n)]
     scored = counted.repartition("ctx").groupBy(*known.columns).agg(*counts)
     p = F.when(F.col("target").isNotNull(), interpolate(model)).alias("p")
@@ -269,11 +309,14 @@ def score_positions(model: NGramModel, methods: DataFrame) -> DataFrame:
     keys = ["n", "ctx", "target"]
     pairs = evaluation_pairs(methods, model).withColumnRenamed("cnt", "asks")
     scored = write_table(_scored(model, pairs).drop("raw"), "scored-pairs")
-    # Where the target is the best one it is the prediction; the others are looked up once per context.
-    wrong = scored.filter(F.col("best").isNotNull() & ~F.col("correct"))
-    contexts = wrong.select("n", F.col("length").alias("m"), "ctx", "best").distinct()
-    best = best_targets(model.ngrams, contexts).select("n", "ctx", "best", F.col("pred").alias("other"))
-    named = scored.join(best, ["n", "ctx", "best"], "left")
+    if _bucketed(model):
+        named = scored.withColumnRenamed("pred", "other")
+    else:
+        # Where the target is the best one it is the prediction; the others are looked up once per context.
+        wrong = scored.filter(F.col("best").isNotNull() & ~F.col("correct"))
+        contexts = wrong.select("n", F.col("length").alias("m"), "ctx", "best").distinct()
+        best = best_targets(model.ngrams, contexts).select("n", "ctx", "best", F.col("pred").alias("other"))
+        named = scored.join(best, ["n", "ctx", "best"], "left")
     pred = F.when(F.col("correct"), F.col("target")).otherwise(F.col("other")).alias("pred")
     answers = write_table(named.select(*keys, "asks", "p", "correct", pred), "answered-pairs")
     grams = windows(methods.select("method_id", "tokens"), model.max_n)

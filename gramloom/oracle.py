@@ -313,6 +313,10 @@ _DOCS = f"WITH docs AS MATERIALIZED ({_tokenised(_DOCUMENTS)})"
 _TRIGRAM = f"{_DOCS}, {_model_tables(3, 'docs', _TRAIN)}"
 _ALL_COUNTS = f"{_DOCS}, {_model_tables(3, 'docs', 'true')}"
 _SCORED = _with_probability(3, _asked(3, "docs", _TEST))
+_POSITIONS = f"""{_TRIGRAM} SELECT 3::INTEGER AS n, method_id, pos::INTEGER AS pos, ctx_2 AS ctx, target, pred,
+      round(p, 10) AS p, pred IS NOT DISTINCT FROM target AS correct, target IN ({_texts(PUNCTUATION)}) AS is_punct
+      FROM ({_SCORED}) s"""
+
 _TRIGRAM_METRICS = f"{_TRIGRAM} SELECT {_shown_metrics()} FROM ({_metrics(3, _SCORED)}) m"
 
 _ORDERS = range(2, 8)
@@ -514,11 +518,11 @@ ORACLE: dict[str, str] = {
     "interpolated_probability": f"""{_TRIGRAM} SELECT DISTINCT 3::INTEGER AS n, ctx_2 AS ctx, target, round(p, 10) AS p
       FROM ({_SCORED}) s""",
     "predict_next": _PREDICT,
+    "predict_next_loaded": _PREDICT,
     "free_contexts": _FREE,
     "predict_without_counts": _UNCOUNTED,
-    "score_positions": f"""{_TRIGRAM} SELECT 3::INTEGER AS n, method_id, pos::INTEGER AS pos, ctx_2 AS ctx, target, pred,
-      round(p, 10) AS p, pred IS NOT DISTINCT FROM target AS correct, target IN ({_texts(PUNCTUATION)}) AS is_punct
-      FROM ({_SCORED}) s""",
+    "score_positions": _POSITIONS,
+    "score_positions_loaded": _POSITIONS,
     "eval_metrics": _TRIGRAM_METRICS,
     "metrics_report": f"{_TRIGRAM} SELECT {_shown_metrics((3, 3))} FROM ({_metrics(3, _SCORED)}) m",
     "compare_n": f"{_COMPARISON} SELECT {_shown_metrics()} FROM comparison",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +12,42 @@ from pyspark.sql import functions as F
 # so a group has fewer than 1 / HOT_FRACTION hot keys.
 HOT_FRACTION = 1e-3
 
+# Longer keys are never hot, which bounds the bytes of a broadcast as the weights bound its rows.
+KEY_BYTES = 4096
+
+# Items that a sketch tracks for each key that it may report.
+_TRACKED_PER_KEY = 16
+
+#: In a table that is bucketed for lookups by its keys, the column that holds their hash.
+STORED_HASH = "hash"
+
 _HOT = "_hot"
 _HASH = "_hash"
 
 
+def key_hash(keys: Collection[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def frequent_keys(probe: DataFrame, *keys: list[str]) -> list[list[int]]:
+    """For each list of keys, the hashes of those that ask for more rows than an even share of a shuffle partition.
+
+    There are fewer of them than partitions.  One pass over `probe` fills sketches of bounded size; a
+    key that one counts too high is looked up by broadcast without need.
+    """
+    partitions = int(probe.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tracked = min(_TRACKED_PER_KEY * partitions, 1_000_000)
+    tops = [
+        F.call_function("approx_top_k", key_hash(names), F.lit(min(partitions, tracked)), F.lit(tracked)).alias(f"top_{i}")
+        for i, names in enumerate(keys)
+    ]
+    found = probe.agg(F.count(F.lit(1)).alias("rows"), *tops).head()
+    return [
+        [item["item"] for item in found[f"top_{i}"] or [] if item["count"] * partitions > found["rows"]]
+        for i in range(len(keys))
+    ]
+
+
 def lookup_join(
     probe: DataFrame,
     table: DataFrame,
@@ -23,32 +56,40 @@ def lookup_join(
     weight: Column,
     total: int,
     spread_by: list[str],
+    frequent: Collection[int] = (),
 ) -> DataFrame:
     """`probe` left join `table` on `keys`, adding `values`.
 
     `table` holds each key once, with a positive `weight` that sums to at most
     `total` within each group.  Hot keys, of which the weights allow fewer than
-    1,000 per group, are looked up by broadcast.  In the shuffled join that
-    serves all other keys, rows with a hot key are placed by a hash of
-    `spread_by` and so dealt out over the partitions.  A key that is frequent
-    in `probe` only is left to adaptive skew joins.
+    1,000 per group, are looked up by broadcast, and so are the keys with a hash in
+    `frequent`.  In the shuffled join that serves all other keys, rows with a hot
+    or frequent key are placed by a hash of `spread_by` and so dealt out over the
+    partitions.  A key that is frequent in `probe` only and is not named is left to adaptive
+    skew joins, which cannot split a table that is bucketed.
+
+    A table with a column STORED_HASH, the hash of `keys`, is bucketed by it and read without an exchange.
     """
-    is_hot = weight > int(HOT_FRACTION * total)
+    short = F.octet_length(F.concat_ws("", *keys)) <= KEY_BYTES
+    own = F.col(STORED_HASH) if STORED_HASH in table.columns else key_hash(keys)
+    heavy = weight > int(HOT_FRACTION * total)
+    is_hot = (heavy | own.isin(*frequent) if frequent else heavy) & short
     hot = table.filter(is_hot).select(
         *keys, *[F.col(v).alias(f"{_HOT}_{v}") for v in values], F.lit(True).alias(_HOT)
     )
-    # Sorts compare eight bytes of their first column before anything else, so
-    # joining on the hash first, the keys after it, sorts on numbers.
     cold = table.filter(~is_hot).select(
-        F.xxhash64(*keys).alias(_HASH),
-        *[F.col(name).alias(f"_cold_{name}") for name in (*keys, *values)],
+        own.alias(_HASH), *[F.col(name).alias(f"_cold_{name}") for name in (*keys, *values)]
     )
+    # All of the table's rows with a frequent hash are hot, so a question of that hash is answered
+    # by the broadcast or by nothing.
+    asked = key_hash(keys).isin(*frequent) & short if frequent else F.lit(False)
     tagged = probe.join(F.broadcast(hot), keys, "left").withColumn(
-        _HASH, F.when(F.col(_HOT), F.xxhash64(*spread_by)).otherwise(F.xxhash64(*keys))
+        _HASH, F.when(F.col(_HOT) | asked, F.xxhash64(*spread_by)).otherwise(key_hash(keys))
     )
-    # The keys decide the match, the hash only where a row goes; a hot key is
-    # not in `cold`, so a hot row finds nothing wherever it lands.
-    same_key = [F.col(k) == F.col(f"_cold_{k}") for k in keys]
+    # The hash decides where a row goes and what it is compared with, the keys whether that matches; a
+    # hot key is not in `cold`, so a hot row finds nothing wherever it lands.  Bounds in place of
+    # equalities keep the join, its sorts and its exchanges on the one number.
+    same_key = [(F.col(k) >= F.col(f"_cold_{k}")) & (F.col(k) <= F.col(f"_cold_{k}")) for k in keys]
     matches = reduce(Column.__and__, same_key, tagged[_HASH] == cold[_HASH])
     return tagged.join(cold, matches, "left").select(
         *probe.columns,

@@ -64,6 +64,18 @@ def _file(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     return file.getFileSystem(context._jsc.hadoopConfiguration()), file
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, from the working folder if it is relative; catalogs have other ideas of relative ones."""
+    system, file = _file(spark, path)
+    return system.makeQualified(file).toString()
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, if it is there."""
+    system, folder = _file(spark, path)
+    system.delete(folder, True)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession, folder: str | None = None) -> Iterator[None]:
     """Keep the tables that are written within in one folder, and delete it when the run has ended well.
@@ -81,8 +93,7 @@ def scratch_run(spark: SparkSession, folder: str | None = None) -> Iterator[None
     finally:
         _run.reset(token)
         if ended or folder is None:
-            system, file = _file(spark, run.folder)
-            system.delete(file, True)
+            delete_folder(spark, run.folder)
 
 
 def write_table(frame: DataFrame, name: str) -> DataFrame:
@@ -105,6 +116,5 @@ def drop_tables(*tables: DataFrame) -> None:
     for table in tables:
         path = _paths.pop(table, None)
         if path is not None:
-            system, folder = _file(table.sparkSession, path)
-            system.delete(folder, True)
+            delete_folder(table.sparkSession, path)
 

@@ -197,9 +197,7 @@ def interpolated_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pair_probabilities(spark, sf_dir, "p")
 
 
-def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A prediction after every prefix of every test document, from its last three tokens."""
-    model, test = _trigram(spark, sf_dir)
+def _predictions(model: fit.NGramModel, test: DataFrame) -> DataFrame:
     prefixes = test.select("method_id", pad_tokens(F.col("tokens"), ORDER + 1).alias("padded")).select(
         "method_id", "padded", F.explode(F.sequence(F.lit(0), F.size("padded") - ORDER - 1)).alias("pos")
     )
@@ -213,6 +211,26 @@ def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def predict_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prediction after every prefix of every test document, from its last three tokens."""
+    return _predictions(*_trigram(spark, sf_dir))
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[fit.NGramModel, DataFrame]:
+    model, test = _trigram(spark, sf_dir)
+    return models.load_model(spark, models.save_model(model, scratch_path(spark, "saved"))), test
+
+
+def predict_next_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same predictions from a saved model, whose buckets the questions are dealt to."""
+    return _predictions(*_loaded(spark, sf_dir))
+
+
+def score_positions_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of all positions from a saved model, whose buckets the questions are dealt to."""
+    return score.score_positions(*_loaded(spark, sf_dir)).withColumn("p", F.round("p", _P_DECIMALS))
+
+
 def free_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw and interpolated probability of every test token after none to three tokens; three are too many for the model."""
     model, test = _trigram(spark, sf_dir)
@@ -329,9 +347,7 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of a model that was saved and loaded."""
-    model, test = _trigram(spark, sf_dir)
-    path = models.save_model(model, scratch_path(spark, "saved"))
-    return _show_metrics(score.evaluate(models.load_model(spark, path), test))
+    return _show_metrics(score.evaluate(*_loaded(spark, sf_dir)))
 
 
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,9 +433,11 @@ QUERIES: dict[str, Query] = {
     "raw_probability": raw_probability,
     "interpolated_probability": interpolated_probability,
     "predict_next": predict_next,
+    "predict_next_loaded": predict_next_loaded,
     "free_contexts": free_contexts,
     "predict_without_counts": predict_without_counts,
     "score_positions": score_positions,
+    "score_positions_loaded": score_positions_loaded,
     "eval_metrics": eval_metrics,
     "metrics_report": metrics_report,
     "compare_n": compare_n,

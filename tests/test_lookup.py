@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from gramloom.plans.lookup import lookup_join
+from gramloom.plans.lookup import KEY_BYTES, STORED_HASH, frequent_keys, key_hash, lookup_join
 
 
 def test_hot_and_cold_keys_and_misses(spark):
@@ -39,3 +39,39 @@ def test_hot_rows_are_dealt_out_over_the_partitions(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert "hashpartitioning(_hash" in plan
     assert sum(sizes) == 40_000 and max(sizes) < 1.3 * 40_000 / len(sizes)
+
+
+def test_keys_frequent_among_the_questions_only_are_dealt_out(spark):
+    """A third of the questions ask for one key that the table knows but rates as rare, a third for one that it lacks."""
+    table = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("w"), "id")
+    key = F.when(F.col("id") % 3 == 0, "7").when(F.col("id") % 3 == 1, "unknown").otherwise((F.col("id") % 3000).cast("string"))
+    probe = spark.range(60_000).select(F.col("id").alias("gid"), key.alias("k"))
+    (often,) = frequent_keys(probe, ["k"])
+    hashes = {r.k: r.h for r in probe.select("k", key_hash(["k"]).alias("h")).distinct().collect()}
+    assert set(often) == {hashes["7"], hashes["unknown"]}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for known in (table, table.withColumn(STORED_HASH, key_hash(["k"]))):
+            joined = lookup_join(probe, known, ["k"], ["id"], F.col("w"), 3000, ["gid"], often).cache()
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+            assert sum(sizes) == 60_000 and max(sizes) < 1.3 * 60_000 / len(sizes)
+            assert joined.filter("k = '7' and id = 7").count() == 20_000
+            assert joined.filter("id is null").count() == joined.filter("k = 'unknown'").count() == 20_000
+            joined.unpersist()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_long_keys_are_not_broadcast_and_still_found(frame):
+    long = "x" * (KEY_BYTES + 1)
+    table = frame([(long, 900, 1), ("b", 100, 2)], "k string, w int, v int")
+    probe = frame([(0, long), (1, "b"), (2, None), (3, "c")], "gid int, k string")
+    (often,) = frequent_keys(probe, ["k"])
+    joined = lookup_join(probe, table, ["k"], ["v"], F.col("w"), 1000, ["gid"], often)
+    assert {r.gid: r.v for r in joined.collect()} == {0: 1, 1: 2, 2: None, 3: None}
+
+
+def test_frequent_keys_of_nothing(frame):
+    assert frequent_keys(frame([], "k string"), ["k"]) == [[]]

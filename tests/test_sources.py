@@ -1,5 +1,6 @@
 import json
 import math
+import os
 import tempfile
 
 import pytest
@@ -81,6 +82,68 @@ def test_model_roundtrip(methods, spark, tmp_path):
     assert models.load_model(spark, str(tmp_path / "nowhere")) is None
 
 
+def test_loaded_model_answers_like_the_fitted_one(methods, frame, spark, tmp_path):
+    words = ["a", "b", "c", "x\x1fy", "long" * 1500]
+    texts = [[words[(i * i + j * (i % 3 + 1)) % len(words)] for j in range(i % 7 + 1)] for i in range(60)]
+    model = fit.fit(methods(texts), [1, 2, 3])
+    test = methods([["a", "b", "c"], ["new", "a"], ["x\x1fy", "b", "a", "long" * 1500, "a"]])
+    asked = frame([(["a"], "b"), ([], "a"), (["new", "b"], "c"), (["a", "b", "c", "a"], "b")], "context array<string>, token string")
+    for buckets in (3, 8):
+        loaded = models.load_model(spark, models.save_model(model, str(tmp_path / "it's"), buckets=buckets))
+        assert loaded.contexts.count() == model.contexts.count()
+        for operator, question in (
+            (score.evaluate, test), (score.score_positions, test), (score.probabilities, asked), (score.predict_next, asked.drop("token")),
+        ):
+            first, second = (operator(m, question) for m in (model, loaded))
+            assert first.columns == second.columns
+            assert sorted(map(str, first.collect())) == sorted(map(str, second.collect()))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("gramloom")]
+
+
+def test_model_is_read_without_an_exchange(methods, spark, tmp_path):
+    model = fit.fit(methods([["a", "b", "a"], ["a", "c"]]), 3)
+    loaded = models.load_model(spark, models.save_model(model, str(tmp_path), buckets=3))
+    pairs = score.evaluation_pairs(methods([["a", "b", "c"]]), loaded)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = score.pair_probabilities(loaded, pairs)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    read_by = []
+
+    def walk(node, above):
+        name = node.nodeName()
+        above = above + [name] if "Exchange" in name or "Join" in name else above
+        if name.startswith("Scan parquet") and "Bucketed: true" in node.toString():
+            read_by.append(above[-1])
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), above)
+
+    walk(plan, [])
+    # Hot keys go by broadcast, all others meet the questions in the model's own buckets.
+    assert read_by.count("SortMergeJoin") == 2 and set(read_by) <= {"SortMergeJoin", "BroadcastExchange"}, plan.toString()
+    assert plan.toString().count("hashpartitioning(_hash") == 2
+
+
+def test_model_is_not_saved_over_itself(methods, spark, tmp_path):
+    model = fit.fit(methods([["a", "b"]]), 2)
+    loaded = models.load_model(spark, models.save_model(model, str(tmp_path)))
+    with pytest.raises(ValueError, match="over itself"):
+        models.save_model(loaded, str(tmp_path))
+    again = models.load_model(spark, models.save_model(loaded, str(tmp_path / "copy")))
+    assert sorted(map(str, again.contexts.collect())) == sorted(map(str, loaded.contexts.collect()))
+
+
+def test_relative_folders(methods, spark, tmp_path):
+    folder = os.path.relpath(tmp_path / "models")
+    models.save_model(fit.fit(methods([["a", "b"]]), 2), folder)
+    assert (tmp_path / "models" / models.DEFAULT_NAME / "ngrams" / "_SUCCESS").exists()
+    assert models.load_model(spark, f"{folder}/{models.DEFAULT_NAME}").positions == 3
+
+
 def test_scratch_root_on_a_cluster(spark, monkeypatch):
     class Context:
         applicationId = "app-1"
