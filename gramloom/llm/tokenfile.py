@@ -10,8 +10,9 @@ Files are Parquet, written by Spark to any storage it reaches.  A row is a
 segment: whole documents in ascending id order, with their ends, and the
 levels, bitmaps and directories of their ids.
 
-Null text: empty, only the end id.  Null ids come first.  Repeated rows stand one
-after another.  Empty table: files without segments, no rows.  A text of any
+Null text: empty, only the end id.  Null ids come first.  Rows of one id are in the order of a hash of their
+texts, so repeated rows stand one after another, files and places are the same in every run, and different texts of one id, or
+of none, are dealt over tasks.  Empty table: files without segments, no rows.  A text of any
 length stays in one segment.  Only doc_id and text are read.
 """
 
@@ -138,7 +139,8 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterato
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end: int = END) -> None:
     """Write the ids of all texts, documents in ascending id order over parts and segments."""
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"))
-    texts = texts.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text")]
+    texts = texts.repartitionByRange(shuffle_partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     texts.mapInArrow(lambda batches: _segments(batches, tokenizer, end), FILE_SCHEMA).write.parquet(folder)
 
 
@@ -178,6 +180,36 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return files.drop("n_ids").join(bases, ["part", "segment"]).mapInArrow(_read, ROW_SCHEMA)
 
 
+def _read_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            codes = Codes(row["levels"], row["bitmaps"], row["ranks"])
+            inside = np.sort(np.array(row["asked"], np.int64))
+            document = np.searchsorted(np.array(row["doc_ends"], np.int64), inside, "right")
+            ids = [row["doc_ids"][i] for i in document.tolist()]
+            columns = [row["base"] + inside, ids, [codes[at] for at in inside.tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["place", "doc_id", "token"])
+
+
+def tokens_at(spark: SparkSession, folder: str, places: DataFrame) -> DataFrame:
+    """(place, doc_id, token) for the column `place` of a table: single ids by their places in all of the corpus.
+
+    A place finds its segment by an equi-join of bins.  Only segments that are asked go on, and of those only the chunks
+    of the asked ids are read.  A place that is asked several times is answered once, one
+    that is null or outside the corpus not at all.
+    """
+    files = spark.read.schema(FILE_SCHEMA).parquet(folder)
+    sizes = files.select("part", "segment", "n_ids")
+    bin_of = F.floor(F.col("at") / SEGMENT_IDS)
+    last = F.col("base") + F.col("n_ids") - 1
+    bins = F.sequence(F.floor(F.col("base") / SEGMENT_IDS), F.floor(last / SEGMENT_IDS))
+    held = sizes.join(segment_bases(sizes), ["part", "segment"]).select("part", "segment", "base", last.alias("last"), F.explode(bins).alias("bin"))
+    asked = places.select(places["place"].cast("bigint").alias("at")).distinct().withColumn("bin", bin_of)
+    met = asked.join(held, "bin").filter("at between base and last")
+    each = met.groupBy("part", "segment", "base").agg(F.collect_list(F.col("at") - F.col("base")).alias("asked"))
+    return files.drop("n_ids").join(each, ["part", "segment"]).mapInArrow(_read_places, "place bigint, doc_id bigint, token bigint")
+
+
 def roundtrip(docs: DataFrame, tokenizer: str) -> DataFrame:
     folder = scratch_path(docs.sparkSession, "tokens")
     write_tokens(docs, tokenizer, folder)

@@ -335,6 +335,39 @@ def test_token_file(docs, empty):
     assert ordered == sorted(ordered, key=lambda x: (x is not None, x or 0))
 
 
+def test_tokens_by_place(spark, docs, empty, tmp_path, monkeypatch):
+    monkeypatch.setattr(tokenfile, "SEGMENT_IDS", 50)
+    folder, none = str(tmp_path / "tokens"), str(tmp_path / "none")
+    tokenfile.write_tokens(docs, PATH, folder)
+    tokens = encoder(PATH).tokenizer
+    texts = {}
+    for r in docs.collect():
+        ids = [*tokens.encode(r.text or "", add_special_tokens=False).ids, 1]
+        texts[(r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] = ids
+    expected = {}
+    for r in tokenfile.read_tokens(spark, folder).collect():
+        for at, token in enumerate(texts[(r.doc_id, r.n_tokens, r.ids_crc32)]):
+            expected[r.start + at] = (r.doc_id, token)
+    n = len(expected)
+    assert sorted(expected) == list(range(n)) and n > 100
+    found = tokenfile.tokens_at(spark, folder, spark.range(-5, n + 5).select(F.col("id").alias("place"))).collect()
+    assert len(found) == n and {r.place: (r.doc_id, r.token) for r in found} == expected
+    some = spark.createDataFrame([(n - 1,), (0,), (None,), (0,), (n,)], "place int")
+    found = tokenfile.tokens_at(spark, folder, some).collect()
+    assert sorted((r.place, r.doc_id, r.token) for r in found if r.place) == [(n - 1, *expected[n - 1])] and len(found) == 2
+    tokenfile.write_tokens(empty, PATH, none)
+    assert tokenfile.tokens_at(spark, none, some).collect() == []
+
+
+def test_texts_of_one_id_have_one_order(spark):
+    rows = [(None if i % 3 else 7, f"text number {i % 40}") for i in range(300)]
+    first, second = (
+        tokenfile.roundtrip(spark.createDataFrame(r, "doc_id bigint, text string").repartition(k), PATH)
+        for r, k in ((rows, 3), (rows[::-1], 7))
+    )
+    assert sorted(map(str, first.collect())) == sorted(map(str, second.collect()))
+
+
 def test_codes():
     rng = np.random.default_rng(1)
     for n in (1, 511, 512, 513, 5000):
