@@ -27,7 +27,7 @@ def harvest_methods(
 ) -> None:
     """Methods of the listed Java repositories as CSV or Parquet: all, or the first `limit` of them."""
     with scratch_run(spark, run_folder):
-        listed = harvest.java_repositories(files.read_repositories(spark, repositories_csv))
+        listed = harvest.java_repositories(files.read_repository_list(spark, repositories_csv))
         sources = harvest.java_files(harvest.repository_files(listed, snapshots))
         methods = harvest.extract_methods(sources)
         if limit is not None:

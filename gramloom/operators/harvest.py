@@ -57,6 +57,7 @@ _TYPE = rf"(?:^|[{WHITESPACE}@])(?:class|interface|enum|record){_SPACE}+{IDENTIF
 _IMPLEMENTS = rf"^implements{_SPACE}"
 _BLOCK = rf"(?:^|[=\]:,]|(?:^|{_SPACE})(?:static|else|try|do|finally)){_SPACE}*\{{$"
 
+_TEXT = "_text"
 _STATEMENT_ENDS = ("{", "}", ";")
 
 #: Segments of a file that are worked on together.
@@ -68,14 +69,15 @@ def java_repositories(repositories: DataFrame, language: str = LANGUAGE) -> Data
 
 
 def repository_files(repositories: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """The snapshots of each listed repository's default branch.
+    """The snapshots of each listed repository's default branch, with `listed` if the list has numbers.
 
     One repository may own a large part of all files.  Adaptive execution splits
     its partition into as many tasks as its bytes ask for, each with the one short
     row of the list beside it.
     """
-    listed = repositories.select(F.col("name").alias("repo"), F.col("defaultBranch").alias("branch"))
-    return snapshots.join(listed, ["repo", "branch"]).select(*snapshots.columns)
+    place = [c for c in repositories.columns if c == "listed"]
+    listed = repositories.select(F.col("name").alias("repo"), F.col("defaultBranch").alias("branch"), *place)
+    return snapshots.join(listed, ["repo", "branch"]).select(*snapshots.columns, *place)
 
 
 def java_files(files: DataFrame, suffix: str = FILE_SUFFIX) -> DataFrame:
@@ -432,17 +434,19 @@ def with_provenance(methods: DataFrame, host: str = HOST) -> DataFrame:
 def cap_methods(methods: DataFrame, limit: int) -> DataFrame:
     """The first `limit` methods in order of repository, commit, file and place in the file.
 
-    Nulls come first; methods that still tie are ordered by branch and commit hash.
+    Repositories come in the order of the list, if the methods carry `listed`, else of their names.
+    Nulls come first; methods that still tie are ordered by branch, commit hash and a hash of their text.
     A top-k over the rows would send `limit` texts per partition to one task.
     Instead the cut is located by counting, one level of the order after the
     other, with at most `limit` counts each; the rows are then only filtered.
     """
-    table = write_table(methods, "methods")
+    text = [F.xxhash64("method_code").alias(_TEXT)] if "method_code" in methods.columns else []
+    table = write_table(methods.select("*", *text), "methods")
     at_cut, kept = F.lit(True), F.lit(False)
-    levels = ["repo", "commit_seq", "file_name", "ordinal"]
-    for level in levels + [c for c in ("branch", "commit_hash") if c in methods.columns]:
+    levels = ("listed", "repo", "commit_seq", "file_name", "ordinal", "branch", "commit_hash", _TEXT)
+    for level in [c for c in levels if c in table.columns]:
         if limit <= 0:
-            return table.filter(kept)
+            return table.filter(kept).drop(_TEXT)
         counts = table.filter(at_cut).groupBy(level).count().orderBy(F.asc_nulls_first(level)).limit(limit).collect()
         here = None
         for row in counts:
@@ -454,11 +458,11 @@ def cap_methods(methods: DataFrame, limit: int) -> DataFrame:
             if counts:
                 last = counts[-1][level]
                 kept = kept | (at_cut & (_before(level, last) | F.col(level).eqNullSafe(F.lit(last))))
-            return table.filter(kept)
+            return table.filter(kept).drop(_TEXT)
         kept = kept | (at_cut & _before(level, here[level]))
         at_cut = at_cut & F.col(level).eqNullSafe(F.lit(here[level]))
     copies = table.filter(at_cut).limit(limit)
-    return table.filter(kept).unionByName(copies)
+    return table.filter(kept).unionByName(copies).drop(_TEXT)
 
 
 def _before(level: str, value) -> Column:

@@ -546,4 +546,6 @@ ORACLE: dict[str, str] = {
       concat('https://github.com/', repo, '/commit/', commit_hash) AS commit_link FROM ({_EXTRACTED}) e""",
     "method_cap": f"""SELECT * FROM ({_EXTRACTED}) e
       ORDER BY repo, commit_seq, file_name, ordinal LIMIT 500""",
+    "method_cap_listed": f"""SELECT * FROM ({_EXTRACTED}) e
+      ORDER BY repo DESC, commit_seq, file_name, ordinal LIMIT 500""",
 }

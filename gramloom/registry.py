@@ -384,6 +384,15 @@ def _java_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return harvest.java_files(_repo_files(spark, sf_dir))
 
 
+def method_cap_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 500 methods of a list that was written as CSV against the order of names."""
+    path = scratch_path(spark, "repositories")
+    tables.repositories(spark, sf_dir).orderBy(F.desc("name")).write.option("header", True).csv(path)
+    listed = harvest.java_repositories(files.read_repository_list(spark, path))
+    sources = harvest.java_files(harvest.repository_files(listed, tables.file_snapshots(spark, sf_dir)))
+    return harvest.cap_methods(harvest.extract_methods(sources), 500).drop("listed")
+
+
 def repo_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _repo_files(spark, sf_dir)
 
@@ -459,4 +468,5 @@ QUERIES: dict[str, Query] = {
     "extract_methods": extract_methods,
     "method_provenance": method_provenance,
     "method_cap": method_cap,
+    "method_cap_listed": method_cap_listed,
 }

@@ -133,6 +133,12 @@ def read_repositories(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path).select(*REPOSITORY_COLUMNS)
 
 
+def read_repository_list(spark: SparkSession, path: str) -> DataFrame:
+    """The repository list with `listed`, each row's number in the list from 0."""
+    rows = _with_place(read_csv(spark, path)).select(*REPOSITORY_COLUMNS, _FILE, _BLOCK)
+    return ingest(rows).withColumnRenamed("method_id", "listed")
+
+
 def write_processed(methods: DataFrame, path: str, file_format: str = "csv") -> None:
     """Cleaned methods with the one processed column."""
     write_any(methods.select(F.col("code").alias(PROCESSED_COLUMN)), path, file_format)

@@ -220,6 +220,21 @@ def test_cap_with_nulls_and_ties(spark, limit):
     assert sorted(map(str, map(tuple, capped))) == sorted(map(str, ordered[:limit]))
 
 
+@pytest.mark.parametrize("limit", [3, 10, 25])
+def test_cap_in_list_order_and_by_text(spark, limit):
+    """Snapshots that are equal in all but their text are told apart by it, in every layout alike."""
+    rows = [(9 - i // 10, f"r{i // 10}", 1, "A.java", 0, f"int f{i}()") for i in range(30)]
+    schema = "listed bigint, repo string, commit_seq bigint, file_name string, ordinal int, method_code string"
+    first, second = (
+        harvest.cap_methods(spark.createDataFrame(r, schema).repartition(k), limit) for r, k in ((rows, 2), (rows[::-1], 5))
+    )
+    assert first.columns == [part.split()[0] for part in schema.split(", ")]
+    kept = sorted(map(tuple, first.collect()))
+    assert kept == sorted(map(tuple, second.collect())) and len(kept) == limit
+    whole = [r for r in rows if r[0] < kept[-1][0]]
+    assert kept[0][0] == 7 and set(whole) <= set(kept)
+
+
 def test_unbalanced_parentheses(spark):
     broken = "class A {\n void broken( { }\n int f() { return 1; }\n}\n"
     files = spark.createDataFrame([("r", "main", "h", 1, "A.java", broken)],

@@ -55,6 +55,7 @@ def test_extracted_columns(frame, spark, tmp_path):
 def test_repositories(spark, tmp_path):
     (tmp_path / "r.csv").write_text("id,name,defaultBranch,mainLanguage\n1,o/r,main,Java\n")
     assert tuple(files.read_repositories(spark, str(tmp_path / "r.csv")).head()) == ("o/r", "main", "Java")
+    assert tuple(files.read_repository_list(spark, str(tmp_path / "r.csv")).head()) == (0, "o/r", "main", "Java")
 
 
 METRICS = "n int, accuracy double, perplexity double, perplexity_no_punctuation double, vocabulary_size bigint"
