@@ -63,6 +63,9 @@ _STATEMENT_ENDS = ("{", "}", ";")
 #: Segments of a file that are worked on together.
 BLOCK = 512
 
+#: Segments that one task sorts, on average at most; their rows take a few KB each while they are measured.
+SEGMENTS_PER_TASK = 1 << 17
+
 
 def java_repositories(repositories: DataFrame, language: str = LANGUAGE) -> DataFrame:
     return repositories.filter(F.col("mainLanguage") == language)
@@ -186,11 +189,24 @@ def _is_stop(segment: Column) -> Column:
     return F.right(segment, F.lit(1)).isin("(", ")", "{", "}", ";")
 
 
+def _dealt(blocks: DataFrame, per_task: int = SEGMENTS_PER_TASK) -> DataFrame:
+    """Blocks dealt out so that a task's segments are bounded, however many there are.
+
+    Adaptive execution merges partitions by the bytes of the packed texts, which say little about the rows made of them,
+    so from some size on the number of partitions is given.
+    """
+    spark = blocks.sparkSession
+    tasks = (blocks.agg(F.sum(F.size("segments"))).head()[0] or 0) // per_task + 1
+    if tasks <= spark.sparkContext.defaultParallelism:
+        return blocks.repartition("chunk")
+    return blocks.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
+
+
 def _segments(blocks: DataFrame) -> DataFrame:
     """A row per segment: its chunk, place `at` in it, and what it opens; no texts."""
     at = F.col("at")
     # Blocks move to their windows before they are cut up, so texts are searched in as many tasks as there are partitions.
-    rows = blocks.repartition("chunk").select(
+    rows = _dealt(blocks).select(
         "chunk", "before", "after", "kinds", "last_start", F.posexplode("segments").alias("at", "segment")
     )
     edges = {

@@ -240,3 +240,16 @@ def test_unbalanced_parentheses(spark):
     files = spark.createDataFrame([("r", "main", "h", 1, "A.java", broken)],
         "repo string, branch string, commit_hash string, commit_seq bigint, file_name string, source_code string")
     assert harvest.extract_methods(files).collect() == []
+
+
+def test_segments_of_a_task_are_bounded(spark):
+    """Adaptive execution would merge these blocks into a task or two, as their texts take few bytes."""
+    code = "class A {" + "int f() { return 1; }" * 1000 + "}"
+    files = spark.createDataFrame([(i, code) for i in range(40)], "id int, source_code string")
+    blocks = harvest.cut_files(files)
+    dealt = harvest._dealt(blocks, per_task=2000)
+    held = dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.size("segments")).alias("n")).collect()
+    total = sum(r.n for r in held)
+    assert total == blocks.agg(F.sum(F.size("segments"))).head()[0] > 40 * 3000
+    assert dealt.rdd.getNumPartitions() >= total // 2000 and max(r.n for r in held) < 10_000
+    assert harvest._dealt(blocks).rdd.getNumPartitions() <= 4
