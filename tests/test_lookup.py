@@ -75,3 +75,14 @@ def test_long_keys_are_not_broadcast_and_still_found(frame):
 
 def test_frequent_keys_of_nothing(frame):
     assert frequent_keys(frame([], "k string"), ["k"]) == [[]]
+
+
+def test_keys_travel_as_one_string_and_nulls_match_nothing(spark, frame):
+    """Rows of one hash are told apart by their keys, which are dealt out in one column."""
+    table = frame([(1, "", "a", 7), (1, "a", "", 8), (11, "", "a", 9), (1, None, "a", 5)], "n int, ctx string, target string, v int")
+    asked = [(0, 1, "", "a"), (1, 1, "a", ""), (2, 11, "", "a"), (3, 1, None, "a"), (4, 1, "a", None), (5, 1, "a", "a")]
+    joined = lookup_join(
+        frame(asked, "gid int, n int, ctx string, target string"), table, ["n", "ctx", "target"], ["v"], F.lit(0), 1, ["gid"]
+    )
+    assert {r.gid: r.v for r in joined.collect()} == {0: 7, 1: 8, 2: 9, 3: None, 4: None, 5: None}
+    assert "_cold_keys" in joined._jdf.queryExecution().optimizedPlan().toString()
