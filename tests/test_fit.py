@@ -144,3 +144,38 @@ def test_parameters_are_checked(methods):
 def test_counting_stays_in_hash_aggregation(methods):
     plan = fit.ngram_counts(methods(GOLDEN), [3])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Python" not in plan
+
+
+def test_contexts_and_shorter_grams_come_from_one_aggregation(methods):
+    """A level is counted once and read as grams and as contexts; contexts that are asked for counts alone carry no more."""
+    data = methods(corpus(17))
+    levels = fit.gram_levels(data, [2, 4])
+    ngrams = levels.ngrams()
+    apart = {tuple(r) for r in fit.context_counts(ngrams).collect()}
+    assert {tuple(r) for r in fit.context_counts(levels).select("n", "m", "ctx", "cc", "best").collect()} == apart
+    assert {tuple(r) for r in ngrams.collect()} == {tuple(r) for r in fit.fit(data, [2, 4]).ngrams.collect()}
+    plan = fit.context_counts(fit.gram_levels(data, [3])).select("n", "m", "ctx", "cc")._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(" not in plan and "max(" not in plan
+
+
+def test_best_targets_are_named_by_place_alone(methods):
+    """What is dealt out to name best targets holds no contexts."""
+    model = fit.fit(methods(corpus(19)), 3)
+    plan = fit.best_targets(model.ngrams, model.contexts)._jdf.queryExecution().optimizedPlan().toString()
+    (keys,) = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "ctx" not in keys and "best" in keys
+
+
+def test_first_methods_come_along_with_the_counts(methods):
+    """Repeated and null ids too: the method is that of the lowest place, without a join."""
+    placed = corpora.place_methods(methods([(5, ["a", "b"]), (None, ["b"]), (5, ["c", "a"]), (-1, ["c"])]))
+    joined = corpora.first_positions(fit.ngram_counts(placed, [2]), "first_seen", placed)
+    carried = corpora.first_positions(
+        fit.ngram_counts(placed.withColumn(corpora.FIRST_METHOD, F.col("method_id")), [2]), "first_seen", placed
+    )
+    assert sorted(map(str, carried.collect())) == sorted(map(str, joined.select(carried.columns).collect()))
+
+    def joins(rows):
+        return rows._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(carried) < joins(joined)
