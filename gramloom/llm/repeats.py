@@ -43,10 +43,12 @@ LENGTH = 100
 GRAM = 32
 #: Strings of one segment at most; contents stay below this plus LENGTH bytes.
 SEGMENT = 4096
-#: Bytes that one transform holds, but for the last segment.
+#: Bytes of one hash's segments that are compared in one transform; a hash with more is dealt over blocks.
 BLOCK = 1 << 20
-#: Bytes of texts that are hashed together; places in them fit _PLACE_BITS.
-_BUFFER = 1 << 22
+#: Bytes of segments from which on a transform takes no further hash; small enough for a processor's cache.
+_BATCH = 1 << 17
+#: Bytes of texts that are hashed together, as small for the same reason; places in them fit _PLACE_BITS.
+_BUFFER = 1 << 18
 _PLACE_BITS = np.uint64(24)
 #: Places of one document at most.
 _PLACES = 1 << 40
@@ -321,7 +323,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.append(0, np.cumsum(np.array(pc.binary_length(table["content"]))))
         done = 0
         for k in range(1, len(runs) - 1):
-            if sizes[runs[k]] - sizes[done] >= BLOCK:
+            if sizes[runs[k]] - sizes[done] >= min(_BATCH, BLOCK):
                 yield solve(table.slice(done, int(runs[k]) - done))
                 done = int(runs[k])
         held = table.slice(done).to_batches()
@@ -402,16 +404,20 @@ def removed_spans(texts: DataFrame) -> DataFrame:
         _anchors, "key bigint, anchor bigint, start bigint, n int, places int"
     )
     anchors = stage(anchors, "anchors")
+    # Each shuffle's files are gone before those of the next are written, which bounds the disk taken.
     often = anchors.groupBy("anchor").agg(F.sum("places").alias("times")).filter("times > 1").select("anchor")
+    often = stage(often, "often")
     ref = F.struct("anchor", "start", "n")
     refs = anchors.join(often, "anchor", "left_semi").groupBy("key").agg(F.collect_list(ref).alias("refs"))
     refs = stage(refs, "refs")
-    drop_tables(anchors)
+    drop_tables(anchors, often)
     contents = texts.select("key", "text").join(refs, "key").select("key", "text", "refs").mapInArrow(
         _contents, "anchor bigint, content binary, key bigint, start bigint"
     )
+    contents = stage(contents, "contents")
     distinct = contents.groupBy("anchor", "content").agg(F.min(_place()).alias("first"))
     distinct = stage(distinct, "distinct")
+    drop_tables(contents)
     sizes = distinct.groupBy("anchor").agg(F.sum(F.length("content")).alias("size"))
     sizes = sizes.select("anchor", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     blocks = distinct.join(sizes, "anchor").withColumn(

@@ -9,6 +9,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -561,3 +562,24 @@ def test_first_strings():
         for d, t in enumerate(contents):
             expected += [len(t) - i >= 100 and first.setdefault(t[i : i + 100], (d, i)) == (d, i) for i in range(len(t) + 1)]
         assert repeats.first_strings(contents, np.arange(8)).tolist() == expected
+
+
+def test_transforms_of_repeats_fit_a_cache(monkeypatch):
+    rng, sizes, solve = random.Random(3), [], repeats.first_strings
+    contents = [rng.randbytes(150) for _ in range(4000)]
+    monkeypatch.setattr(repeats, "first_strings", lambda held, ranks: sizes.append(sum(map(len, held))) or solve(held, ranks))
+    numbers = pa.array(range(len(contents)))
+    one = pa.array([1] * len(contents), pa.int32())
+    batch = pa.RecordBatch.from_arrays(
+        [numbers, one, one, pa.array(contents), numbers, numbers], ["anchor", "block", "blocks", "content", "key", "start"]
+    )
+    kept = [b for b in repeats._kept(iter([batch]))]
+    assert sum(sum(b["n"].to_pylist()) for b in kept) == 51 * len(contents)
+    assert len(sizes) > 1 and max(sizes) < 2 * repeats._BATCH
+
+
+def test_shuffles_of_repeats_end_one_by_one(docs, monkeypatch):
+    names, write = [], repeats.stage
+    monkeypatch.setattr(repeats, "stage", lambda frame, name: names.append(name) or write(frame, name))
+    repeats.removed_spans(docs.filter("doc_id is not null").select(F.col("doc_id").alias("key"), "text"))
+    assert names == ["anchors", "often", "refs", "contents", "distinct", "kept", "spans"]
