@@ -28,6 +28,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -53,19 +54,23 @@ SCHEMA = "doc_id bigint, n_words bigint, n_backoff bigint, score double"
 
 
 def _words(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, texts end to end, and each word's text."""
-    known: dict[bytes, int] = {}
-    digest = xxhash.xxh64_intdigest
-    found, counts = [], []
-    for text in texts:
-        words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-        for word in words:
-            if word not in known:
-                known[word] = digest(word)
-        found.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-        counts.append(len(words))
-    hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
-    return hashes, np.repeat(np.arange(len(counts)), counts)
+    """Hashes of all words, texts end to end, and each word's text.
+
+    Arrow cuts the texts and numbers the words, so that each distinct word alone is hashed.
+    """
+    whole = pc.fill_null(texts.cast(pa.large_string()).combine_chunks(), "")
+    lists = pc.ascii_split_whitespace(whole)
+    counts = np.diff(lists.offsets.to_numpy())
+    coded = lists.flatten().dictionary_encode()
+    known = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+    places, doc = coded.indices.to_numpy(), np.repeat(np.arange(len(counts)), counts)
+    # White space at the edge of a text leaves an empty word there.
+    empty = [place for place, word in enumerate(known) if not word]
+    if empty:
+        real = places != empty[0]
+        places, doc = places[real], doc[real]
+    return hashes[places], doc
 
 
 def _grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -583,3 +583,13 @@ def test_shuffles_of_repeats_end_one_by_one(docs, monkeypatch):
     monkeypatch.setattr(repeats, "stage", lambda frame, name: names.append(name) or write(frame, name))
     repeats.removed_spans(docs.filter("doc_id is not null").select(F.col("doc_id").alias("key"), "text"))
     assert names == ["anchors", "often", "refs", "contents", "distinct", "kept", "spans"]
+
+
+def test_words_of_scores_are_those_of_bytes():
+    texts = [*odd_texts(), "  a\x0bb\x0c c\r\n", "x y\x1cz\x00", "\u2003wide a", "a"]
+    for cut in (0, 3, len(texts)):
+        held = pa.chunked_array([pa.array(texts[:cut], pa.string()), pa.array(texts[cut:], pa.string())])
+        words = [(xxhash.xxh64_intdigest(w), i) for i, t in enumerate(texts) for w in (t or "").encode().split()]
+        hashes, doc = lm._words(held)
+        assert list(zip(hashes.tolist(), doc.tolist(), strict=True)) == words
+    assert [len(a) for a in lm._words(pa.chunked_array([], pa.string()))] == [0, 0]
