@@ -388,7 +388,7 @@ def _in_types(found: DataFrame, brackets: DataFrame, holders: DataFrame) -> Data
     listed = holders.select("file", F.col("partner.pos").alias("listed"), F.lit(True).alias("held"))
     scope = F.col("outer.scope")
     in_type = (F.col("depth") == 0) | (scope == "type") | ((scope == "list") & F.col("held"))
-    return enclosed.join(listed, ["file", "listed"], "left").filter(in_type).drop("depth", "outer", "open", "listed", "held")
+    return enclosed.join(listed.hint("merge"), ["file", "listed"], "left").filter(in_type).drop("depth", "outer", "open", "listed", "held")
 
 
 def _sliced(found: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -432,8 +432,9 @@ def extract_methods(files: DataFrame, block: int = BLOCK) -> DataFrame:
     declared = lists.filter(F.col("name").isNotNull()).select(
         "file", "pos", "depth", "outer", "start", F.col("name").alias("method_name"), (F.col("partner.pos") + 1).alias("body_pos")
     )
-    found = declared.join(bodies, ["file", "body_pos"]).drop("body_pos")
-    members = _in_types(found, brackets, lists.filter("holds_type")).join(broken, "file", "left_anti")
+    # The tables on the right are as long as the input, but the packed files they come from look short enough to broadcast.
+    found = declared.join(bodies.hint("merge"), ["file", "body_pos"]).drop("body_pos")
+    members = _in_types(found, brackets, lists.filter("holds_type")).join(broken.hint("merge"), "file", "left_anti")
     in_file = Window.partitionBy("file").orderBy("pos")
     numbered = _started(members, brackets).withColumn("ordinal", F.row_number().over(in_file) - 1)
     return _sliced(write_table(numbered, "found"), blocks).select("snapshot.*", "ordinal", "method_name", "method_code")

@@ -253,3 +253,16 @@ def test_segments_of_a_task_are_bounded(spark):
     assert total == blocks.agg(F.sum(F.size("segments"))).head()[0] > 40 * 3000
     assert dealt.rdd.getNumPartitions() >= total // 2000 and max(r.n for r in held) < 10_000
     assert harvest._dealt(blocks).rdd.getNumPartitions() <= 4
+
+
+def test_tables_as_long_as_the_input_are_not_broadcast(frame, monkeypatch):
+    plans, write = {}, harvest.write_table
+
+    def recorded(table, name):
+        plans[name] = table._jdf.queryExecution().executedPlan().toString()
+        return write(table, name)
+
+    monkeypatch.setattr(harvest, "write_table", recorded)
+    found = harvest.extract_methods(frame([("a", "b", "c", 1, "F.java", SOURCE)], SCHEMA), 16)
+    assert found.count() > 0
+    assert "SortMergeJoin" in plans["found"] and "Broadcast" not in plans["found"]
