@@ -50,6 +50,8 @@ _BATCH = 1 << 17
 #: Bytes of texts that are hashed together, as small for the same reason; places in them fit _PLACE_BITS.
 _BUFFER = 1 << 18
 _PLACE_BITS = np.uint64(24)
+#: Strings of a dealt block that leave a task at once.
+_STRINGS = 1 << 14
 #: Places of one document at most.
 _PLACES = 1 << 40
 #: Length of prefixes that sorting groups before the expansion starts.
@@ -285,9 +287,9 @@ def first_strings(contents: list[bytes], order_of: np.ndarray) -> np.ndarray:
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, start, n, string): runs of first occurrences; where the hash is dealt over blocks, one by one with the string."""
-    names = ["anchor", "block"]
+    names = ["key", "start", "n", "string"]
 
-    def solve(table: pa.Table) -> pa.RecordBatch:
+    def solve(table: pa.Table) -> Iterator[pa.RecordBatch]:
         contents = table["content"].to_pylist()
         keys, starts = table["key"].to_numpy(), table["start"].to_numpy()
         ranked = np.empty(len(keys), np.int64)
@@ -300,18 +302,17 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.searchsorted(begins, begin, "right") - 1
         one = dealt[own]
         single = np.concatenate([np.arange(b, e) for b, e in zip(begin[one], stop[one], strict=True)]) if one.any() else begin[:0]
-        whose = np.searchsorted(begins, single, "right") - 1
         begin, stop, own = begin[~one], stop[~one], own[~one]
-        strings = [contents[c][o : o + LENGTH] for c, o in zip(whose, single - begins[whose], strict=True)]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([keys[own], keys[whose]])),
-                pa.array(np.concatenate([starts[own] + begin - begins[own], starts[whose] + single - begins[whose]])),
-                pa.array(np.concatenate([stop - begin, np.ones(len(single), np.int64)])),
-                pa.array([None] * len(own) + strings, pa.binary()),
-            ],
-            ["key", "start", "n", "string"],
-        )
+        runs = [keys[own], starts[own] + begin - begins[own], stop - begin]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, runs), pa.nulls(len(own), pa.binary())], names)
+        # Nearly every byte of a dealt block may start a string, so these go out by parts.
+        for at in range(0, len(single), _STRINGS):
+            part = single[at : at + _STRINGS]
+            whose = np.searchsorted(begins, part, "right") - 1
+            offsets = part - begins[whose]
+            strings = [contents[c][o : o + LENGTH] for c, o in zip(whose, offsets, strict=True)]
+            runs = [keys[whose], starts[whose] + offsets, np.ones(len(part), np.int64)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, runs), pa.array(strings, pa.binary())], names)
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -319,18 +320,18 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         held.append(batch)
         table = pa.Table.from_batches(held)
-        runs = run_starts(*[table[k].to_numpy() for k in names])
+        runs = run_starts(*[table[k].to_numpy() for k in ("anchor", "block")])
         sizes = np.append(0, np.cumsum(np.array(pc.binary_length(table["content"]))))
         done = 0
         for k in range(1, len(runs) - 1):
             if sizes[runs[k]] - sizes[done] >= min(_BATCH, BLOCK):
-                yield solve(table.slice(done, int(runs[k]) - done))
+                yield from solve(table.slice(done, int(runs[k]) - done))
                 done = int(runs[k])
         held = table.slice(done).to_batches()
     if held:
         table = pa.Table.from_batches(held)
         if table.num_rows:
-            yield solve(table)
+            yield from solve(table)
 
 
 # -- documents ---------------------------------------------------------------------
@@ -488,7 +489,7 @@ def _cut(text: str, spans: list[dict]) -> str:
 
 @F.pandas_udf(StringType())
 def _cut_texts(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([_cut(text, found) for text, found in zip(texts, spans, strict=True)])
+    return pd.Series([None if text is None else _cut(text, found) for text, found in zip(texts, spans, strict=True)])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -499,8 +500,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     columns = [c for c in docs.columns if c != "text"]
     rows = keyed(docs.select("doc_id", "text", F.struct(*[docs[c] for c in columns]).alias("row")))
     rows = rows.join(removed_spans(rows.select("key", "text")), "key", "left")
-    cut = rows.filter("spans is not null").withColumn("text", _cut_texts("text", "spans"))
-    rows = rows.filter("spans is null").unionByName(cut)
+    # One join serves texts that are cut and those that stay, which go to no worker; so texts are dealt once.
+    cut = _cut_texts(F.when(F.col("spans").isNotNull(), F.col("text")), "spans")
+    rows = rows.withColumn("text", F.coalesce(cut, "text"))
     length = F.coalesce(F.length("text"), F.lit(0))
     out = []
     for c in docs.columns:

@@ -585,6 +585,35 @@ def test_shuffles_of_repeats_end_one_by_one(docs, monkeypatch):
     assert names == ["anchors", "often", "refs", "contents", "distinct", "kept", "spans"]
 
 
+def test_strings_of_dealt_blocks_leave_by_parts():
+    contents = [random.Random(k).randbytes(4195) for k in range(12)]
+    numbers, one = pa.array(range(len(contents))), pa.array([1] * len(contents), pa.int32())
+    two = pa.array([2] * len(contents), pa.int32())
+    batch = pa.RecordBatch.from_arrays(
+        [one, one, two, pa.array(contents), numbers, one], ["anchor", "block", "blocks", "content", "key", "start"]
+    )
+    kept = list(repeats._kept(iter([batch])))
+    assert max(b.nbytes for b in kept) < 1 << 22
+    found = [row for b in kept for row in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+    assert found == [(k, 1 + o, 1, c[o : o + 100]) for k, c in enumerate(contents) for o in range(4096)]
+
+
+def test_texts_without_repeats_are_dealt_once(spark):
+    passage = "".join(random.Random(8).choices("abcdefgh", k=150))
+    texts = ["one " + passage, None, "", "two " + passage + " end", passage, "short"]
+    rows = [(i, t, None if t is None else len(t)) for i, t in enumerate(texts)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = repeats.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int"))
+        assert cut._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
+        found = sorted(map(tuple, cut.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    left = ["one " + passage, None, "", "two end", "", "short"]
+    assert found == [(i, t, len(t or "")) for i, t in enumerate(left)]
+
+
 def test_words_of_scores_are_those_of_bytes():
     texts = [*odd_texts(), "  a\x0bb\x0c c\r\n", "x y\x1cz\x00", "\u2003wide a", "a"]
     for cut in (0, 3, len(texts)):
