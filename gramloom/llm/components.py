@@ -4,7 +4,8 @@ Large-star and small-star steps in turn: each hangs neighbours on the smallest
 node they can see, until every node hangs on the smallest of its component.
 Minima are aggregated and joined back, so the neighbours of a node never come
 together in one place; a node with very many is a key that the aggregation combines
-early and the join may split.  Each round is a written table.
+early and the join may split.  Each round is a written table, in as many files as its rows ask
+for: a file that a task opens costs more than the few links that a partition may hold.
 """
 
 from __future__ import annotations
@@ -51,4 +52,4 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(row) == before:
             return links.select("node", F.col("other").alias("component"))
         before = tuple(row)
-        links = stage(_small_star(_large_star(links).distinct()).distinct(), "links")
+        links = stage(_small_star(_large_star(links).distinct()).distinct(), "links", rows=row[0])

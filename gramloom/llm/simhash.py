@@ -157,9 +157,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     hung = components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     named = distinct.join(hung, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    named = stage(named, "named")
+    rows = distinct.count()
+    named = stage(named, "named", rows)
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stage(named.join(smallest, "component").select("fp", "component_id"), "components")
+    named = stage(named.join(smallest, "component").select("fp", "component_id"), "components", rows)
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

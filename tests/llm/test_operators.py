@@ -264,6 +264,21 @@ def test_components(spark):
     assert found == {x: find(x) for x in root if find(x) != x}
 
 
+def test_few_links_are_written_in_few_files(spark):
+    """As many files as the links ask for, not as there are partitions, each of which costs a task its file."""
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = components.components(spark.createDataFrame([(i, i + 1) for i in range(200)], "a bigint, b bigint"))
+        assert dict(found.collect()) == dict.fromkeys(range(1, 201), 0)
+        assert len(found.inputFiles()) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_licenses(docs, empty, spark):
     assert licenses.scan(docs).collect() == licenses.scan(empty).collect() == []
     notice = dict(licenses.TEMPLATES)["GPL-3.0"]
