@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gramloom.operators import corpus as corpora
 from gramloom.operators import fit
+from gramloom.plans import scratch
 
 S, E = "<START>", "<END>"
 GOLDEN = [["a", "b", "a"], ["a", "c"]]
@@ -179,3 +180,38 @@ def test_first_methods_come_along_with_the_counts(methods):
         return rows._jdf.queryExecution().optimizedPlan().toString().count("Join ")
 
     assert joins(carried) < joins(joined)
+
+
+def test_counts_are_made_in_small_splits(spark, methods, monkeypatch):
+    """Large splits fill the hash tables of map-side partial counts, which then spill to save next to nothing."""
+    key = "spark.sql.files.maxPartitionBytes"
+    seen = []
+
+    def write(frame, name, row_group=None):
+        seen.append((name, spark.conf.get(key), row_group))
+        return scratch.write_table(frame, name, row_group)
+
+    monkeypatch.setattr(fit, "write_table", write)
+    before = spark.conf.get(key)
+    fit.fit(methods([["a", "b", "a"], ["b"]]), 2)
+    assert seen == [("ngrams", str(scratch.SPLIT), scratch.SPLIT), ("contexts", str(scratch.SPLIT), scratch.SPLIT)]
+    assert spark.conf.get(key) == before
+    # A size that the session names stays.
+    spark.conf.set(key, "64m")
+    try:
+        fit.fit(methods([["a", "b", "a"], ["b"]]), 2)
+        assert {size for _, size, _ in seen[2:]} == {"64m"} and spark.conf.get(key) == "64m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_small_row_groups_let_tasks_be_smaller(spark):
+    rows = spark.range(20_000).repartition(1).selectExpr("id", "sha2(string(id), 256) as text")
+    table = scratch.write_table(rows, "small-groups", 1 << 17)
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, str(1 << 17))
+    try:
+        held = table.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(key)
+    assert sum(r["count"] for r in held) == 20_000 and len(held) > 1
