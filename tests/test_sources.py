@@ -3,6 +3,7 @@ import math
 import os
 import tempfile
 
+import pyarrow.parquet as pq
 import pytest
 
 from gramloom.operators import fit, score
@@ -129,6 +130,13 @@ def test_model_is_read_without_an_exchange(methods, spark, tmp_path):
     assert plan.toString().count("hashpartitioning(_hash") == 2
 
 
+def test_saved_counts_are_packed_as_other_tables_are(methods, tmp_path):
+    path = models.save_model(fit.fit(methods([["a", "b", "a"], ["b"]]), 2), str(tmp_path), buckets=2)
+    for table in ("ngrams", "contexts"):
+        files_of = list((tmp_path / os.path.basename(path) / table).glob("*.parquet"))
+        assert files_of and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files_of)
+
+
 def test_model_is_not_saved_over_itself(methods, spark, tmp_path):
     model = fit.fit(methods([["a", "b"]]), 2)
     loaded = models.load_model(spark, models.save_model(model, str(tmp_path)))
