@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from dataclasses import replace
 
@@ -7,7 +8,7 @@ from brute_force import Model
 from pyspark.sql import functions as F
 
 from gramloom.operators import fit, score
-from gramloom.plans.scratch import write_table
+from gramloom.plans.scratch import scratch_root, write_table
 
 GOLDEN = [["a", "b", "a"], ["a", "c"]]
 
@@ -127,9 +128,9 @@ def test_metrics_report(frame):
 def test_scoring_writes_few_tables_and_numbers_nothing(monkeypatch, frame, methods):
     written = []
 
-    def counting(data, name):
+    def counting(data, name, *row_group):
         written.append(name)
-        return write_table(data, name)
+        return write_table(data, name, *row_group)
 
     for module in (fit, score):
         monkeypatch.setattr(module, "write_table", counting)
@@ -143,3 +144,44 @@ def test_scoring_writes_few_tables_and_numbers_nothing(monkeypatch, frame, metho
     assert written == ["ngrams", "contexts", "matched-contexts", "answered-contexts"]
     for rows in (positions, predictions):
         assert "monotonically" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_trained_model_is_read_without_an_exchange(spark, methods):
+    """Lookups in a model that was just trained deal out the questions only."""
+    model = fit.fit(methods(corpus(6, 20)), 3)
+    pairs = score.evaluation_pairs(methods(corpus(7, 5)), model)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = score.pair_probabilities(model, pairs)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    read_by = []
+
+    def walk(node, above):
+        name = node.nodeName()
+        above = name if "Exchange" in name or "Join" in name else above
+        if name.startswith("Scan parquet") and "Bucketed: true" in node.toString():
+            read_by.append(above)
+        for i in range(node.children().size()):
+            walk(node.children().apply(i), above)
+
+    walk(plan, "")
+    # One scan of the contexts and one of each length of grams.
+    assert read_by.count("SortMergeJoin") == 4 and set(read_by) <= {"SortMergeJoin", "BroadcastExchange"}, plan.toString()
+
+
+def test_lookups_drop_what_they_wrote_between(spark, frame, methods):
+    """What stays after scoring and prediction are the model and the answers."""
+    data = methods(corpus(8, 12))
+    folder = scratch_root(spark)
+    model = fit.fit(data, 3)
+    before = set(os.listdir(folder))
+    score.score_positions(model, data)
+    score.predict_next(model, frame([(["a"],), (["b", "a"],)], "context array<string>"))
+    score.probabilities(model, frame([(["a"], "b")], "context array<string>, token string"))
+    left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before)
+    assert left == ["answered-contexts", "answered-pairs", "answered-pairs"]
+    model.drop()
+    assert len(before - set(os.listdir(folder))) == 2

@@ -1,10 +1,13 @@
 import json
 import math
 import os
+import re
 import tempfile
+import time
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from gramloom.operators import fit, score
 from gramloom.plans import scratch
@@ -200,3 +203,35 @@ def test_turns_beyond_a_thousand_keep_their_own_ids(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id bigint, turn bigint, text string").repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
     found = tables.conversation_texts(spark, str(tmp_path)).orderBy("method_id").collect()
     assert [(r.method_id, r.code) for r in found] == [(i, text) for i, (_, _, text) in enumerate(rows)]
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    def on_disk():
+        found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        names = [found.apply(i).getName() for i in range(found.size())]
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before = on_disk()
+    table = scratch.write_table(spark.range(10_000).repartition(7, "id"), "dealt")
+    until = time.time() + 10
+    while on_disk() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not on_disk() - before
+    assert table.count() == 10_000
+
+
+@pytest.mark.parametrize("n_values", [3, [2, 3]])
+def test_grams_lie_in_the_buckets_that_their_tables_name(spark, methods, tmp_path, n_values):
+    model = fit.fit(methods([["a", "b", "a"], ["a", "c", "x\x1fy", "b"]]), n_values)
+    path = models.save_model(model, str(tmp_path))
+    copied = models.save_model(models.load_model(spark, path), str(tmp_path / "copy"))
+    saved = [(f"{folder}/{name}", key) for folder in (path, copied) for name, key in (("ngrams", "gram"), ("contexts", "ctx"))]
+    trained = [(table.inputFiles()[0].rsplit("/", 1)[0], "gram") for table in model.tables]
+    for folder, key in saved + trained:
+        for file in spark.read.parquet(folder).inputFiles():
+            bucket = int(re.search(r"_(\d{5})\.c\d+", file).group(1))
+            assert spark.read.parquet(file).filter(F.pmod(F.hash(key), F.lit(model.buckets)) != bucket).isEmpty()
+    # A copy in as many buckets is made where they lie: no more files than tables that it is made of.
+    for folder in (path, copied):
+        files = spark.read.parquet(f"{folder}/ngrams").inputFiles()
+        assert len(files) <= model.buckets * model.max_n
