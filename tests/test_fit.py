@@ -215,3 +215,12 @@ def test_small_row_groups_let_tasks_be_smaller(spark):
     finally:
         spark.conf.unset(key)
     assert sum(r["count"] for r in held) == 20_000 and len(held) > 1
+
+
+def test_written_counts_equal_lazy_ones_and_need_no_shuffle_after(methods):
+    data = methods(corpus(23))
+    for n_values in ([1], [3], [2, 4]):
+        lazy, written = fit.ngram_counts(data, n_values), fit.ngram_counts(data, n_values, fit.write_counts)
+        assert sorted(map(str, lazy.collect())) == sorted(map(str, written.select(lazy.columns).collect()))
+        plan = written._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "max(" not in plan
