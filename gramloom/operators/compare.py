@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from gramloom.functions.grams import (
     SEPARATOR,
     START,
+    extended_key,
     gram_key,
     joinable,
     key_prefix,
@@ -29,16 +30,16 @@ from gramloom.functions.grams import (
 from gramloom.operators.corpus import place_methods
 from gramloom.operators.fit import DEFAULT_LAMBDA, DEFAULT_SMOOTHING, best_first_seen, check_parameters, windows
 from gramloom.operators.score import counts_per_suffix, interpolate, is_punctuation, metrics_per_order
-from gramloom.plans.lookup import lookup_join
-from gramloom.plans.scratch import write_table
+from gramloom.plans.lookup import frequent_keys, kept, lookup_join
+from gramloom.plans.scratch import drop_tables, in_buckets, write_table
 
 
 @dataclass(frozen=True)
 class OrderModels:
     """Models of all `n_values` in shared tables.
 
-    `ngrams(m, ctx, target, c_<n>.., first_seen)` and
-    `contexts(m, ctx, cc_<n>.., best)`; a null count means never seen.
+    `ngrams(m, ctx, target, c_<n>.., first_seen, gram)` and
+    `contexts(m, ctx, cc_<n>.., best)`, in buckets by `gram` and `ctx`; a null count means never seen.
     First-seen keys and best targets are those of the model with n = m + 1,
     the only one for which a context of m tokens is the full one.
     """
@@ -83,18 +84,34 @@ def _placed_windows(methods: DataFrame, longest: int) -> DataFrame:
 
 
 def order_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
-    """Counts of every n-gram in every model: `m, ctx, target, c_<n>.., first_seen`."""
+    """Counts of every n-gram in every model: `m, gram, c_<n>.., first_seen`."""
     longest = max(n_values)
-    grams = [F.struct(F.lit(k).alias("k"), F.lit(None).cast("string").alias("markers")) for k in range(1, longest + 1)]
+    return _counts_of(_placed_windows(place_methods(methods), longest), n_values, range(1, longest + 1))
+
+
+def _parts(longest: int) -> list[list[int]]:
+    """Orders that are counted together.  The tokens in a window's suffixes are dealt out for one part after the other."""
+    parts = [[1]]
+    for k in range(2, longest + 1):
+        if len(parts) > 1 and sum(parts[-1]) + k <= longest + 2:
+            parts[-1].append(k)
+        else:
+            parts.append([k])
+    return parts
+
+
+def _counts_of(windows: DataFrame, n_values: Sequence[int], orders: Sequence[int]) -> DataFrame:
+    """Counts of the n-grams of some orders from distinct windows.  The separators in a gram tell its order."""
+    longest = max(n_values)
+    grams = [F.struct(F.lit(k).alias("k"), F.lit(None).cast("string").alias("markers")) for k in orders]
     markers = [
         F.struct(F.lit(k).alias("k"), F.lit(SEPARATOR.join([START] * k)).alias("markers"))
-        for k in range(1, longest)
+        for k in orders
+        if k < longest
     ]
     k, is_marker = F.col("part.k"), F.col("part.markers").isNotNull()
-    rows = (
-        _placed_windows(place_methods(methods), longest)
-        .select("*", F.explode(F.array(*grams, *markers)).alias("part"))
-        .filter(~is_marker | (F.col("head") + k < longest))
+    rows = windows.select("*", F.explode(F.array(*grams, *markers)).alias("part")).filter(
+        ~is_marker | (F.col("head") + k < longest)
     )
 
     def counted_by(n: int) -> Column:
@@ -103,24 +120,27 @@ def order_counts(methods: DataFrame, n_values: Sequence[int]) -> DataFrame:
         return F.when(is_marker, F.lit(n) > F.col("head") + k).otherwise(ends)
 
     gram = F.coalesce(F.col("part.markers"), key_suffix(F.col("gram"), k))
-    counts = rows.groupBy(k.alias("order"), gram.alias("gram")).agg(
+    counts = rows.groupBy(gram.alias("gram")).agg(
+        (F.max(k) - 1).alias("m"),
         *[F.sum(F.when(counted_by(n), F.col("c"))).alias(f"c_{n}") for n in n_values],
         F.min(F.when(~is_marker, F.col("first_seen"))).alias("first_seen"),
     )
-    return counts.filter(F.coalesce(*_each("c", n_values)).isNotNull()).select(
-        (F.col("order") - 1).alias("m"),
-        key_prefix(F.col("gram"), F.col("order") - 1).alias("ctx"),
-        key_suffix(F.col("gram"), F.lit(1)).alias("target"),
-        *_each("c", n_values),
-        "first_seen",
+    return counts.filter(F.coalesce(*_each("c", n_values)).isNotNull())
+
+
+def _named(counts: DataFrame) -> DataFrame:
+    """Add `ctx, target` to grams."""
+    return counts.withColumns(
+        {"ctx": key_prefix(F.col("gram"), F.col("m")), "target": key_suffix(F.col("gram"), F.lit(1))}
     )
 
 
 def _order_contexts(ngrams: DataFrame, n_values: Sequence[int]) -> DataFrame:
+    """The contexts of grams, which either all have some or all have none: an empty token alone has the key of no context."""
     own = F.coalesce(*[F.when(F.col("m") == n - 1, F.col(f"c_{n}")) for n in n_values])
     best = best_first_seen(own, F.col("first_seen"))
-    return ngrams.groupBy("m", "ctx").agg(
-        *[F.sum(f"c_{n}").alias(f"cc_{n}") for n in n_values], best.alias("best")
+    return ngrams.groupBy("ctx").agg(
+        F.max("m").alias("m"), *[F.sum(f"c_{n}").alias(f"cc_{n}") for n in n_values], best.alias("best")
     )
 
 
@@ -130,19 +150,28 @@ def fit_orders(
     smoothing_k: float = DEFAULT_SMOOTHING,
     lambda_factor: float = DEFAULT_LAMBDA,
 ) -> OrderModels:
-    """Train one model per n in one job, kept on shared storage."""
+    """Train one model per n over shared counts, kept on shared storage in the buckets of their keys.
+
+    Windows are counted once.  Their grams are counted part by part, so the disk holds the shuffle files of a part.
+    """
     n_values = tuple(sorted(set(n_values)))
     check_parameters(n_values, smoothing_k)
     longest = n_values[-1]
-    ngrams = write_table(order_counts(methods, n_values), "order-ngrams")
+    windows = write_table(_placed_windows(place_methods(methods), longest), "order-windows")
+    with in_buckets("gram"):
+        parts = [_named(write_table(_counts_of(windows, n_values, orders), "order-ngrams")) for orders in _parts(longest)]
+    drop_tables(windows)
+    ngrams = reduce(DataFrame.unionByName, parts)
     positions = ngrams.filter(F.col("m") == 0).agg(F.sum(f"c_{longest}")).head()[0]
     if positions is None:
         raise ValueError("no methods to train on")
+    with in_buckets("ctx"):
+        contexts = [write_table(_order_contexts(part, n_values), "order-contexts") for part in parts]
     start = methods.sparkSession.range(1).select(F.lit(START).alias("target"))
     words = ngrams.filter(F.col("m") == longest - 1).select("target").unionByName(start).distinct()
     return OrderModels(
         ngrams=ngrams,
-        contexts=write_table(_order_contexts(ngrams, n_values), "order-contexts"),
+        contexts=reduce(DataFrame.unionByName, contexts),
         n_values=n_values,
         smoothing_k=smoothing_k,
         lambda_factor=lambda_factor,
@@ -178,24 +207,35 @@ def evaluate_orders(models: OrderModels, methods: DataFrame) -> DataFrame:
     asked = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(longest - 1))).alias("m")).withColumn(
         "ctx", key_suffix(F.col("ctx"), F.col("m"))
     )
+    asked = asked.withColumn("gram", extended_key(F.col("ctx"), F.col("m"), F.col("target")))
+    often, often_counted = frequent_keys(asked, ["ctx", "m"], ["gram", "m"])
     known = lookup_join(
-        asked,
+        asked.drop("gram"),
         models.contexts,
-        ["m", "ctx"],
+        ["ctx", "m"],
         [*_each("cc", n_values), "best"],
         _mean("cc", n_values),
         models.positions,
         ["gid"],
+        often,
+        "ctx",
     ).filter(F.coalesce(*_each("cc", n_values)).isNotNull() | (F.col("m") == 0))
+    known = kept(
+        known.withColumn("gram", extended_key(F.col("ctx"), F.col("m"), F.col("target"))).drop("ctx", "target"), "known-suffixes"
+    )
     answers = lookup_join(
         known,
         models.ngrams,
-        ["m", "ctx", "target"],
+        ["gram", "m"],
         [*_each("c", n_values), "first_seen"],
         _mean("c", n_values),
         models.positions,
         ["gid"],
-    )
+        often_counted,
+        "gram",
+    ).drop("gram")
+    answers = kept(answers, "counted-suffixes")
+    drop_tables(pairs, known)
     counts = [F.struct(F.lit(n).alias("n"), F.col(f"c_{n}").alias("c"), F.col(f"cc_{n}").alias("cc")) for n in n_values]
     # A pair's rows meet before they are widened to one per model, so the grouping needs no exchange of its own.
     per_model = (

@@ -1,9 +1,12 @@
+import os
 import random
 
 import pytest
 from brute_force import Model
+from pyspark.sql import functions as F
 
 from gramloom.operators import compare, fit, score
+from gramloom.plans import scratch
 
 
 def corpus(seed, size):
@@ -67,3 +70,33 @@ def test_counting_and_contexts_stay_in_hash_aggregation(methods):
     for frame in (compare.order_counts(methods([["a", "b"]]), [2, 3]), compare._order_contexts(models.ngrams, [2, 3])):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_orders_are_counted_in_parts(monkeypatch, spark, methods):
+    """No part deals out much more than the longest windows, and the windows go when the parts are counted."""
+    for longest in range(1, 12):
+        parts = compare._parts(longest)
+        assert [k for part in parts for k in part] == list(range(1, longest + 1)) and parts[0] == [1]
+        assert max(map(sum, parts)) <= longest + 2
+    written = []
+
+    def counting(frame, name):
+        table = scratch.write_table(frame, name)
+        written.append((name, table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")))
+        return table
+
+    monkeypatch.setattr(compare, "write_table", counting)
+    models = compare.fit_orders(methods(corpus(51, 30)), [2, 4, 7])
+    names = [name for name, _ in written]
+    assert names[-11:] == ["order-windows"] + ["order-ngrams"] * 5 + ["order-contexts"] * 5
+    assert [name for name, path in written if not os.path.exists(path)] == ["order-windows"]
+    plan = models.ngrams.join(models.ngrams.select("gram", F.col("m").alias("o")), "gram")._jdf.queryExecution().executedPlan()
+    assert "hashpartitioning" not in plan.toString()
+
+
+def test_empty_tokens_are_no_empty_contexts(methods):
+    data = methods([["", "a", ""], ["a", ""], [""]])
+    contexts = compare.fit_orders(data, [1, 2, 3]).contexts.collect()
+    for n in (1, 2, 3):
+        alone = {(r.m, r.ctx): r.cc for r in fit.fit(data, n).contexts.collect()}
+        assert {(r.m, r.ctx): r[f"cc_{n}"] for r in contexts if r[f"cc_{n}"] is not None} == alone
